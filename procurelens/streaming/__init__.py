@@ -1,0 +1,4 @@
+"""Intentionally empty: the workload is a bounded batch that is rebuilt in full.
+
+No operator of the blueprint consumes a stream, so none is provided.
+"""
