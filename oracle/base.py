@@ -51,8 +51,9 @@ products AS (
 
 BRAND_PRODUCTS = """
 brand_type AS (
-  SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY ALL
-  QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY count(*) DESC, p_type) = 1
+  SELECT p_brand, p_type
+  FROM (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY p_brand, p_type)
+  QUALIFY row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_type) = 1
 ),
 products AS (
   SELECT t.p_brand AS product_id, t.p_brand AS product_name, t.p_type AS product_category,

@@ -230,7 +230,7 @@ def tail_spend_of(totals: DataFrame, threshold: float) -> DataFrame:
         F.max("total_spend").alias("_total"),
     ).select("segment", "vendors", _money("_spend", "spend"),
              percent("_spend", "_total", 1).alias("pct_of_spend"),
-             ratio("_spend", "vendors", 2).alias("avg_spend_per_vendor"))
+             _money(F.col("_spend") / F.col("vendors"), "avg_spend_per_vendor"))
 
 
 def tail_spend(model: ProcurementModel, params: OpportunityParams = DEFAULTS) -> DataFrame:
