@@ -1,7 +1,9 @@
 """Order-based operators: top-k, positions, running totals, tiles.
 
 A window without partition keys - or over one hot key - sorts everything in one
-task. ``ordered_position`` gets the same numbers from a hierarchy of counts:
+task. That is fine for a result whose measured size one task can sort, and it is
+what happens up to ``SINGLE_TASK_ROWS``. Beyond, ``ordered_position`` gets the
+same numbers from a hierarchy of counts:
 
 1. a magnitude bucket of the ordering value (a bounded number per group),
 2. cells inside a bucket: the exact value, and a slice of a hash of the tie
@@ -20,8 +22,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import measured
 from .joins import join_null_safe
 
+SINGLE_TASK_ROWS = 2_000_000
 BUCKETS_PER_OCTAVE = 1024
 _OCTAVE_SHIFT = 1100  # log2 of the smallest positive double is about -1074
 _NULL_BUCKET = -(1 << 40)
@@ -65,15 +69,38 @@ def _magnitude(value: str) -> Column:
 
 
 def ordered_position(df: DataFrame, value: str, tie: Sequence[str], by: Sequence[str] = (),
-                     descending: bool = True, running: Sequence[str] = ()) -> DataFrame:
+                     descending: bool = True, running: Sequence[str] = (),
+                     rows: int | None = None, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Number rows by ``value`` and accumulate ``running`` columns in that order.
 
     Adds ``position`` (row number), ``tie_rank`` (rank with ties),
     ``group_rows``, and per running column ``running_<c>`` and ``total_<c>``.
-    Ties follow a hash of ``tie``, then ``tie``. ``df`` is read twice; pass a
-    working set.
+    Ties follow a hash of ``tie``, then ``tie``. ``rows`` is the measured size of
+    ``df`` if the caller has it; otherwise ``df`` is materialised and measured.
     """
-    by, tie = list(by), list(tie)
+    if rows is None:
+        df, rows = measured(df, "ordering")
+    if rows <= limit:
+        return _position_by_sort(df, value, list(tie), list(by), descending, list(running))
+    return _position_by_counts(df, value, list(tie), list(by), descending, list(running))
+
+
+def _position_by_sort(df: DataFrame, value: str, tie: list[str], by: list[str],
+                      descending: bool, running: list[str]) -> DataFrame:
+    direction = F.col(value).desc() if descending else F.col(value).asc()
+    group = Window.partitionBy(*by)
+    in_order = group.orderBy(direction, "_tie", *tie)
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn("_tie", tie_order(tie)).select(
+        *df.columns, F.row_number().over(in_order).cast("long").alias("position"),
+        F.rank().over(group.orderBy(direction)).cast("long").alias("tie_rank"),
+        F.count(F.lit(1)).over(group).alias("group_rows"),
+        *[F.sum(c).over(upto).alias(f"running_{c}") for c in running],
+        *[F.sum(c).over(group).alias(f"total_{c}") for c in running])
+
+
+def _position_by_counts(df: DataFrame, value: str, tie: list[str], by: list[str],
+                        descending: bool, running: list[str]) -> DataFrame:
     measures = {"_n": F.lit(1).cast("long"), **{f"_s_{c}": F.col(c) for c in running}}
     bucket = _magnitude(value)
     rows = df.select("*", (-bucket if descending else bucket).alias("_bucket"),
@@ -118,12 +145,12 @@ def ordered_position(df: DataFrame, value: str, tie: Sequence[str], by: Sequence
 
 
 def with_ntile(df: DataFrame, n: int, by: Sequence[str], order: str, tie: Sequence[str],
-               out: str) -> DataFrame:
+               out: str, rows: int | None = None, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
     """Split every group into ``n`` near-equal tiles ordered by ``order``.
 
     The first ``rows % n`` tiles hold one row more, as SQL's NTILE does.
     """
-    placed = ordered_position(df, order, tie, by=by, descending=False)
+    placed = ordered_position(df, order, tie, by=by, descending=False, rows=rows, limit=limit)
     size, extra = F.expr(f"group_rows div {n}"), F.col("group_rows") % n
     boundary = extra * (size + 1)
     index = F.col("position") - 1

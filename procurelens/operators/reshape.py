@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import month_index
-from .joins import with_scalar
 
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
@@ -22,14 +21,19 @@ def month_spine(df: DataFrame, month: str, value: str) -> DataFrame:
     """Dense monthly series ``month_start, value, idx`` from the first to the last month.
 
     A month without rows appears with a NULL value, and ``idx`` comes from month
-    arithmetic, so a gap shifts nothing. ``df`` has at most one row per month.
+    arithmetic, so a gap shifts nothing. ``df`` has at most one row per month,
+    which bounds the unpartitioned window by the calendar.
     """
-    span = df.agg(F.min(month).alias("_first"), F.max(month).alias("_last"))
-    months = span.where(F.col("_first").isNotNull()).select(
-        "_first",
-        F.explode(F.sequence("_first", "_last", F.expr("interval 1 month"))).alias(month))
-    return months.join(df, month, "left").select(
-        month, value, month_index(month, "_first").alias("idx"))
+    following = F.lead(month).over(Window.orderBy(month))
+    until = F.coalesce(F.add_months(following, -1), F.col(month))
+    first = F.min(month).over(Window.partitionBy())
+    filled = df.where(F.col(month).isNotNull()).select(
+        F.col(month).alias("_own"), F.col(value), first.alias("_first"),
+        F.sequence(month, until, F.expr("interval 1 month")).alias("_months"))
+    return filled.select("*", F.explode("_months").alias("_month")).select(
+        F.col("_month").alias(month),
+        F.when(F.col("_month") == F.col("_own"), F.col(value)).alias(value),
+        month_index("_month", "_first").alias("idx"))
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, tolerance: float) -> DataFrame:
@@ -46,6 +50,3 @@ def reconcile(expected: DataFrame, actual: DataFrame, tolerance: float) -> DataF
 def scalar_metrics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Turn a one-row frame into ``(check, value)`` rows."""
     return unpivot_metrics(df, [], columns, "check", "value")
-
-
-__all__ = ["month_spine", "reconcile", "scalar_metrics", "unpivot_metrics", "with_scalar"]

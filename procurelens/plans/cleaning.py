@@ -13,16 +13,19 @@ from pyspark.sql import functions as F
 
 from ..functions import parsing as p
 from ..sources.schemas import CALENDAR, DEPARTMENTS, PRODUCTS, PURCHASE_ORDERS, VENDORS
+from ..sources.tables import working_set
 from .quality import LINE_COLUMNS, LINE_ID
 
 
 def deduplicate(staging: DataFrame) -> DataFrame:
-    """Keep one of each set of rows equal in all columns.
+    """Keep one of each set of rows equal in all columns of a staging line.
+
+    A badness score, if already there, depends on the other columns only.
 
     Copies collapse within every task before the shuffle, so a row repeated a
     billion times costs one record per task.
     """
-    return staging.select(*LINE_COLUMNS).distinct()
+    return staging.distinct()
 
 
 def badness() -> Column:
@@ -80,8 +83,12 @@ def typed_lines(staging: DataFrame) -> DataFrame:
 
 
 def clean_fact(staging: DataFrame) -> DataFrame:
-    """Deduplicate, resolve id collisions, type and standardise."""
-    scored = with_badness(deduplicate(staging))
+    """Deduplicate, resolve id collisions, type and standardise.
+
+    The deduplicated, scored lines are materialised once; the branches of the
+    collision step read them with the score pushed into the scan.
+    """
+    scored = working_set(deduplicate(with_badness(staging.select(*LINE_COLUMNS))), "scored-lines")
     return typed_lines(resolve_collisions(scored, LINE_ID, "badness_score"))
 
 

@@ -21,7 +21,6 @@ from ..operators.joins import with_scalar
 from ..operators.reshape import month_spine, unpivot_metrics
 from ..params import ForecastParams
 from ..sources.model import ProcurementModel
-from ..sources.tables import working_set
 
 DEFAULTS = ForecastParams()
 METHODS = ("naive_last", "ma3", "ma6", "mean_all", "seasonal_naive", "seasonal_growth")
@@ -40,8 +39,7 @@ def monthly_totals(model: ProcurementModel) -> DataFrame:
 
 def monthly_series(model: ProcurementModel) -> DataFrame:
     """Dense series ``month_start, ordered_spend, idx``; a month without orders is NULL."""
-    return month_spine(working_set(monthly_totals(model), "monthly"), "month_start",
-                       "ordered_spend")
+    return month_spine(monthly_totals(model), "month_start", "ordered_spend")
 
 
 def series_checks(series: DataFrame) -> DataFrame:
@@ -97,57 +95,53 @@ def seasonality_correlation(series: DataFrame, first: int, second: int) -> DataF
                                      F.round(F.corr("a", "b"), 6).alias("correlation"))
 
 
-def _origins(series: DataFrame, params: ForecastParams) -> DataFrame:
-    """Training ends with their purpose; the last one is the final forecast."""
-    def tagged(ends: list[Column]) -> Column:
-        return F.array(*[
-            F.struct(F.lit("final" if i == len(ends) - 1 else "backtest").alias("purpose"),
-                     end.cast("int").alias("train_end"))
-            for i, end in enumerate(ends)])
-
-    bounds = series.agg(F.max("idx").alias("_last"), F.min("month_start").alias("_first"))
-    ends = ([F.lit(o) for o in params.origins] if params.origins
-            else [*[F.col("_last") - back for back in params.holdback], F.col("_last")])
-    exploded = bounds.select("_first", F.explode(tagged(ends)).alias("o"))
-    return exploded.select("_first", "o.purpose", "o.train_end")
-
-
 def forecasts(series: DataFrame, params: ForecastParams = DEFAULTS) -> DataFrame:
-    """All methods for every origin and horizon.
+    """All methods for every origin and horizon, with the actual where it is known.
 
     A method is NULL where its window is incomplete: a moving average needs all
-    its months, the growth factor needs both half-years.
+    its months, the growth factor needs both half-years. The series is dense, so
+    every look back or ahead is a fixed number of rows and one pass suffices.
     """
-    def window(length: int) -> Window:
-        return _by_month().rowsBetween(1 - length, 0)
+    value = F.col("ordered_spend").cast("double")
+    in_order, whole = _by_month(), Window.partitionBy()
 
     def complete_sum(length: int) -> Column:
-        frame = window(length)
+        frame = _by_month().rowsBetween(1 - length, 0)
         full = F.count("ordered_spend").over(frame) == length
         return F.when(full, F.sum("ordered_spend").over(frame).cast("double"))
 
     past = _by_month().rowsBetween(Window.unboundedPreceding, 0)
+    all_past = F.when(F.count("ordered_spend").over(past) == F.col("idx"),
+                      F.sum("ordered_spend").over(past).cast("double") / F.col("idx"))
+    steps = F.array(*[
+        F.struct(F.lit(h).alias("horizon"),
+                 F.lag(value, params.season - h).over(in_order).alias("seasonal_naive"),
+                 F.lead(value, h).over(in_order).alias("actual"))
+        for h in range(1, params.horizon + 1)])
     state = series.select(
-        F.col("idx").alias("train_end"), F.col("ordered_spend").cast("double").alias("naive_last"),
+        F.col("idx").alias("train_end"), "month_start", value.alias("naive_last"),
         (complete_sum(params.short_window) / params.short_window).alias("ma3"),
         (complete_sum(params.long_window) / params.long_window).alias("ma6"),
-        F.when(F.count("ordered_spend").over(past) == F.col("idx"),
-               F.sum("ordered_spend").over(past).cast("double") / F.col("idx")).alias("mean_all"),
-        complete_sum(params.long_window).alias("_recent"))
+        all_past.alias("mean_all"), complete_sum(params.long_window).alias("_recent"),
+        F.max("idx").over(whole).alias("_last"), steps.alias("_steps"))
     state = state.withColumn(
         "_earlier", F.lag("_recent", params.season).over(Window.orderBy("train_end")))
-    season = series.select((F.col("idx") + params.season).alias("target_idx"),
-                           F.col("ordered_spend").cast("double").alias("seasonal_naive"))
-    steps = F.explode(F.sequence(F.lit(1), F.lit(params.horizon))).alias("horizon")
-    grid = (_origins(series, params).join(state, "train_end")
-            .select("*", steps)
-            .withColumn("target_idx", F.col("train_end") + F.col("horizon")))
-    return grid.join(season, "target_idx", "left").select(
-        "purpose", "train_end", "horizon", "target_idx",
-        F.add_months("_first", F.col("target_idx") - 1).alias("target_month"),
+
+    end = F.col("train_end")
+    if params.origins:
+        final, chosen = end == params.origins[-1], end.isin(*params.origins)
+    else:
+        final = end == F.col("_last")
+        chosen = final | (F.col("_last") - end).isin(*params.holdback)
+    grid = state.where(chosen).select(
+        "*", F.when(final, "final").otherwise("backtest").alias("purpose"),
+        F.explode("_steps").alias("_step")).select("*", "_step.*")
+    return grid.select(
+        "purpose", "train_end", "horizon", (end + F.col("horizon")).alias("target_idx"),
+        F.add_months("month_start", F.col("horizon")).alias("target_month"),
         "naive_last", "ma3", "ma6", "mean_all", "seasonal_naive",
         F.try_divide(F.col("seasonal_naive") * F.col("_recent"), F.col("_earlier"))
-        .alias("seasonal_growth"))
+        .alias("seasonal_growth"), "actual")
 
 
 @dataclass(frozen=True)
@@ -172,9 +166,7 @@ def _millions(*columns: str) -> list[Column]:
 
 
 def _with_actual(base: ForecastBase) -> DataFrame:
-    actual = base.series.select(F.col("idx").alias("target_idx"),
-                                F.col("ordered_spend").cast("double").alias("actual"))
-    return base.forecasts.where(F.col("purpose") == "backtest").join(actual, "target_idx")
+    return base.forecasts.where((F.col("purpose") == "backtest") & F.col("actual").isNotNull())
 
 
 def backtest_detail(base: ForecastBase) -> DataFrame:
@@ -186,7 +178,7 @@ def backtest_detail(base: ForecastBase) -> DataFrame:
 def _errors(base: ForecastBase) -> DataFrame:
     long = unpivot_metrics(_with_actual(base), ["train_end", "horizon", "target_idx", "actual"],
                            METHODS, "method", "forecast")
-    return long.where(F.col("forecast").isNotNull() & F.col("actual").isNotNull()).withColumn(
+    return long.where(F.col("forecast").isNotNull()).withColumn(
         "error", F.col("forecast") - F.col("actual"))
 
 

@@ -77,7 +77,7 @@ def overdue_concentration(model: ProcurementModel, as_of: date | None = None,
 
 
 def largest_overdue(model: ProcurementModel, as_of: date | None = None, n: int = 25) -> DataFrame:
-    """The largest overdue open lines; only these ``n`` rows are given names."""
+    """The largest overdue open lines of known vendors and products."""
     lines = _with_as_of(model, model.fact.where(pop.valid_open()), as_of).where(
         pop.overdue_open(F.col("as_of"))).select(
             "po_id", "po_line_id", "vendor_id", "product_id", "expected_delivery_date",

@@ -43,10 +43,13 @@ class OpportunityBase:
     params: OpportunityParams = DEFAULTS
 
     @classmethod
-    def build(cls, model: ProcurementModel,
-              params: OpportunityParams = DEFAULTS) -> OpportunityBase:
-        pairs = working_set(priced_pairs(PriceBase.build(model)), "pairs")
-        return cls(model, pairs, working_set(delivery_base(model), "delivery"), params)
+    def build(cls, model: ProcurementModel, params: OpportunityParams = DEFAULTS,
+              shared: bool = True) -> OpportunityBase:
+        """``shared``: materialise both because several branches will read them."""
+        pairs, delivery = priced_pairs(PriceBase.build(model)), delivery_base(model)
+        if shared:
+            pairs, delivery = working_set(pairs, "pairs"), working_set(delivery, "delivery")
+        return cls(model, pairs, delivery, params)
 
     def flagged(self) -> DataFrame:
         """Pairs with enough lines whose price index exceeds the flag."""
@@ -174,8 +177,7 @@ def scored_vendors(base: OpportunityBase) -> DataFrame:
 
 def scorecard(base: OpportunityBase) -> DataFrame:
     """Vendors ranked by composite score (ties share a rank)."""
-    settled = working_set(scored_vendors(base), "scored-vendors")
-    placed = ordered_position(settled, "composite", ["vendor_id"])
+    placed = ordered_position(scored_vendors(base), "composite", ["vendor_id"])
     named = describe(placed, base.model.vendors, "vendor_id", ["vendor_name"])
     return named.select(
         F.col("tie_rank").alias("score_rank"), "vendor_id", "vendor_name",
@@ -236,7 +238,7 @@ def tail_spend_of(totals: DataFrame, threshold: float) -> DataFrame:
 def tail_spend(model: ProcurementModel, params: OpportunityParams = DEFAULTS) -> DataFrame:
     totals = model.fact.where(pop.eligible_spend()).groupBy("vendor_id").agg(
         F.sum(pop.line_spend()).alias("spend"))
-    return tail_spend_of(working_set(totals, "vendor-spend"), params.tail_share)
+    return tail_spend_of(totals, params.tail_share)
 
 
 def headline_row(base: OpportunityBase) -> DataFrame:

@@ -23,10 +23,10 @@ from ..functions import populations as pop
 from ..functions.measures import band, percent, ratio
 from ..operators.joins import describe
 from ..operators.median import exact_median
-from ..operators.ranking import top_k, with_ntile
+from ..operators.ranking import SINGLE_TASK_ROWS, top_k, with_ntile
 from ..params import PriceParams
 from ..sources.model import ProcurementModel
-from ..sources.tables import working_set
+from ..sources.tables import measured, working_set
 
 # Bands of the line price index.
 INDEX_BANDS = (("<", 0.50, "1. below 0.50"), ("<", 0.80, "2. 0.50-0.80"),
@@ -49,28 +49,32 @@ def point_spend() -> Column:
     return F.col("unit_price") * F.col("quantity")
 
 
-def benchmarks(points: DataFrame, *keys: str) -> DataFrame:
+def benchmarks(points: DataFrame, rows: int | None, *keys: str) -> DataFrame:
     """Median price and line count per product (or per further ``keys``)."""
     return exact_median(points, ["product_id", *keys], "unit_price", "benchmark_price",
-                        weight="lines", count_out="product_lines")
+                        weight="lines", count_out="product_lines", rows=rows)
 
 
 @dataclass(frozen=True)
 class PriceBase:
     """Working sets behind all price reports.
 
-    ``points``: see ``price_points``; ``products``: one row per product with
-    benchmark, line count and the descriptive columns.
+    ``points``: see ``price_points``, with their measured number of ``rows``;
+    ``products``: one row per product with benchmark, line count and the
+    descriptive columns. Benchmarks that took the large path are materialised
+    as well, so that joins to them go by their real size.
     """
 
     points: DataFrame
+    rows: int
     products: DataFrame
 
     @classmethod
     def build(cls, model: ProcurementModel) -> PriceBase:
-        points = working_set(price_points(model.fact), "price-points")
-        known = describe(benchmarks(points), model.products, "product_id", PRODUCT_COLUMNS)
-        return cls(points, working_set(known, "benchmarks"))
+        points, rows = measured(price_points(model.fact), "price-points")
+        known = describe(benchmarks(points, rows), model.products, "product_id", PRODUCT_COLUMNS)
+        return cls(points, rows,
+                   known if rows <= SINGLE_TASK_ROWS else working_set(known, "benchmarks"))
 
     def covered(self, params: PriceParams) -> DataFrame:
         """Products with enough lines for a stable median."""
@@ -93,11 +97,11 @@ def price_base(model: ProcurementModel) -> DataFrame:
     The benchmark table is materialised first, so Spark broadcasts it only if
     its measured size allows and otherwise merges by product with skew handling.
     """
-    base = PriceBase.build(model)
+    benchmarked = working_set(PriceBase.build(model).products, "benchmarks")
     lines = model.fact.where(pop.eligible_spend()).select(
         "po_line_id", "vendor_id", "product_id", "order_date", "quantity", "unit_price",
         pop.line_spend().alias("line_spend"))
-    joined = lines.join(base.products.select(
+    joined = lines.join(benchmarked.select(
         "product_id", "benchmark_price", "product_lines", "standard_cost"), "product_id")
     over = F.col("unit_price") - F.col("benchmark_price")
     return joined.select(
@@ -279,8 +283,8 @@ def volume_effect(model: ProcurementModel, base: PriceBase,
     lines = model.fact.where(pop.eligible_spend()).select(
         "product_id", "po_line_id", "quantity", "unit_price")
     covered = lines.join(base.covered(params).select("product_id"), "product_id", "left_semi")
-    tiled = with_ntile(working_set(covered, "volume-lines"), params.tiers, ["product_id"],
-                       "quantity", ["po_line_id", "unit_price"], "qty_tier")
+    tiled = with_ntile(covered, params.tiers, ["product_id"], "quantity",
+                       ["po_line_id", "unit_price"], "qty_tier")
     per_product = tiled.groupBy("qty_tier", "product_id").agg(
         F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"),
         F.sum(pop.line_spend()).alias("spend"))
@@ -322,7 +326,7 @@ def year_adjusted(base: PriceBase, model: ProcurementModel,
     covered = base.covered(params).select("product_id", "benchmark_price")
     dated = base.points.where(F.col("order_year").isNotNull()).join(
         covered.select("product_id"), "product_id", "left_semi")
-    yearly = benchmarks(dated, "order_year").select(
+    yearly = benchmarks(dated, base.rows, "order_year").select(
         "product_id", "order_year", F.col("benchmark_price").alias("_bench_year"))
     grouped = dated.groupBy("vendor_id", "product_id", "order_year").agg(
         F.sum("lines").alias("lines"), F.sum("quantity").alias("quantity"),

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from ..functions import populations as pop
 from ..functions.measures import percent_change, ratio
-from ..operators.joins import describe
+from ..operators.joins import describe, with_scalar
 from ..operators.median import exact_median
 from ..operators.ranking import top_k
 from ..operators.shares import share_of_total
 from ..sources.model import ProcurementModel
+from ..sources.tables import measured
 
 
 def spend_sum(alias: str = "spend") -> Column:
@@ -108,7 +109,7 @@ def reconciliation_check(model: ProcurementModel, tolerance: float = 0.01) -> Da
     """Yearly spend plus undated spend against the total."""
     totals = reconciliation(model)
     dated = yearly(model).agg(F.sum("spend").alias("dated_spend"))
-    summed = totals.crossJoin(F.broadcast(dated)).select(
+    summed = with_scalar(totals, dated).select(
         "total_spend", (F.col("dated_spend") + F.col("spend_with_missing_order_date"))
         .alias("sum_of_parts"))
     gap = F.col("sum_of_parts") - F.col("total_spend")
@@ -134,10 +135,12 @@ def ordered_by_year(model: ProcurementModel) -> DataFrame:
 
 def po_value_stats(model: ProcurementModel) -> DataFrame:
     """Mean and median value of a purchase order."""
-    per_po = spend_by(model, "po_id").select(F.col("spend").cast("decimal(18,4)").alias("value"))
-    mean = per_po.agg(F.count(F.lit(1)).alias("po_count"), F.sum("value").alias("_sum")).select(
-        "po_count", ratio("_sum", "po_count").alias("mean_po_value"))
-    return mean.crossJoin(F.broadcast(exact_median(per_po, [], "value", "median_po_value")))
+    values = spend_by(model, "po_id").select(F.col("spend").cast("decimal(18,4)").alias("value"))
+    per_po, rows = measured(values, "po-values")
+    mean = per_po.agg(F.count(F.lit(1)).alias("po_count"), F.sum("value").alias("_sum"))
+    median = exact_median(per_po, [], "value", "median_po_value", rows=rows)
+    return with_scalar(mean, median).select(
+        "po_count", ratio("_sum", "po_count").alias("mean_po_value"), "median_po_value")
 
 
 def department_category_affinity(model: ProcurementModel) -> DataFrame:

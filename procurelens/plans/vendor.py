@@ -26,8 +26,7 @@ def spend_ranking(model: ProcurementModel) -> DataFrame:
     totals = model.fact.where(pop.eligible_spend()).groupBy("vendor_id").agg(
         spend_sum(), F.count_distinct("po_id").alias("po_count"),
         F.count(F.lit(1)).alias("line_count"))
-    known = working_set(describe(totals, model.vendors, "vendor_id", VENDOR_COLUMNS),
-                        "vendor-spend")
+    known = describe(totals, model.vendors, "vendor_id", VENDOR_COLUMNS)
     placed = ordered_position(known, "spend", ["vendor_id"], running=["spend"])
     return placed.select(
         F.col("position").alias("spend_rank"), "vendor_id", *VENDOR_COLUMNS, "po_count",
@@ -121,8 +120,7 @@ def single_source_products(model: ProcurementModel, n: int = 10) -> DataFrame:
 
 def pareto_count(model: ProcurementModel, threshold: float = PARETO_SHARE) -> DataFrame:
     """How many of the largest vendors it takes to reach a share of spend."""
-    totals = working_set(spend_by(model, "vendor_id"), "vendor-spend")
-    placed = ordered_position(totals, "spend", ["vendor_id"], running=["spend"])
+    placed = ordered_position(spend_by(model, "vendor_id"), "spend", ["vendor_id"], running=["spend"])
     before = F.col("running_spend") - F.col("spend")
     reached = F.try_divide(before.cast("double"), F.col("total_spend").cast("double"))
     return placed.agg(F.count(F.lit(1)).alias("vendors"),

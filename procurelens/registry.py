@@ -71,13 +71,15 @@ def _on_prices(plan: Callable[..., DataFrame], with_model: bool = False) -> Quer
     return run
 
 
-def _opportunity_base(spark: SparkSession, folder: str) -> opportunity.OpportunityBase:
+def _opportunity_base(spark: SparkSession, folder: str,
+                      shared: bool = True) -> opportunity.OpportunityBase:
     model = source.procurement_model(spark, folder, "brand", (EXPECTED,))
-    return opportunity.OpportunityBase.build(model, OPPORTUNITY)
+    return opportunity.OpportunityBase.build(model, OPPORTUNITY, shared)
 
 
-def _on_opportunity(plan: Callable[[opportunity.OpportunityBase], DataFrame]) -> Query:
-    return lambda spark, folder: plan(_opportunity_base(spark, folder))
+def _on_opportunity(plan: Callable[[opportunity.OpportunityBase], DataFrame],
+                    shared: bool = False) -> Query:
+    return lambda spark, folder: plan(_opportunity_base(spark, folder, shared))
 
 
 def _on_exports(plan: Callable[..., DataFrame]) -> Query:
@@ -123,7 +125,7 @@ def _clean_dim(name: str, clean: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _order_days(spark: SparkSession, folder: str) -> DataFrame:
-    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    orders = source.open_table(spark, folder, "orders")
     return orders.groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
         F.count("o_orderkey").alias("orders"))
 
@@ -155,7 +157,7 @@ def collision_survivors(staging: DataFrame) -> DataFrame:
 
 
 def badness_profile(staging: DataFrame) -> DataFrame:
-    return cleaning.with_badness(cleaning.deduplicate(staging)).groupBy("badness_score").agg(
+    return cleaning.deduplicate(cleaning.with_badness(staging)).groupBy("badness_score").agg(
         F.count(F.lit(1)).alias("lines"))
 
 
@@ -309,7 +311,7 @@ def all_queries() -> dict[str, Query]:
         "opp_reconciliation": _on_opportunity(opportunity.reconciliation),
         "opp_flagged_pairs": _on_opportunity(lambda b: b.flagged().select(
             "product_id", "vendor_id", "lines", "spend", "bench_spend", "gap")),
-        "opp_summary": _on_opportunity(opportunity.summary),
+        "opp_summary": _on_opportunity(opportunity.summary, shared=True),
         "opp_by_vendor": _on_opportunity(opportunity.by_vendor),
         "opp_by_category": _on_opportunity(opportunity.by_category),
         "opp_reliability_adjusted": _on_opportunity(opportunity.reliability_adjusted),
@@ -322,10 +324,10 @@ def all_queries() -> dict[str, Query]:
         "opp_open_largest": _on_model(
             lambda m: opportunity.open_largest(m, OPPORTUNITY), need=dates),
         "opp_tail_spend": _on_model(opportunity.tail_spend),
-        "opp_headlines": _on_opportunity(opportunity.headlines),
-        "opp_export_scorecard": _on_opportunity(opportunity.export_scorecard),
+        "opp_headlines": _on_opportunity(opportunity.headlines, shared=True),
+        "opp_export_scorecard": _on_opportunity(opportunity.export_scorecard, shared=True),
         "opp_export_pairs": _on_opportunity(opportunity.export_pairs),
-        "opp_min_vendors_sensitivity": _on_opportunity(opportunity.min_vendors_sensitivity),
+        "opp_min_vendors_sensitivity": _on_opportunity(opportunity.min_vendors_sensitivity, shared=True),
         "opp_price_delivery_corr": _on_opportunity(opportunity.price_delivery_correlation),
         "opp_scenarios": _on_exports(
             lambda b, p, v: savings_model.scenarios(p, v, b.params)),
@@ -341,7 +343,7 @@ def all_queries() -> dict[str, Query]:
             lambda s: forecast.seasonal_profile(s, PROFILE_YEARS)),
         "fc_seasonality_corr": _on_series(
             lambda s: forecast.seasonality_correlation(s, *COMPARED_YEARS)),
-        "fc_forecasts": _on_forecast(lambda b: b.forecasts),
+        "fc_forecasts": _on_forecast(lambda b: b.forecasts.drop("actual")),
         "fc_backtest_detail": _on_forecast(forecast.backtest_detail),
         "fc_accuracy": _on_forecast(forecast.accuracy),
         "fc_accuracy_pooled": _on_forecast(forecast.accuracy_pooled),

@@ -2,21 +2,36 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+TABLES = ("fact", "vendors", "products", "departments", "calendar")
+
 
-@dataclass(frozen=True)
 class ProcurementModel:
     """Cleaned fact (one row per PO line) and its dimensions.
 
-    ``columns`` follow ``sources.schemas``. Dimensions an analysis does not
-    touch may be left out.
+    Columns follow ``sources.schemas``. A table is given as a DataFrame or as a
+    function that opens it; a table no analysis touches is never opened.
     """
 
     fact: DataFrame
-    vendors: DataFrame | None = None
-    products: DataFrame | None = None
-    departments: DataFrame | None = None
-    calendar: DataFrame | None = None
+    vendors: DataFrame
+    products: DataFrame
+    departments: DataFrame
+    calendar: DataFrame
+
+    def __init__(self, **tables: DataFrame | Callable[[], DataFrame]) -> None:
+        unknown = set(tables) - set(TABLES)
+        if unknown:
+            raise TypeError(f"unknown tables {sorted(unknown)}")
+        self._tables = tables
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in TABLES or name not in self._tables:
+            raise AttributeError(f"the model has no table {name!r}")
+        table = self._tables[name]
+        opened = table() if callable(table) else table
+        setattr(self, name, opened)
+        return opened

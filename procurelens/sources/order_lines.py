@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,8 +27,34 @@ CALENDAR_START = date(1995, 1, 1)
 CALENDAR_END = date(2001, 8, 31)
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# The columns read from each source table.
+TABLE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+              "o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_shipdate timestamp_ntz",
+}
+
+
+def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """Open a source table with its declared schema (no footer has to be read)."""
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores when a scan has fewer splits than there are cores.
+
+    A file with one row group is one task however many cores wait. Tables with
+    enough splits - any large one - are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
@@ -39,21 +66,25 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
     that ignores them does not pay for those joins.
     """
     need = set(need)
-    orders = _table(spark, folder, "orders").select(
+    orders = open_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("od"))
-    lines = _table(spark, folder, "lineitem").join(
+    lines = spread(open_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber").join(
         orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if grain == "brand" or "expected_delivery_date" in need:
-        part = _table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
+        part = open_table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
     if "department_id" in need:
-        customer = _table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+        customer = open_table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
         lines = lines.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
 
     status = F.col("o_orderstatus")
     named = F.when(status == "F", ORDER_STATUS["F"]).when(status == "O", ORDER_STATUS["O"]).when(
         status == "P", ORDER_STATUS["P"])
-    quantity = F.col("l_quantity").cast("decimal(10,2)")
+    # whole cents and units, so the price is rounded half up without decimal division
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    units = F.col("l_quantity").cast("long")
+    lines = lines.withColumns({"_units": units, "_cents": cents}).withColumn(
+        "_price", F.expr("(2 * _cents + _units) div nullif(2 * _units, 0)"))
     columns = {
         "po_line_id": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
         "po_id": F.col("l_orderkey").cast("string"),
@@ -62,8 +93,8 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
                        else F.col("l_partkey").cast("string")),
         "order_date": F.col("od"),
         "actual_delivery_date": F.when(status == "F", F.col("l_shipdate").cast("date")),
-        "quantity": quantity,
-        "unit_price": (F.col("l_extendedprice").cast("decimal(12,2)") / quantity)
+        "quantity": F.col("_units").cast("decimal(10,2)"),
+        "unit_price": (F.col("_price").cast("decimal(12,0)") * F.lit(Decimal("0.01")))
         .cast("decimal(10,2)"),
         "currency": F.lit("USD"),
         "po_status": named,
@@ -77,11 +108,11 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
 
 
 def vendors(spark: SparkSession, folder: str) -> DataFrame:
-    nation = _table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
-    region = _table(spark, folder, "region").select("r_regionkey", "r_name")
+    nation = open_table(spark, folder, "nation").select("n_nationkey", "n_regionkey")
+    region = open_table(spark, folder, "region").select("r_regionkey", "r_name")
     choices = F.array(*[F.lit(c) for c in VENDOR_CATEGORIES])
     return (
-        _table(spark, folder, "supplier")
+        open_table(spark, folder, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
         .select(
@@ -99,7 +130,7 @@ def vendors(spark: SparkSession, folder: str) -> DataFrame:
 
 def products(spark: SparkSession, folder: str, grain: str = "part") -> DataFrame:
     """One row per part, or per brand with its most frequent part type as category."""
-    part = _table(spark, folder, "part")
+    part = open_table(spark, folder, "part")
     unit = F.split_part("p_name", F.lit(" "), F.lit(2))
     cost = F.col("p_retailprice").cast("decimal(10,2)")
     if grain == "part":
@@ -122,7 +153,7 @@ def products(spark: SparkSession, folder: str, grain: str = "part") -> DataFrame
 
 def departments(spark: SparkSession, folder: str) -> DataFrame:
     segment = F.col("c_mktsegment")
-    return _table(spark, folder, "customer").select("c_mktsegment").distinct().select(
+    return open_table(spark, folder, "customer").select("c_mktsegment").distinct().select(
         segment.alias("department_id"), segment.alias("department"),
         F.when(segment.isin(*CONSUMER_SEGMENTS), "Consumer").otherwise("Industrial")
         .alias("group"))
@@ -135,11 +166,11 @@ def calendar(spark: SparkSession) -> DataFrame:
 def procurement_model(spark: SparkSession, folder: str, grain: str = "part",
                       need: Iterable[str] = ()) -> ProcurementModel:
     return ProcurementModel(
-        fact=purchase_orders(spark, folder, grain, need),
-        vendors=vendors(spark, folder),
-        products=products(spark, folder, grain),
-        departments=departments(spark, folder),
-        calendar=calendar(spark),
+        fact=lambda: purchase_orders(spark, folder, grain, need),
+        vendors=lambda: vendors(spark, folder),
+        products=lambda: products(spark, folder, grain),
+        departments=lambda: departments(spark, folder),
+        calendar=lambda: calendar(spark),
     )
 
 

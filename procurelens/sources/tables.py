@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructType
 
@@ -83,17 +83,29 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def working_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/procurelens/{name}-{uuid.uuid4().hex}"
+    """A fresh path below one folder per application, which can be dropped with it."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/procurelens/{application}/{name}-{uuid.uuid4().hex}"
 
 
-def working_set(df: DataFrame, name: str) -> DataFrame:
-    """Materialise an intermediate result that several branches consume.
+def measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Materialise an intermediate result and say how many rows it has.
 
     The expensive part (scan, joins, first aggregation) runs once, the lineage
     ends at a table that survives lost executors, and Spark knows the real size
-    of the result when it picks join strategies for what follows.
+    of the result when it picks join strategies for what follows. The rows are
+    counted while they are written.
     """
     spark = df.sparkSession
     path = working_path(spark, name)
+    seen = Observation(f"rows of {name}")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
+
+
+def working_set(df: DataFrame, name: str) -> DataFrame:
+    """``measured`` for callers that do not need the number of rows."""
+    spark = df.sparkSession
+    path = working_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
