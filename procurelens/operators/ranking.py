@@ -74,8 +74,8 @@ def ordered_position(df: DataFrame, value: str, tie: Sequence[str], by: Sequence
     """Number rows by ``value`` and accumulate ``running`` columns in that order.
 
     Adds ``position`` (row number), ``tie_rank`` (rank with ties),
-    ``group_rows``, and per running column ``running_<c>`` and ``total_<c>``.
-    Ties follow a hash of ``tie``, then ``tie``. ``rows`` is the measured size of
+    ``group_rows``, and per running column ``running_<c>`` and ``total_<c>``
+    (NULLs add nothing). Ties follow a hash of ``tie``, then ``tie``. ``rows`` is the measured size of
     ``df`` if the caller has it; otherwise ``df`` is materialised and measured.
     """
     if rows is None:
@@ -95,7 +95,7 @@ def _position_by_sort(df: DataFrame, value: str, tie: list[str], by: list[str],
         *df.columns, F.row_number().over(in_order).cast("long").alias("position"),
         F.rank().over(group.orderBy(direction)).cast("long").alias("tie_rank"),
         F.count(F.lit(1)).over(group).alias("group_rows"),
-        *[F.sum(c).over(upto).alias(f"running_{c}") for c in running],
+        *[F.coalesce(F.sum(c).over(upto), F.lit(0)).alias(f"running_{c}") for c in running],
         *[F.sum(c).over(group).alias(f"total_{c}") for c in running])
 
 
@@ -139,7 +139,8 @@ def _position_by_counts(df: DataFrame, value: str, tie: list[str], by: list[str]
         (F.col("_before_n") + F.row_number().over(local)).alias("position"),
         (F.col("_value_start") + 1).alias("tie_rank"),
         F.col("_all_n").alias("group_rows"),
-        *[(F.col(f"_before_s_{c}") + F.sum(c).over(upto)).alias(f"running_{c}") for c in running],
+        *[(F.col(f"_before_s_{c}") + F.coalesce(F.sum(c).over(upto), F.lit(0)))
+          .alias(f"running_{c}") for c in running],
         *[F.col(f"_all_s_{c}").alias(f"total_{c}") for c in running],
     )
 

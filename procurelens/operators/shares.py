@@ -31,7 +31,7 @@ def minmax_score(df: DataFrame, columns: dict[str, tuple[str, str]]) -> DataFram
     ``"high"`` or ``"low"``. The score is NULL when all rows are equal.
     """
     bounds = []
-    for source, _ in columns.values():
+    for source in dict.fromkeys(source for source, _ in columns.values()):
         bounds += [F.min(source).alias(f"_min_{source}"), F.max(source).alias(f"_max_{source}")]
     scored = with_scalar(df, df.agg(*bounds))
     for out, (source, best) in columns.items():

@@ -17,7 +17,6 @@ from ..operators.shares import share_of_total
 from ..params import WEAK_ON_TIME
 from ..sources.model import ProcurementModel
 from ..sources.tables import working_set
-from .spend import spend_by
 from .vendor import VENDOR_COLUMNS
 
 # Lateness buckets by days after the expected date.
@@ -73,14 +72,25 @@ def overall(model: ProcurementModel) -> DataFrame:
                            avg_days_late().alias("avg_days_late"), "max_days_late")
 
 
-def scorecard(model: ProcurementModel) -> DataFrame:
-    """All vendors with spend share and delivery side by side.
+def vendor_position(model: ProcurementModel) -> DataFrame:
+    """Spend and delivery measures per vendor from one pass over Completed lines.
 
-    Spend and delivery are aggregated under their own rules before they meet.
+    The two populations stay separate: each measure counts only its own lines,
+    and a vendor without any has NULL there.
     """
-    combined = (model.vendors.select("vendor_id", *VENDOR_COLUMNS)
-                .join(spend_by(model, "vendor_id"), "vendor_id", "left")
-                .join(delivery_base(model), "vendor_id", "left"))
+    counted, late = pop.plausible_delivery(), days_late() > 0
+    return model.fact.where(pop.has_status(pop.COMPLETED)).groupBy("vendor_id").agg(
+        F.sum(F.when(pop.valid_amount(), pop.line_spend())).alias("spend"),
+        F.nullif(F.count_if(counted), F.lit(0)).alias("delivery_lines"),
+        F.count_if(counted & ~late).alias("on_time_lines"),
+        F.count_if(counted & late).alias("late_lines"),
+        F.sum(F.when(counted & late, days_late()).otherwise(0)).alias("late_days"))
+
+
+def scorecard(model: ProcurementModel) -> DataFrame:
+    """All vendors with spend share and delivery side by side."""
+    combined = model.vendors.select("vendor_id", *VENDOR_COLUMNS).join(
+        vendor_position(model), "vendor_id", "left")
     shared = share_of_total(working_set(combined, "vendor-scorecard"), "spend", "pct_of_spend")
     return shared.select("vendor_id", *VENDOR_COLUMNS, "spend", "pct_of_spend", "delivery_lines",
                          on_time_pct().alias("on_time_pct"),
@@ -125,8 +135,8 @@ def calendar_gap(model: ProcurementModel) -> DataFrame:
 
 def weak_share(model: ProcurementModel, cutoff: float = WEAK_ON_TIME) -> DataFrame:
     """Vendors under an on-time cutoff and the spend that depends on them."""
-    combined = spend_by(model, "vendor_id").join(delivery_base(model), "vendor_id", "left")
-    return weak_share_of(combined.select("spend", on_time_pct().alias("on_time_pct")), cutoff)
+    rated = vendor_position(model).where(F.col("spend").isNotNull())
+    return weak_share_of(rated.select("spend", on_time_pct().alias("on_time_pct")), cutoff)
 
 
 def weak_share_of(vendors: DataFrame, cutoff: float = WEAK_ON_TIME) -> DataFrame:

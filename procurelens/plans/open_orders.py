@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import populations as pop
@@ -39,14 +39,25 @@ def _overdue_days():
 
 def aging(model: ProcurementModel, as_of: date | None = None,
           include_not_due: bool = False) -> DataFrame:
-    """Lines and spend per aging bucket, with or without lines not due yet."""
-    due = _with_as_of(model, model.fact.where(pop.open_with_due_date()), as_of)
+    """Lines and spend per aging bucket, with or without lines not due yet.
+
+    One pass reduces the lines to due days - a calendar's worth of rows - which
+    also carry the latest delivery for an ``as_of`` taken from the data.
+    """
+    open_line, completed = pop.open_with_due_date(), pop.has_status(pop.COMPLETED)
+    per_day = model.fact.where(open_line | completed).groupBy("expected_delivery_date").agg(
+        F.count_if(open_line).alias("open_lines"),
+        F.sum(F.when(open_line, pop.line_spend())).alias("open_spend"),
+        F.max(F.when(completed, F.col("actual_delivery_date"))).alias("_latest"))
+    latest = F.max("_latest").over(Window.partitionBy())
+    due = per_day.withColumn("as_of", latest if as_of is None else day_literal(as_of)).where(
+        F.col("open_lines") > 0)
     if not include_not_due:
         due = due.where(F.col("expected_delivery_date") < F.col("as_of"))
     rules = (*NOT_DUE, *AGING) if include_not_due else AGING
     bucket = band(_overdue_days(), rules, AGING_REST).alias("bucket")
-    return due.groupBy(bucket).agg(F.count(F.lit(1)).alias("open_lines"),
-                                   F.sum(pop.line_spend()).alias("open_spend"))
+    return due.groupBy(bucket).agg(F.sum("open_lines").alias("open_lines"),
+                                   F.sum("open_spend").alias("open_spend"))
 
 
 def _overdue_per_vendor(model: ProcurementModel, as_of: date | None) -> DataFrame:

@@ -38,7 +38,9 @@ def scenario_row(pairs: DataFrame, scorecard: DataFrame,
     """All scenario figures as one row."""
     gap = F.col("gap_to_median")
     unreliable = F.when(F.col("vendor_on_time_pct") < params.strong, gap).otherwise(0)
-    summed = pairs.agg(F.sum(gap).alias("gap_ceiling"), F.sum(unreliable).alias("_unreliable"),
+    nothing = F.lit(0)
+    summed = pairs.agg(F.coalesce(F.sum(gap), nothing).alias("gap_ceiling"),
+                       F.coalesce(F.sum(unreliable), nothing).alias("_unreliable"),
                        F.count(F.lit(1)).alias("flagged_pairs"))
     spend = scorecard.agg(F.sum("spend").alias("total_spend"),
                           F.count(F.lit(1)).alias("vendors"))
@@ -85,10 +87,11 @@ def tracker_variance(tracker: DataFrame, pairs: DataFrame,
 
 def checks(base: OpportunityBase, pairs: DataFrame, scorecard: DataFrame) -> DataFrame:
     """Export-based figures against the unrounded analysis, within the tolerance."""
-    adjusted = opp.reliability_adjusted(base)
+    adjusted = opp.reliability_adjusted(base).select(
+        F.coalesce("savings_base_excl_reliable_vendors", F.lit(0))
+        .alias("reliability_adjusted_base"))
     expected = scalar_metrics(
-        with_scalar(opp.headline_row(base), adjusted.withColumnRenamed(
-            "savings_base_excl_reliable_vendors", "reliability_adjusted_base")),
+        with_scalar(opp.headline_row(base), adjusted),
         ["total_spend", "flagged_pairs", "gap_ceiling", "savings_low", "savings_base",
          "savings_high", "reliability_adjusted_base", "dear_weak_vendors", "dear_weak_spend"])
     cell = (F.col("price_band") == opp.ABOVE) & (F.col("delivery_band") == opp.WEAK)
