@@ -209,7 +209,7 @@ def test_year_adjusted_and_volume(priced):
 
 def test_opportunity_end_to_end(priced, spark):
     m, _ = priced
-    params = OpportunityParams(min_lines=2, pair_min_lines=1, as_of=date(2025, 12, 31))
+    params = OpportunityParams(min_lines=1, pair_min_lines=1, as_of=date(2025, 12, 31))
     base = opportunity.OpportunityBase.build(m, params)
     got = one(opportunity.summary(base))
     assert (got["flagged_pairs"], got["gap_ceiling"], got["savings_low"]) == (
@@ -219,6 +219,9 @@ def test_opportunity_end_to_end(priced, spark):
     pairs, vendors = opportunity.export_pairs(base), opportunity.export_scorecard(base)
     assert {r["flagged_products"] for r in vendors.collect()} == {0, 1}
     assert all(r["pass"] for r in savings_model.checks(base, pairs, vendors).collect())
+    thin = opportunity.OpportunityBase.build(m, OpportunityParams(min_lines=2, pair_min_lines=1))
+    failed = savings_model.checks(thin, pairs, opportunity.export_scorecard(thin)).where("NOT pass")
+    assert rows(failed, "check", "difference") == [("total_spend", -5.0)]  # P2 is too thin to score
     tracker = spark.createDataFrame(
         [("Vendor V2 | Product P1", "Realized", Decimal("2")), ("gone", "Rejected", Decimal("0"))],
         "key string, status string, realized_savings decimal(18,2)")
