@@ -44,7 +44,7 @@ SQL = {
                count(o_orderkey) AS orders
         FROM calendar LEFT JOIN orders ON CAST(o_orderdate AS DATE) = date
         GROUP BY ALL""", CALENDAR),
-    "build_calendar_week_block": query(f"""
+    "build_calendar": query(f"""
         SELECT {big("year(d)")} AS year, {big("(dayofyear(d) - 1) // 7 + 1")} AS week_block,
                {big("weekofyear(d)")} AS iso_week, count(*) AS orders
         FROM (SELECT CAST(o_orderdate AS DATE) AS d FROM orders) GROUP BY ALL"""),

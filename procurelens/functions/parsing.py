@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO_DATE = "yyyy-MM-dd"
-
 # Every known spelling (lower case, trimmed) of a canonical value.
 CURRENCY_SPELLINGS = {"usd": "USD", "us dollar": "USD"}
 STATUS_SPELLINGS = {
@@ -27,8 +25,15 @@ def is_missing(column: str | Column) -> Column:
 
 
 def parse_date(column: str | Column) -> Column:
-    """Strict ISO date. A partial date such as ``2024`` is rejected."""
-    return F.try_to_date(F.trim(_col(column)), ISO_DATE)
+    """Strict ISO date. A partial date such as ``2024`` is rejected.
+
+    The cast alone would also take partial dates and a time suffix, so the shape
+    is checked first; both steps are far cheaper than a formatter.
+    """
+    text = F.trim(_col(column))
+    shaped = ((F.length(text) == 10) & (F.substring(text, 5, 1) == "-")
+              & (F.substring(text, 8, 1) == "-") & (F.substring(text, 10, 1) != "T"))
+    return F.when(shaped, text.try_cast("date"))
 
 
 def parse_decimal(column: str | Column, precision: int = 10, scale: int = 2) -> Column:

@@ -212,6 +212,12 @@ def _metrics(base) -> DataFrame:
         for c in scored.columns if c != "composite"])
 
 
+def thin_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Coverage by part: most parts have too few lines for a stable median."""
+    base = pricing.PriceBase.build(source.procurement_model(spark, folder))
+    return pricing.coverage(base, pricing.PriceParams(min_lines=10))
+
+
 def all_queries() -> dict[str, Query]:
     dates, everything = (EXPECTED,), (EXPECTED, DEPARTMENT)
     raw: dict[str, Query] = {
@@ -238,7 +244,7 @@ def all_queries() -> dict[str, Query]:
         "clean_vendor": _clean_dim("vendors", cleaning.clean_vendor),
         "clean_product": _clean_dim("products", cleaning.clean_product),
         "clean_date": clean_date,
-        "build_calendar_week_block": week_blocks,
+        "build_calendar": week_blocks,
         "io_staging_csv": staging_csv,
         "io_cleaned_table": cleaned_table,
         "io_export_roundtrip": export_roundtrip,
@@ -289,6 +295,7 @@ def all_queries() -> dict[str, Query]:
         # pricing
         "price_base": _on_model(pricing.price_base, "brand"),
         "price_coverage": _on_prices(pricing.coverage),
+        "price_coverage_thin": thin_coverage,
         "price_lines_per_product": _on_model(pricing.lines_per_product, "brand"),
         "price_top_variation": _on_prices(pricing.top_variation),
         "price_index_bands": _on_prices(pricing.index_bands),
@@ -304,7 +311,7 @@ def all_queries() -> dict[str, Query]:
         "price_candidates": _on_prices(pricing.candidates, with_model=True),
         "price_year_adjusted": _on_prices(pricing.year_adjusted, with_model=True),
         # opportunity
-        "opp_weights_check": _on_opportunity(
+        "opp_params_check": _on_opportunity(
             lambda b: opportunity.weights_check(b.params, b)),
         "opp_price_base": _on_prices(pricing.priced_pairs),
         "opp_delivery_base": _on_model(delivery.delivery_base, need=dates),

@@ -161,11 +161,12 @@ def test_reconcile_reports_missing_sides(spark):
 def test_parsing(spark):
     df = spark.createDataFrame(
         [("2024-02-10",), (" 2024-02-10 ",), ("2024",), ("2024-2-5",), ("",), ("2024-13-45",),
-         (None,)], "t string")
+         (None,), ("2024-02-1T",), ("12024-2-05",)], "t string")
     parsed = [r[0] for r in df.select(parsing.parse_date("t")).collect()]
-    assert parsed == [day("2024-02-10"), day("2024-02-10"), None, None, None, None, None]
+    assert parsed == [day("2024-02-10"), day("2024-02-10"), None, None, None, None, None, None,
+                      None]
     malformed = [r[0] for r in df.select(parsing.is_malformed_date("t")).collect()]
-    assert malformed == [False, False, True, True, False, True, False]
+    assert malformed == [False, False, True, True, False, True, False, True, True]
     numbers = spark.createDataFrame([("12.345",), (" 7 ",), ("x",), ("",), ("999999999",)],
                                     "t string")
     assert [r[0] for r in numbers.select(parsing.parse_decimal("t")).collect()] == [
