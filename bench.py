@@ -31,7 +31,7 @@ HEADLINE = (
     "price_year_adjusted", "opp_summary", "opp_scorecard", "opp_quadrants", "opp_tail_spend",
     "fc_accuracy", "fc_final",
 )
-WARM_UP = ("spend_by_category", "price_index_bands", "opp_scorecard")
+WARM_UP = ("clean_fact", "spend_by_category", "price_index_bands", "opp_scorecard")
 
 
 def run(query, spark, folder: str) -> float:

@@ -61,9 +61,9 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
                     need: Iterable[str] = ()) -> DataFrame:
     """PO lines. ``grain`` picks the product key: ``part`` or ``brand``.
 
-    ``expected_delivery_date`` (needs the part table) and ``department_id``
-    (needs the customer table) exist only when listed in ``need``, so a query
-    that ignores them does not pay for those joins.
+    ``expected_delivery_date`` (needs the part table), ``department_id`` (needs
+    the customer table) and the numeric ``order_key`` exist only when listed in
+    ``need``, so a query that ignores them does not pay for those joins.
     """
     need = set(need)
     orders = open_table(spark, folder, "orders").select(
@@ -104,6 +104,8 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
             F.col("od"), F.col("p_size") * DAYS_PER_SIZE_UNIT)
     if "department_id" in need:
         columns["department_id"] = F.col("c_mktsegment")
+    if "order_key" in need:
+        columns["order_key"] = F.col("l_orderkey")
     return lines.select(*[c.alias(name) for name, c in columns.items()])
 
 
@@ -192,8 +194,9 @@ def staging_lines(spark: SparkSession, folder: str) -> DataFrame:
     The whole table passes through; the arithmetic only decides which lines get
     a defect, so that auditing and cleaning have something to find.
     """
-    fact = purchase_orders(spark, folder, "part", ("expected_delivery_date", "department_id"))
-    key = F.col("po_id").cast("long")
+    fact = purchase_orders(spark, folder, "part",
+                           ("expected_delivery_date", "department_id", "order_key"))
+    key = F.col("order_key")
 
     def hit(divisor: int):
         return key % divisor == 0
