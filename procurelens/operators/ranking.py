@@ -75,8 +75,9 @@ def ordered_position(df: DataFrame, value: str, tie: Sequence[str], by: Sequence
 
     Adds ``position`` (row number), ``tie_rank`` (rank with ties),
     ``group_rows``, and per running column ``running_<c>`` and ``total_<c>``
-    (NULLs add nothing). Ties follow a hash of ``tie``, then ``tie``. ``rows`` is the measured size of
-    ``df`` if the caller has it; otherwise ``df`` is materialised and measured.
+    (NULLs add nothing). Ties follow a hash of ``tie``, then ``tie``. ``rows`` is
+    the measured size of ``df`` if the caller has it; otherwise ``df`` is
+    materialised and measured.
     """
     if rows is None:
         df, rows = measured(df, "ordering")

@@ -120,7 +120,8 @@ def single_source_products(model: ProcurementModel, n: int = 10) -> DataFrame:
 
 def pareto_count(model: ProcurementModel, threshold: float = PARETO_SHARE) -> DataFrame:
     """How many of the largest vendors it takes to reach a share of spend."""
-    placed = ordered_position(spend_by(model, "vendor_id"), "spend", ["vendor_id"], running=["spend"])
+    placed = ordered_position(spend_by(model, "vendor_id"), "spend", ["vendor_id"],
+                              running=["spend"])
     before = F.col("running_spend") - F.col("spend")
     reached = F.try_divide(before.cast("double"), F.col("total_spend").cast("double"))
     return placed.agg(F.count(F.lit(1)).alias("vendors"),

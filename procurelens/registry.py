@@ -334,7 +334,8 @@ def all_queries() -> dict[str, Query]:
         "opp_headlines": _on_opportunity(opportunity.headlines, shared=True),
         "opp_export_scorecard": _on_opportunity(opportunity.export_scorecard, shared=True),
         "opp_export_pairs": _on_opportunity(opportunity.export_pairs),
-        "opp_min_vendors_sensitivity": _on_opportunity(opportunity.min_vendors_sensitivity, shared=True),
+        "opp_min_vendors_sensitivity": _on_opportunity(
+            opportunity.min_vendors_sensitivity, shared=True),
         "opp_price_delivery_corr": _on_opportunity(opportunity.price_delivery_correlation),
         "opp_scenarios": _on_exports(
             lambda b, p, v: savings_model.scenarios(p, v, b.params)),
