@@ -4,11 +4,12 @@ A *window* is ``size`` consecutive words of one document. A window that starts a
 of the corpus is repeated, and every word of it goes, at all its places.
 
 Pass one sketches the corpus (count-min, one row of cells saturating at two, merged from all
-tasks). To keep the sketch small, it counts one *anchor* for each window: among the
-``size - size // 2`` runs of ``size // 2 + 1``... words inside it, the one with the least hash.
+tasks). To keep the sketch small, it counts one *anchor* for each window: among the runs
+of ``size // 2 + 1`` words inside it, the one with the least hash.
 Equal windows have equal anchors, so an anchor's cell never holds less than the count of any
 window around it. Pass two hashes the windows again, keeps those whose anchor may repeat,
-and groups exactly these by 128-bit hash. What the sketch overestimates is dropped there.
+and groups exactly these, by 96 bits of hash. A task settles what repeats within its own share and sends each
+of its distinct windows once, so a window that very many documents hold arrives once from each share.
 """
 
 from __future__ import annotations
@@ -27,7 +28,9 @@ from .store import saved
 from .wordhash import EXACT, U, mix, ngrams, signed, slices, split_words
 
 #: Cells per anchor; bytes of text per word and words per anchor only size the sketch.
-CELLS, BYTES_PER_WORD = 8, 6
+CELLS, BYTES_PER_WORD = 24, 6
+#: Windows that a task settles at a time, and bytes of text for each group of hashes.
+SHARE, GROUP_BYTES = 1_500_000, 32 << 20
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
@@ -76,10 +79,74 @@ def _text_keys(words) -> np.ndarray:
     return sums[words.offsets[1:]] - sums[words.offsets[:-1]]
 
 
-def _suspects(size: int, seen):
-    """Windows whose anchor may repeat: two hashes, and where they start."""
+_ROWS = "bucket int, k1 binary, k2 binary, row binary, at binary, doc_ids array<bigint>, text_keys array<bigint>"
+
+
+def _grouped(k1: np.ndarray, k2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by hash, and the number of the group of equal hashes of each entry in that order."""
+    order = np.lexsort((k2, k1))
+    new = np.ones(len(order), bool)
+    new[1:] = (k1[order[1:]] != k1[order[:-1]]) | (k2[order[1:]] != k2[order[:-1]])
+    return order, np.cumsum(new) - 1
+
+
+class _Share:
+    """Windows of a task's share: hashes, places, and the documents that the places point to."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.ids: list[pa.Array] = []
+        self.keys: list[np.ndarray] = []
+        self.rows, self.count = 0, 0
+
+    def add(self, k1, k2, row, at, ids: pa.Array, keys: np.ndarray) -> None:
+        self.parts.append((k1, k2, (row + self.rows).astype(np.int32), at.astype(np.int32)))
+        self.ids.append(ids)
+        self.keys.append(keys)
+        self.rows += len(ids)
+        self.count += len(k1)
+
+    def rows_of(self, bucket: int, k1, k2, row, at) -> dict:
+        """One output row; documents are numbered anew, -1 stays."""
+        used, again = np.unique(row[row >= 0], return_inverse=True)
+        number = np.full(len(row), -1, np.int32)
+        number[row >= 0] = again
+        return {"bucket": bucket, "k1": k1.tobytes(), "k2": k2.tobytes(), "row": number.tobytes(), "at": at.tobytes(),
+                "doc_ids": self.all_ids.take(pa.array(used)).to_pylist(), "text_keys": self.all_keys[used].tolist()}
+
+    def settled(self, bits: int) -> list[dict]:
+        """Places of windows that repeat here (without hashes), and each distinct window once for its bucket."""
+        k1, k2, row, at = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        self.all_ids, self.all_keys = pa.concat_arrays(self.ids), signed(np.concatenate(self.keys))
+        order, group = _grouped(k1, k2)
+        sizes = np.bincount(group)
+        many = np.zeros(len(order), bool)
+        many[order] = sizes[group] > 1
+        none = np.zeros(0, U)
+        out = []
+        if many.any():
+            out.append(self.rows_of(int(self.all_keys[row[many][0]]) & ((1 << bits) - 1), none, none.astype(np.uint32),
+                                    row[many], at[many]))
+        first = order[np.cumsum(sizes) - sizes]
+        first.sort()  # by document again
+        k1, k2, at = k1[first], k2[first], at[first]
+        row = np.where(many[first], -1, row[first]).astype(np.int32)
+        bucket = (k1 >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(k1), np.int64)
+        by_bucket = np.argsort(bucket, kind="stable")
+        bounds = np.searchsorted(bucket[by_bucket], np.arange((1 << bits) + 1))
+        for i in np.flatnonzero(np.diff(bounds)):
+            chosen = by_bucket[bounds[i]:bounds[i + 1]]
+            out.append(self.rows_of(int(i), k1[chosen], k2[chosen], row[chosen], at[chosen]))
+        return out
+
+
+def _suspects(size: int, bits: int, seen):
+    """Windows whose anchor may repeat, in buckets by hash."""
+    schema = pa.schema([("bucket", pa.int32()), ("k1", pa.binary()), ("k2", pa.binary()), ("row", pa.binary()),
+                        ("at", pa.binary()), ("doc_ids", pa.list_(pa.int64())), ("text_keys", pa.list_(pa.int64()))])
+
     def run(batches):
-        known = seen.value
+        known, share = seen.value, _Share()
         for part in slices(batches):
             words = split_words(part.column("text"), EXACT)
             if len(words.starts) < size:
@@ -91,15 +158,71 @@ def _suspects(size: int, seen):
             if not len(at):
                 continue
             row = np.searchsorted(words.offsets, at, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(ngrams(hashes, size, 1)[at])),
-                 pa.array(signed(ngrams(words.hashes(2), size, 2)[at])),
-                 part.column("doc_id").take(pa.array(row)), pa.array(signed(_text_keys(words)[row])),
-                 pa.array((at - words.offsets[row]).astype(np.int32))], names=["k1", "k2", "doc_id", "text_key", "at"])
+            share.add(ngrams(hashes, size, 1)[at], (ngrams(words.hashes(2), size, 2)[at] >> U(32)).astype(np.uint32),
+                      row, at - words.offsets[row], part.column("doc_id"), _text_keys(words))
+            if share.count > SHARE:
+                yield pa.RecordBatch.from_pylist(share.settled(bits), schema)
+                share = _Share()
+        if share.count:
+            yield pa.RecordBatch.from_pylist(share.settled(bits), schema)
 
     return run
 
 
+def _places(batches):
+    """``(doc_id, text_key, starts)`` of repeated windows, bucket by bucket."""
+    held: list[tuple] = []
+    names = ["doc_id", "text_key", "starts"]
+
+    def rows(ids, keys, row, at):
+        order = np.lexsort((at, row))
+        row, at = row[order], at[order]
+        first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+        offsets = np.concatenate([first, [len(row)]]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(row[first])), keys.take(pa.array(row[first])),
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(at))], names=names)
+
+    def settle():
+        k1, k2, row, at = (np.concatenate(x) for x in list(zip(*held, strict=True))[:4])
+        base = np.cumsum([0] + [len(h[4]) for h in held])
+        row = row.astype(np.int64)
+        shift = np.repeat(base[:-1], [len(h[0]) for h in held])
+        ids, keys = pa.concat_arrays([h[4] for h in held]), pa.concat_arrays([h[5] for h in held])
+        order, group = _grouped(k1, k2)
+        told = np.bincount(group, weights=row[order] < 0) > 0  # a share settled it: it repeats there
+        again = order[(np.bincount(group) > 1)[group] | told[group]]
+        again = again[row[again] >= 0]
+        held.clear()
+        if len(again):
+            yield rows(ids, keys, (row + shift)[again], at[again])
+
+    bucket = None
+    for batch in batches:
+        for i in range(batch.num_rows):
+            here = batch.column("bucket")[i].as_py()
+            if here != bucket and held:
+                yield from settle()
+            bucket = here
+            k1, k2, row, at = (np.frombuffer(batch.column(n)[i].as_buffer(), t) for n, t in
+                               (("k1", U), ("k2", np.uint32), ("row", np.int32), ("at", np.int32)))
+            ids, keys = batch.column("doc_ids")[i].values, batch.column("text_keys")[i].values
+            if len(k1):
+                held.append((k1, k2, row, at, ids, keys))
+            else:
+                yield rows(ids, keys, row, at)
+    if held:
+        yield from settle()
+
+
+def _text_keys(words) -> np.ndarray:
+    """A hash of the whole word sequence of each text."""
+    hashes = words.hashes(5)
+    place = np.arange(len(hashes)) - np.repeat(words.offsets[:-1], np.diff(words.offsets))
+    sums = np.concatenate([[U(0)], np.cumsum(mix(hashes + place.astype(U) * U(0x9E3779B97F4A7C15)))])
+    return sums[words.offsets[1:]] - sums[words.offsets[:-1]]
+
+
 def _keep(size: int):
     """Cut the words that windows at ``found`` cover."""
     def run(batches):
@@ -153,10 +276,11 @@ def without_repeats(documents: DataFrame, size: int = 35, keep: Sequence[str] =
     per_anchor = (size - size // 2) / 2 * BYTES_PER_WORD
     seen = spark.sparkContext.broadcast(
         repeated(documents.select("text"), _anchor_items(size), size_bits(total / per_anchor, CELLS)))
-    places = documents.select("doc_id", "text").mapInArrow(_suspects(size, seen), "k1 long, k2 long, doc_id long, text_key long, at int")
-    again = places.groupBy("k1", "k2").agg(F.count("*").alias("starts")).where("starts > 1").select("k1", "k2")
-    found = (places.join(again, ["k1", "k2"]).groupBy("doc_id", "text_key")
-             .agg(F.collect_set("at").alias("found")))
+    bits = min(14, max(5, int(total // GROUP_BYTES).bit_length()))
+    found = (documents.select("doc_id", "text").mapInArrow(_suspects(size, bits, seen), _ROWS)
+             .repartition(1 << bits, "bucket").sortWithinPartitions("bucket")
+             .mapInArrow(_places, "doc_id long, text_key long, starts array<int>")
+             .groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("starts")).alias("found")))
     found = saved(found, "repeats")
     schema = documents.schema
     keyed = documents.mapInArrow(_keys, StructType([*schema.fields, StructField("text_key", LongType())]))

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 22
-SLICE_BYTES = 8 << 20
+BLOCK = 1 << 20
+SLICE_BYTES = 4 << 20
 U = np.uint64
 
 
@@ -133,8 +133,9 @@ def ngrams(hashes: np.ndarray, size: int, seed: int = 1) -> np.ndarray:
     if count <= 0:
         return np.zeros(0, U)
     out = np.empty(count, U)
-    for first in range(0, count, BLOCK):
-        last = min(count, first + BLOCK)
+    step = max(1, BLOCK - size)
+    for first in range(0, count, step):
+        last = min(count, first + step)
         at = np.arange(last - first)
         out[first:last] = _sums(hashes[first:last + size - 1], at, at + size, seed + 17)
     return mix(out + U(size * 0x9FB21C651E98DF25 % (1 << 64)))
