@@ -69,7 +69,7 @@ class Repeated:
 
 
 def repeated(df: DataFrame, items: Callable[[pa.RecordBatch], Iterator[np.ndarray]],
-             bits: int, pending: int = 1 << 21) -> Repeated:
+             bits: int, pending: int = 1 << 20) -> Repeated:
     """Count ``items`` (arrays of 64-bit hashes for each batch) of all rows of ``df``."""
     def count(batches):
         held: list[np.ndarray] = []

@@ -28,9 +28,9 @@ from .store import saved
 from .wordhash import EXACT, U, mix, ngrams, signed, slices, split_words
 
 #: Cells per anchor; bytes of text per word and words per anchor only size the sketch.
-CELLS, BYTES_PER_WORD = 24, 6
+CELLS, BYTES_PER_WORD = 12, 6
 #: Windows that a task settles at a time, and bytes of text for each group of hashes.
-SHARE, GROUP_BYTES = 1_500_000, 32 << 20
+SHARE, GROUP_BYTES = 600_000, 32 << 20
 
 
 def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:

@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK = 1 << 20
-SLICE_BYTES = 4 << 20
+BLOCK = 1 << 18
+SLICE_BYTES = 2 << 20
 U = np.uint64
 
 
