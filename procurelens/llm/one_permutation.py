@@ -16,17 +16,17 @@ from pyspark.sql import functions as F
 from .native_text import let
 from .store import saved
 
-BINS, BITS, PROBES = 256, 4, 8
+BINS, BITS, PROBES = 256, 4, 16
 PER_WORD = 64 // BITS
 BIN_SHIFT = 55  # hashes are made non-negative: 63 bits, the top 8 are the bin
 EMPTY = (1 << BIN_SHIFT) - 1
-#: Words are runs of characters other than ASCII white space, A-Z lower-cased.
-SPACES = "[\\x20\\x09-\\x0D]+"
+#: Words are runs of characters other than ASCII white space, in lower case.
+SPACES, BLANKS = "[\\x20\\x09-\\x0D]+", " \t\n\x0b\x0c\r"
 
 
 def _words(text: Column) -> Column:
-    lowered = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.filter(F.split(lowered, SPACES), lambda w: w != "")
+    """The words; a text without any gives one empty word, as splitting does."""
+    return F.split(F.btrim(F.lower(text), F.lit(BLANKS)), SPACES)
 
 
 def _shingles(words: Column, size: int) -> Column:
@@ -37,34 +37,34 @@ def _shingles(words: Column, size: int) -> Column:
             lambda i: F.xxhash64(*[F.get(h, i + (j - 1)) for j in range(size)]).bitwiseAND((1 << 63) - 1)))
 
     return let(words, lambda w: F.when(F.size(w) >= size, many(w)).when(
-        F.size(w) > 0, F.array(F.xxhash64(w).bitwiseAND((1 << 63) - 1))).otherwise(F.array().cast("array<bigint>")))
+        F.get(w, 0) != "", F.array(F.xxhash64(w).bitwiseAND((1 << 63) - 1))).otherwise(F.array().cast("array<bigint>")))
 
 
 def _bins(hashes: Column) -> Column:
-    """The least hash of every bin, ``EMPTY`` where there is none: sort, with a last entry for each bin, and take firsts."""
+    """The least hash of every bin, null where there is none: sort, with a last entry for each bin, and take firsts."""
     ends = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.shiftleft(i.cast("long"), BIN_SHIFT) + EMPTY)
-    ordered = F.array_sort(F.concat(hashes, ends))
-    firsts = let(ordered, lambda o: F.filter(
-        o, lambda x, i: (i == 0) | (F.shiftright(x, BIN_SHIFT) != F.shiftright(F.get(o, i - 1), BIN_SHIFT))))
-    return F.transform(firsts, lambda x: x.bitwiseAND(EMPTY))
+    ordered = F.sort_array(F.concat(hashes, ends))
+    firsts = let(ordered, lambda o: F.filter(o, lambda x, i: (i == 0) | (x.bitwiseXOR(F.get(o, i - 1)) > EMPTY)))
+    return F.transform(firsts, lambda x: F.nullif(x.bitwiseAND(EMPTY), F.lit(EMPTY)))
 
 
 def _densified(bins: Column) -> Column:
-    empty = lambda x: x == EMPTY
+    """Every empty bin takes the first filled one in its own order; null if all are empty."""
+    def probe(m, i, step):
+        return F.get(m, F.xxhash64(i, F.lit(step)).bitwiseAND(BINS - 1).cast("int"))
 
-    def probed(m0):
-        out = m0
-        for step in range(PROBES):
-            out = let(out, lambda m, step=step: F.when(F.exists(m, empty), F.transform(m, lambda x, i: F.when(
-                empty(x), F.get(m0, F.pmod(F.xxhash64(i, F.lit(step)), F.lit(BINS)).cast("int"))).otherwise(x))).otherwise(m))
-        return let(out, lambda m: F.when(F.exists(m, empty), rest(m0, m)).otherwise(m))
+    def probed(m):
+        return F.transform(m, lambda x, i: F.coalesce(x, *[probe(m, i, step) for step in range(PROBES)]))
 
     def rest(m0, m):
-        filled = F.filter(F.transform(m0, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: ~empty(s["x"]))
-        return let(filled, lambda f: F.transform(m, lambda x, i: F.when(empty(x), F.array_min(F.transform(
-            f, lambda s: F.struct(F.xxhash64(i, s["i"], F.lit(-1)).alias("order"), s["x"].alias("x"))))["x"]).otherwise(x)))
+        filled = F.filter(F.transform(m0, lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].isNotNull())
+        return let(filled, lambda f: F.transform(m, lambda x, i: F.coalesce(x, F.array_min(F.transform(
+            f, lambda s: F.struct(F.xxhash64(i, s["i"], F.lit(-1)).alias("order"), s["x"].alias("x"))))["x"])))
 
-    return let(bins, lambda m: F.when(F.exists(m, lambda x: ~empty(x)), probed(m)))
+    def full(m0):
+        return let(probed(m0), lambda m: F.when(F.exists(m, lambda x: x.isNull()), rest(m0, m)).otherwise(m))
+
+    return let(bins, lambda m: F.when(F.exists(m, lambda x: x.isNotNull()), full(m)))
 
 
 def fingerprint(text: Column, size: int = 5) -> Column:
@@ -127,16 +127,19 @@ def fingerprints(documents: DataFrame, size: int = 5) -> DataFrame:
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     follow = saved(next_ids(rows), "next-ids")
-    sized = rows.withColumn("n_chars", F.char_length("text").cast("long"))
-    sized = sized.withColumn("cut", F.floor(F.col("n_chars") / 4).cast("int"))
-    wanted = sized.groupBy("doc_id").agg(F.max("cut").alias("cut")).join(follow, "doc_id")
-    heads = (wanted.join(rows.withColumnRenamed("doc_id", "next_id"), "next_id")
-             .groupBy("doc_id").agg(F.min(F.expr("substring(text, 1, cut)")).alias("head"))
-             .withColumnRenamed("doc_id", "id"))
+    n_chars = F.char_length("text").cast("long")
+    cut = F.floor(n_chars / 4).cast("int")
+    wanted = (rows.select("doc_id", cut.alias("cut")).groupBy("doc_id").agg(F.max("cut").alias("cut"))
+              .join(follow, "doc_id").select(F.col("doc_id").alias("before"), "cut", "next_id"))
+    placed = rows.where("doc_id is not null")  # shuffled by id once, for both joins
+    heads = (placed.join(wanted, F.col("doc_id") == F.col("next_id"))
+             .groupBy(F.col("before").alias("id")).agg(F.min(F.expr("substring(text, 1, cut)")).alias("head")))
+    met = (placed.join(heads, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "head")
+           .unionAll(rows.where("doc_id is null").withColumn("head", F.lit(""))))
+    met = met.select("doc_id", "text", "head", n_chars.alias("n_chars"), cut.alias("cut"))
     edited = F.concat(F.expr("substring(text, 1, int(n_chars) - cut)"), F.expr("substring(coalesce(head, ''), 1, cut)"))
     turns = Window.partitionBy("doc_id").orderBy("text")
-    both = (sized.join(heads, F.col("doc_id") == F.col("id"), "left")
-            .withColumn("least", F.row_number().over(turns) == 1)
+    both = (met.withColumn("least", F.row_number().over(turns) == 1)
             .select("doc_id", "n_chars", "least", "text", edited.alias("edited")))
     made = saved(both.select("doc_id", "n_chars", "least", F.sha2("edited", 256).alias("edited_sha256"),
                              fingerprint(F.col("text"), size).alias("own"),
