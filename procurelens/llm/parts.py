@@ -11,7 +11,7 @@ import pyarrow as pa
 class PartMemory:
     """Ids of distinct parts, each encoded once; forgotten together beyond ``limit`` parts."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 400_000):
         self.encode, self.limit = encode, limit
         self.clear()
 

@@ -8,7 +8,7 @@ every text back exactly.
 The search runs along the text and keeps only positions since the last committed boundary; the next piece can
 start at any of the last ``longest`` of them. Whenever the backpointer paths of all of these meet in
 one boundary, the ids before it are committed and forgotten. Between two characters that no piece has side by side,
-all paths meet at once. Each worker remembers the ids of such stretches.
+all paths meet at once. A task remembers the ids of such stretches.
 """
 
 from __future__ import annotations
@@ -306,6 +306,7 @@ def encode_pieces(documents: DataFrame, pieces: Pieces) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32))),
                  pa.array(np.diff(offsets), pa.int32()), pa.array(_sums(ids, ends), pa.int64()),
                  pc.equal(back, texts.cast(pa.large_string()))], names=[*names, *new])
+        encoder.memory.clear()  # the worker goes on to other work
 
     kinds = (ArrayType(IntegerType()), IntegerType(), LongType(), BooleanType())
     rest = documents.select([*[f"`{n}`" for n in names], "text"])
