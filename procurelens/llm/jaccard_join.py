@@ -35,7 +35,7 @@ from .wordhash import LOWER, U, lists, mix, shingle_sets, signed, slices, split_
 #: Cells per shingle of the sketch (rounded up to a power of two).
 CELLS = 1
 #: Regions of more documents, or of more shingles, are cut on the cluster first.
-REGION_DOCUMENTS, REGION_SHINGLES, PIVOTS, CUTS = 4000, 4_000_000, 8, 5
+REGION_DOCUMENTS, REGION_SHINGLES, PIVOTS, CUTS, SHRINK = 4000, 4_000_000, 8, 5, 0.7
 
 
 class Links(NamedTuple):
@@ -169,23 +169,25 @@ def _to_pivots(percent: int):
         centre_ids = pivots.column("doc_id").to_numpy()[pivot]
         old = documents.column("region").to_numpy()[row].astype(U)
         new = mix(old * U(0x9E3779B97F4A7C15) + centre_ids.astype(U))
-        return out.append_column("region", pa.array(signed(new)))
+        return out.append_column("region", pa.array(signed(new))).append_column("parent", pa.array(old.view(np.int64)))
 
     return run
 
 
 def _cut(regions: DataFrame, percent: int) -> DataFrame:
-    """Cut regions above the bounds by Voronoi rounds; a cut that no longer shrinks them ends it."""
-    kept = None
-    schema = "doc_id long, n long, shingles array<bigint>, region long"
+    """Cut regions above the bounds by Voronoi rounds.
+
+    A region whose largest part keeps more than ``SHRINK`` of it (its documents all lie within the window of each
+    other, mostly in one component) is not cut: it is joined as it is, and that join ends when all are linked.
+    """
+    whole = None
+    schema = "doc_id long, n long, shingles array<bigint>, region long, parent long"
     for step in range(CUTS):
         sizes = regions.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("words"))
         big = saved(sizes.where((F.col("docs") > REGION_DOCUMENTS) | (F.col("words") > REGION_SHINGLES)),
                     "jaccard-big")
         if big.isEmpty():
             break
-        small = regions.join(big, "region", "left_anti")
-        kept = small if kept is None else kept.unionByName(small)
         large = (regions.join(big, "region")
                  .withColumn("parts", F.ceil(F.greatest(F.col("docs") / 1000, F.col("words") / 500_000)).cast("long"))
                  .withColumn("part", F.expr("pmod(xxhash64(doc_id), parts)")))
@@ -193,10 +195,20 @@ def _cut(regions: DataFrame, percent: int) -> DataFrame:
         pivots = (large.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
                   .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
                   .select("region", "part", "doc_id", "shingles"))
-        dealt = (large.groupBy("region", "part").cogroup(pivots.groupBy("region", "part"))
-                 .applyInArrow(_to_pivots(percent), schema))
-        regions = saved(dealt, "jaccard-cut")
-    return regions if kept is None else kept.unionByName(regions.select(kept.columns))
+        pivots = saved(pivots, "jaccard-pivots")
+        dealt = saved(large.groupBy("region", "part").cogroup(pivots.groupBy("region", "part"))
+                      .applyInArrow(_to_pivots(percent), schema), "jaccard-cut")
+        largest = (dealt.groupBy("parent", "region").count().groupBy("parent").agg(F.max("count").alias("largest"))
+                   .join(big, F.col("parent") == big.region).where(F.col("largest") <= SHRINK * F.col("docs")).select("parent"))
+        done = saved(largest, "jaccard-shrunk")
+        shrunk = dealt.join(done, "parent", "left_semi").select("doc_id", "n", "shingles", "region")
+        rest = regions.join(done.withColumnRenamed("parent", "region"), "region", "left_anti").select(shrunk.columns)
+        stuck = rest.join(big, "region", "left_semi")
+        whole = stuck if whole is None else whole.unionByName(stuck)
+        regions = saved(rest.join(big, "region", "left_anti").unionByName(shrunk).select(shrunk.columns), "jaccard-regions")
+    columns = ["doc_id", "n", "shingles", "region"]
+    regions = regions.select(columns)
+    return regions if whole is None else regions.unionByName(whole.select(columns))
 
 
 def jaccard_links(documents: DataFrame, percent: int = 80, size: int = 5) -> Links:
