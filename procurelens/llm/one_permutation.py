@@ -3,7 +3,8 @@
 Each distinct ``size``-word shingle is hashed once. The top bits of the hash choose one of ``BINS`` bins, and a bin
 keeps its least hash. Bins that stay empty copy one that is not (optimal densification): bin ``i`` tries the bins
 ``hash(i, 1), hash(i, 2), ...``; after ``PROBES`` tries it takes, of the filled bins, the one that comes
-first in a permutation of its own, which is what going on would find. Of each bin the low ``BITS`` bits are
+first in a permutation of its own, which is what going on would find. Of each bin's value, hashed once more with
+the bin's number so that copies in several bins do not agree by chance together, the low ``BITS`` bits are
 kept, 16 bins to a 64-bit word. Two unequal bins agree on them with probability ``2 ** -BITS``, which the likeness
 takes off.
 """
@@ -69,7 +70,8 @@ def _densified(bins: Column) -> Column:
 
 def fingerprint(text: Column, size: int = 5) -> Column:
     """The packed fingerprint (an array of 64-bit words) of a text; null if it has no words or is null."""
-    low = F.transform(_densified(_bins(_shingles(_words(text), size))), lambda x: x.bitwiseAND((1 << BITS) - 1))
+    low = F.transform(_densified(_bins(_shingles(_words(text), size))),
+                      lambda x, i: F.xxhash64(x, i).bitwiseAND((1 << BITS) - 1))
     word = lambda v, k: F.aggregate(
         F.slice(v, k * PER_WORD + 1, PER_WORD), F.lit(0).cast("long"),
         lambda a, x: F.shiftleft(a, BITS).bitwiseOR(x))
