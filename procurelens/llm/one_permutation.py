@@ -136,13 +136,13 @@ def fingerprints(documents: DataFrame, size: int = 5) -> DataFrame:
     placed = rows.where("doc_id is not null")  # shuffled by id once, for both joins
     heads = (placed.join(wanted, F.col("doc_id") == F.col("next_id"))
              .groupBy(F.col("before").alias("id")).agg(F.min(F.expr("substring(text, 1, cut)")).alias("head")))
-    met = (placed.join(heads, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "head")
-           .unionAll(rows.where("doc_id is null").withColumn("head", F.lit(""))))
-    met = met.select("doc_id", "text", "head", n_chars.alias("n_chars"), cut.alias("cut"))
-    edited = F.concat(F.expr("substring(text, 1, int(n_chars) - cut)"), F.expr("substring(coalesce(head, ''), 1, cut)"))
     turns = Window.partitionBy("doc_id").orderBy("text")
-    both = (met.withColumn("least", F.row_number().over(turns) == 1)
-            .select("doc_id", "n_chars", "least", "text", edited.alias("edited")))
+    met = (placed.join(heads, F.col("doc_id") == F.col("id"), "left")
+           .withColumn("least", F.row_number().over(turns) == 1).select("doc_id", "text", "head", "least")
+           .unionAll(rows.where("doc_id is null").select("doc_id", "text", F.lit("").alias("head"), F.lit(False).alias("least"))))
+    met = met.withColumn("n_chars", n_chars).withColumn("cut", cut)
+    edited = F.concat(F.expr("substring(text, 1, int(n_chars) - cut)"), F.expr("substring(coalesce(head, ''), 1, cut)"))
+    both = met.select("doc_id", "n_chars", "least", "text", edited.alias("edited"))
     made = saved(both.select("doc_id", "n_chars", "least", F.sha2("edited", 256).alias("edited_sha256"),
                              fingerprint(F.col("text"), size).alias("own"),
                              fingerprint(F.col("edited"), size).alias("other")), "fingerprints")

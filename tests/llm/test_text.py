@@ -216,7 +216,7 @@ def test_fingerprints(documents):
         assert row["near_edited"] == pytest.approx(likeness(set_of(text), set_of(edited)), abs=0.16)
         assert row["near_next"] == pytest.approx(likeness(set_of(text), set_of(after)), abs=0.16)
     assert rows[10]["fingerprint"] == rows[80]["fingerprint"] == rows[100]["fingerprint"] != rows[20]["fingerprint"]
-    assert rows[60]["fingerprint"] == "" and len(rows[50]["fingerprint"]) == 64
+    assert rows[60]["fingerprint"] == "" and len(rows[50]["fingerprint"]) == 256
     assert one_permutation.fingerprints(documents([])).collect() == []
 
 
