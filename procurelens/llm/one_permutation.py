@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from .native_text import let
 from .store import saved
@@ -127,7 +128,8 @@ def fingerprints(documents: DataFrame, size: int = 5) -> DataFrame:
     empty string. Rows without an id have no next document: their edited text only loses its tail. Of rows that share an
     id, the one with the least text is the "next" of the document before. Other columns are not read.
     """
-    rows = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    doc_id = F.col("doc_id") if documents.schema["doc_id"].dataType == LongType() else F.col("doc_id").cast("long")
+    rows = documents.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))  # no idle cast: it hides that shuffles are equal
     follow = saved(next_ids(rows), "next-ids")
     n_chars = F.char_length("text").cast("long")
     cut = F.floor(n_chars / 4).cast("int")
