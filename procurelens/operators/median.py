@@ -1,8 +1,7 @@
 """Exact grouped median that scales past one task per group.
 
 ``percentile`` keeps a map of all distinct values of a group in one buffer, and
-the window form sorts the whole group in one task. Up to ``SINGLE_TASK_ROWS``
-measured input rows the former is used. Beyond, the values are first
+the window form sorts the whole group in one task. Here the values are first
 reduced to a histogram (distinct value, count), and the middle ranks are then
 located digit block by digit block: count per coarse block, keep the block that
 holds a middle rank, refine inside it. A block has a bounded number of children
@@ -19,20 +18,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from .joins import join_null_safe
-from .ranking import SINGLE_TASK_ROWS
 
 # Digit blocks by total precision: width of a block in units of the last digit.
 _BLOCKS = ((10, (10**5,)), (18, (10**12, 10**6)))
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                 weight: str | None = None, count_out: str | None = None,
-                 rows: int | None = None, limit: int = SINGLE_TASK_ROWS) -> DataFrame:
+                 weight: str | None = None, count_out: str | None = None) -> DataFrame:
     """Median of a decimal column per group (continuous: mean of the middle two).
 
     ``weight`` counts how many rows a row stands for. NULL values are ignored.
-    The result is a decimal with one more digit, so it is exact. ``rows`` is the
-    measured size of ``df``, None if unknown (then it is assumed to be large).
+    The result is a decimal with one more digit, so it is exact at every size and value.
     """
     dtype = df.schema[value].dataType
     if not isinstance(dtype, DecimalType) or dtype.precision > 18:
@@ -44,14 +40,6 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
         (F.col(weight) if weight else F.lit(1)).cast("long").alias("_n"))
     result_type = DecimalType(dtype.precision + 1, dtype.scale + 1)
 
-    if rows is not None and rows <= limit:
-        # a median of integers is an integer or a half: exact as double, ten times it as long
-        tenfold = (F.percentile("_u", 0.5, F.col("_n")) * 10).cast("long")
-        exact = tenfold.cast("decimal(20,0)") * F.lit(Decimal(1) / (10 * unit))
-        grouped = values.groupBy(*keys) if keys else values
-        total = [F.sum("_n").alias(count_out)] if count_out else []
-        return grouped.agg(exact.cast(result_type).alias(out), *total)
-
     widths = next(w for digits, w in _BLOCKS if dtype.precision <= digits)
     histogram = values.groupBy(*keys, "_u").agg(F.sum("_n").alias("_n"))
     kept: DataFrame | None = None

@@ -23,7 +23,7 @@ from ..functions import populations as pop
 from ..functions.measures import band, percent, ratio
 from ..operators.joins import describe
 from ..operators.median import exact_median
-from ..operators.ranking import SINGLE_TASK_ROWS, top_k, with_ntile
+from ..operators.ranking import top_k, with_ntile
 from ..params import PriceParams
 from ..sources.model import ProcurementModel
 from ..sources.tables import measured, working_set
@@ -49,10 +49,10 @@ def point_spend() -> Column:
     return F.col("unit_price") * F.col("quantity")
 
 
-def benchmarks(points: DataFrame, rows: int | None, *keys: str) -> DataFrame:
+def benchmarks(points: DataFrame, *keys: str) -> DataFrame:
     """Median price and line count per product (or per further ``keys``)."""
     return exact_median(points, ["product_id", *keys], "unit_price", "benchmark_price",
-                        weight="lines", count_out="product_lines", rows=rows)
+                        weight="lines", count_out="product_lines")
 
 
 @dataclass(frozen=True)
@@ -72,9 +72,8 @@ class PriceBase:
     @classmethod
     def build(cls, model: ProcurementModel) -> PriceBase:
         points, rows = measured(price_points(model.fact), "price-points")
-        known = describe(benchmarks(points, rows), model.products, "product_id", PRODUCT_COLUMNS)
-        return cls(points, rows,
-                   known if rows <= SINGLE_TASK_ROWS else working_set(known, "benchmarks"))
+        known = describe(benchmarks(points), model.products, "product_id", PRODUCT_COLUMNS)
+        return cls(points, rows, working_set(known, "benchmarks"))
 
     def covered(self, params: PriceParams) -> DataFrame:
         """Products with enough lines for a stable median."""
@@ -326,7 +325,7 @@ def year_adjusted(base: PriceBase, model: ProcurementModel,
     covered = base.covered(params).select("product_id", "benchmark_price")
     dated = base.points.where(F.col("order_year").isNotNull()).join(
         covered.select("product_id"), "product_id", "left_semi")
-    yearly = benchmarks(dated, base.rows, "order_year").select(
+    yearly = benchmarks(dated, "order_year").select(
         "product_id", "order_year", F.col("benchmark_price").alias("_bench_year"))
     grouped = dated.groupBy("vendor_id", "product_id", "order_year").agg(
         F.sum("lines").alias("lines"), F.sum("quantity").alias("quantity"),

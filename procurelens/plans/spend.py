@@ -138,7 +138,7 @@ def po_value_stats(model: ProcurementModel) -> DataFrame:
     values = spend_by(model, "po_id").select(F.col("spend").cast("decimal(18,4)").alias("value"))
     per_po, rows = measured(values, "po-values")
     mean = per_po.agg(F.count(F.lit(1)).alias("po_count"), F.sum("value").alias("_sum"))
-    median = exact_median(per_po, [], "value", "median_po_value", rows=rows)
+    median = exact_median(per_po, [], "value", "median_po_value")
     return with_scalar(mean, median).select(
         "po_count", ratio("_sum", "po_count").alias("mean_po_value"), "median_po_value")
 

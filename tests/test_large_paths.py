@@ -7,9 +7,8 @@ import functools
 import pytest
 
 import __spark_entry__ as driver
-from procurelens.operators.median import exact_median
 from procurelens.operators.ranking import ordered_position, with_ntile
-from procurelens.plans import opportunity, pricing, spend, vendor
+from procurelens.plans import opportunity, pricing, vendor
 from tests.compare import connect, difference
 from tests.conftest import SMALLEST
 
@@ -17,13 +16,9 @@ from tests.conftest import SMALLEST
 @pytest.fixture(autouse=True)
 def large(monkeypatch):
     positions = functools.partial(ordered_position, limit=0)
-    medians = functools.partial(exact_median, limit=0)
     monkeypatch.setattr(vendor, "ordered_position", positions)
     monkeypatch.setattr(opportunity, "ordered_position", positions)
-    monkeypatch.setattr(spend, "exact_median", medians)
-    monkeypatch.setattr(pricing, "exact_median", medians)
     monkeypatch.setattr(pricing, "with_ntile", functools.partial(with_ntile, limit=0))
-    monkeypatch.setattr(pricing, "SINGLE_TASK_ROWS", 0)
 
 
 @pytest.mark.parametrize("name", [
