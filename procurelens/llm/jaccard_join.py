@@ -15,7 +15,9 @@ Almost all pairs of documents are at distance 1, where no pivot tells them apart
 3. the rest meet in first regions: each looks at its rarest shingles, of which linked sets
    share at least one (``n - ceil(t n) + 1`` of them, ordered by true frequency, ties by
    hash); the components of "shares such a shingle" hold every link;
-4. large regions are cut by Voronoi rounds on the cluster, all are then joined exactly.
+4. large regions are cut by Voronoi rounds on the cluster, and regions within the bounds are joined exactly;
+5. a region that no cut makes smaller (thousands of texts within the window of each other) is linked to its
+   pivots in parts; then only documents outside its largest component meet the others, block by block.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ from .wordhash import LOWER, U, lists, mix, shingle_sets, signed, slices, split_
 CELLS = 1
 #: Regions of more documents, or of more shingles, are cut on the cluster first.
 REGION_DOCUMENTS, REGION_SHINGLES, PIVOTS, CUTS, SHRINK = 4000, 4_000_000, 8, 5, 0.7
+#: Documents and shingles of a large region that one task compares with pivots.
+PART_DOCUMENTS, PART_SHINGLES = 1000, 500_000
 
 
 class Links(NamedTuple):
@@ -104,15 +108,26 @@ class _Sets:
         return np.bincount(self.owner[at], minlength=len(self.sizes))
 
 
-def join_region(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def _listed(table: pa.Table) -> list[np.ndarray]:
+    """The column ``shingles`` as one array for each row."""
+    column = table.column("shingles").combine_chunks()
+    flat, bounds = column.values.to_numpy(), column.offsets.to_numpy()
+    return [flat[bounds[i]:bounds[i + 1]] for i in range(len(table))]
+
+
+def join_region(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
     """The component (an index) of every set, by links of at least ``percent`` similarity.
 
-    Each set in turn is a pivot for those after it; a set is compared only with sets of other
-    components whose distances to all pivots so far differ by at most ``r`` from its own.
+    Sets with equal labels in ``known`` are in one component already. Each set in turn is a pivot for
+    those after it; a set is compared only with sets of other components whose distances to all pivots so
+    far differ by at most ``r`` from its own.
     """
     data, count = _Sets(sets), len(sets)
     radius = 1 - percent / 100 + 1e-9
     label = np.arange(count)
+    if known is not None:
+        _, first, place = np.unique(known, return_index=True, return_inverse=True)
+        label = first[place]
     pivots: list[np.ndarray] = []
     for i in range(count):
         open_ = label != label[i]
@@ -138,31 +153,31 @@ def _join_regions(percent: int):
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("doc_id").to_numpy()
         order = np.argsort(ids, kind="stable")
-        shingles = table.column("shingles").combine_chunks()
-        flat, bounds = shingles.values.to_numpy(), shingles.offsets.to_numpy()
-        label = join_region([flat[bounds[i]:bounds[i + 1]] for i in order], percent)
+        sets = _listed(table)
+        known = table.column("label").to_numpy()[order] if "label" in table.column_names else None
+        label = join_region([sets[i] for i in order], percent, known)
         return pa.table({"a": pa.array(ids[order]), "b": pa.array(ids[order][label])})
 
     return run
 
 
+def _overlaps(documents: pa.Table, pivots: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of intersection and union of each document's set with each pivot's."""
+    own, centres = _listed(documents), _listed(pivots)
+    both = np.array([[np.isin(each, centre, assume_unique=True).sum() for centre in centres] for each in own], np.int64)
+    both = both.reshape(len(own), len(centres))
+    sizes = [np.array([len(s) for s in sets], np.int64) for sets in (own, centres)]
+    return both, sizes[0][:, None] + sizes[1] - both
+
+
 def _to_pivots(percent: int):
     """Give documents of a region to the region of the nearest pivot, and to those within the window."""
     radius = 1 - percent / 100
 
     def run(documents: pa.Table, pivots: pa.Table) -> pa.Table:
-        def sets(table):
-            column = table.column("shingles").combine_chunks()
-            flat, bounds = column.values.to_numpy(), column.offsets.to_numpy()
-            return [flat[bounds[i]:bounds[i + 1]] for i in range(len(table))]
-
         pivots = pivots.sort_by("doc_id")
-        centres, own = sets(pivots), sets(documents)
-        far = np.ones((len(own), len(centres)))
-        for j, centre in enumerate(centres):
-            for i, each in enumerate(own):
-                both = np.isin(each, centre, assume_unique=True).sum()
-                far[i, j] = 1 - both / (len(each) + len(centre) - both)
+        both, union = _overlaps(documents, pivots)
+        far = 1 - both / union
         within = far <= far.min(axis=1)[:, None] + 2 * radius + 1e-9
         row, pivot = np.nonzero(within)
         out = documents.select(["doc_id", "n", "shingles"]).take(pa.array(row))
@@ -174,41 +189,107 @@ def _to_pivots(percent: int):
     return run
 
 
-def _cut(regions: DataFrame, percent: int) -> DataFrame:
-    """Cut regions above the bounds by Voronoi rounds.
+def _pivot_links(percent: int):
+    """Links of a region's documents with its pivots."""
+    def run(documents: pa.Table, pivots: pa.Table) -> pa.Table:
+        if not len(pivots):  # every document of the region is in its largest component
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        both, union = _overlaps(documents, pivots)
+        row, pivot = np.nonzero(100 * both >= percent * union)
+        return pa.table({"a": documents.column("doc_id").combine_chunks().take(pa.array(row)),
+                         "b": pivots.column("doc_id").combine_chunks().take(pa.array(pivot))})
+
+    return run
+
+
+def _big(regions: DataFrame) -> DataFrame:
+    sizes = regions.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("words"))
+    return sizes.where((F.col("docs") > REGION_DOCUMENTS) | (F.col("words") > REGION_SHINGLES))
+
+
+def _in_parts(rows: DataFrame, big: DataFrame) -> DataFrame:
+    """Documents of large regions, each region in parts of bounded size."""
+    return (rows.join(big, "region")
+            .withColumn("parts", F.ceil(F.greatest(F.col("docs") / PART_DOCUMENTS, F.col("words") / PART_SHINGLES)).cast("long"))
+            .withColumn("part", F.expr("pmod(xxhash64(doc_id), parts)")))
+
+
+def _pivots(rows: DataFrame, step: int) -> DataFrame:
+    """Some documents of each region, chosen by hash, a copy for each part."""
+    order = Window.partitionBy("region").orderBy(F.xxhash64("doc_id", F.lit(step)), "doc_id")
+    chosen = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+    return saved(chosen.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+                 .select("region", "part", "doc_id", "shingles"), "jaccard-pivots")
+
+
+def _cut(regions: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Cut regions above the bounds by Voronoi rounds: regions within the bounds, and those that stay above.
 
     A region whose largest part keeps more than ``SHRINK`` of it (its documents all lie within the window of each
-    other, mostly in one component) is not cut: it is joined as it is, and that join ends when all are linked.
+    other, mostly in one component) is not cut.
     """
     whole = None
     schema = "doc_id long, n long, shingles array<bigint>, region long, parent long"
-    for step in range(CUTS):
-        sizes = regions.groupBy("region").agg(F.count("*").alias("docs"), F.sum("n").alias("words"))
-        big = saved(sizes.where((F.col("docs") > REGION_DOCUMENTS) | (F.col("words") > REGION_SHINGLES)),
-                    "jaccard-big")
+    columns = ["doc_id", "n", "shingles", "region"]
+    regions = regions.select(columns)
+    for step in range(CUTS + 1):
+        big = saved(_big(regions), "jaccard-big")
         if big.isEmpty():
             break
-        large = (regions.join(big, "region")
-                 .withColumn("parts", F.ceil(F.greatest(F.col("docs") / 1000, F.col("words") / 500_000)).cast("long"))
-                 .withColumn("part", F.expr("pmod(xxhash64(doc_id), parts)")))
-        order = Window.partitionBy("region").orderBy(F.xxhash64("doc_id", F.lit(step)), "doc_id")
-        pivots = (large.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
-                  .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-                  .select("region", "part", "doc_id", "shingles"))
-        pivots = saved(pivots, "jaccard-pivots")
-        dealt = saved(large.groupBy("region", "part").cogroup(pivots.groupBy("region", "part"))
-                      .applyInArrow(_to_pivots(percent), schema), "jaccard-cut")
-        largest = (dealt.groupBy("parent", "region").count().groupBy("parent").agg(F.max("count").alias("largest"))
-                   .join(big, F.col("parent") == big.region).where(F.col("largest") <= SHRINK * F.col("docs")).select("parent"))
-        done = saved(largest, "jaccard-shrunk")
-        shrunk = dealt.join(done, "parent", "left_semi").select("doc_id", "n", "shingles", "region")
-        rest = regions.join(done.withColumnRenamed("parent", "region"), "region", "left_anti").select(shrunk.columns)
-        stuck = rest.join(big, "region", "left_semi")
+        large = _in_parts(regions, big)
+        small = regions.join(big, "region", "left_anti").select(columns)
+        if step == CUTS:
+            stuck, regions = large.select(columns), small
+        else:
+            pivots = _pivots(large, step)
+            dealt = saved(large.groupBy("region", "part").cogroup(pivots.groupBy("region", "part"))
+                          .applyInArrow(_to_pivots(percent), schema), "jaccard-cut")
+            largest = (dealt.groupBy("parent", "region").count().groupBy("parent").agg(F.max("count").alias("largest"))
+                       .join(big, F.col("parent") == big.region).where(F.col("largest") <= SHRINK * F.col("docs")).select("parent"))
+            done = saved(largest, "jaccard-shrunk")
+            stuck = large.join(done, F.col("region") == done.parent, "left_anti").select(columns)
+            shrunk = dealt.join(done, "parent", "left_semi").select(columns)
+            regions = saved(small.unionByName(shrunk), "jaccard-regions")
         whole = stuck if whole is None else whole.unionByName(stuck)
-        regions = saved(rest.join(big, "region", "left_anti").unionByName(shrunk).select(shrunk.columns), "jaccard-regions")
-    columns = ["doc_id", "n", "shingles", "region"]
-    regions = regions.select(columns)
-    return regions if whole is None else regions.unionByName(whole.select(columns))
+    return regions, whole
+
+
+def _join_large(large: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` that have the components of regions of any size; a task holds a part of a region, or two.
+
+    Rounds link documents outside their region's largest component so far to pivots from among themselves, while that
+    takes many of them in. Pairs inside the largest component need no look any more; all others meet in blocks.
+    """
+    big = saved(_big(large), "jaccard-big")
+    rows = saved(_in_parts(large, big).select("doc_id", "n", "shingles", "region", "parts", "part"), "jaccard-large")
+    outside, links, before = rows, None, None
+    for step in range(CUTS):
+        found = saved(rows.groupBy("region", "part").cogroup(_pivots(outside, step).groupBy("region", "part"))
+                      .applyInArrow(_pivot_links(percent), "a long, b long"), "jaccard-pivot-links")
+        links = found if links is None else links.unionByName(found)
+        joined = components(links, "jaccard-large")
+        named = (rows.select("region", "doc_id", "n").join(joined, F.col("doc_id") == F.col("id"), "left")
+                 .select("region", "doc_id", "n", F.coalesce("component", "doc_id").alias("label")))
+        top = (named.groupBy("region", "label").count().groupBy("region")
+               .agg(F.max(F.struct("count", "label"))["label"].alias("top")))
+        named = saved(named.join(top, "region").withColumn("outside", F.col("label") != F.col("top")), "jaccard-labels")
+        left = named.where("outside").count()
+        if not left or before is not None and left > SHRINK * before:
+            break
+        before = left
+        outside = rows.join(named.where("outside"), ["region", "doc_id"], "left_semi").select(rows.columns)
+
+    def blocks(which: str):
+        docs, words = F.expr(f"count_if({which})"), F.expr(f"coalesce(sum(n) filter (where {which}), 0)")
+        return F.ceil(F.greatest(docs / (REGION_DOCUMENTS / 2), words / (REGION_SHINGLES / 2))).cast("long")
+
+    bounds = named.groupBy("region").agg(blocks("outside").alias("out"), blocks("not outside").alias("ins")).where("out > 0")
+    block = F.expr("if(outside, pmod(xxhash64(doc_id), out), out + pmod(xxhash64(doc_id), ins))")
+    other = F.explode(F.expr("sequence(0L, if(outside, out + ins, out) - 1)"))
+    dealt = (rows.select("region", "doc_id", "shingles").join(named.join(bounds, "region").select(
+                "region", "doc_id", "label", block.alias("block"), other.alias("other")), ["region", "doc_id"])
+             .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")))
+    return links.unionByName(dealt.groupBy("region", "low", "high").applyInArrow(_join_regions(percent), "a long, b long"))
 
 
 def jaccard_links(documents: DataFrame, percent: int = 80, size: int = 5) -> Links:
@@ -245,8 +326,10 @@ def jaccard_links(documents: DataFrame, percent: int = 80, size: int = 5) -> Lin
     first = prefix.groupBy("s").agg(F.min("doc_id").alias("b"), F.count("*").alias("many")).where("many > 1")
     stars = prefix.join(first, "s").select(F.col("doc_id").alias("a"), "b")
     region = components(stars, "jaccard-region").select(F.col("id").alias("doc_id"), F.col("component").alias("region"))
-    regions = _cut(saved(open_.join(region, "doc_id"), "jaccard-regions"), percent)
+    regions, large = _cut(saved(open_.join(region, "doc_id"), "jaccard-regions"), percent)
     links = regions.groupBy("region").applyInArrow(_join_regions(percent), "a long, b long")
+    if large is not None:
+        links = links.unionByName(_join_large(large, percent))
     joined = components(links, "jaccard-joined")
     classes = (classes.join(joined, F.col("rep") == F.col("id"), "left")
                .where("copies > 1 or component is not null")

@@ -71,6 +71,23 @@ def test_voronoi_rounds_lose_no_link(documents, monkeypatch):
     assert joined(documents(texts)) == plain_components(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("shrink", [0.0, 0.7])
+@pytest.mark.parametrize("seed", [4, 5])
+def test_regions_that_no_cut_makes_smaller(documents, monkeypatch, seed, shrink):
+    """With ``SHRINK`` 0 every large region goes to the pivots and then block by block."""
+    monkeypatch.setattr(jaccard_join, "REGION_DOCUMENTS", 4)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard_join, "PART_DOCUMENTS", 5)
+    monkeypatch.setattr(jaccard_join, "SHRINK", shrink)
+    texts = corpus(seed, groups=2, copies=30, words=50)
+    assert joined(documents(texts)) == plain_components(list(enumerate(texts)))
+
+
+def test_known_labels_join_without_a_link():
+    sets = [np.arange(10) + 100 * i for i in range(4)]
+    assert jaccard_join.join_region(sets, 80, np.array([9, 5, 9, 7])).tolist() == [0, 1, 0, 3]
+
+
 def test_join_region_equals_all_pairs():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 10_000, 60)
