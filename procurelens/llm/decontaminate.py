@@ -1,9 +1,12 @@
 """Passages of documents that copy benchmark items, also paraphrased or edited.
 
-The items' word n-grams are counted in the whole corpus. The rarer half of each item's n-grams are its
-*seeds*; documents that hold at least two of them (all, if it has fewer) near each other are aligned with the item
-by Smith-Waterman over words: matches score 1, mismatches and gaps cost ``COST``. The best score
-over the item's length in words is the likeness.
+Items and passages are aligned by Smith-Waterman over words: matches score 1, mismatches and gaps cost
+``COST``. The best score over the item's length in words is the likeness.
+
+Only places that may reach it are aligned, and none that does is left out. Such an alignment matches at least
+``likeness`` of the item's words, hence at least k of any ``length - needed + k`` of them, and its passage has a
+bounded span. The item's rarest words in the whole corpus are its *seeds*: places with k of them within the
+span are aligned. Every k is sound; each item takes the one that costs least by its words' corpus counts.
 
 The benchmark goes through in blocks of at most ``BLOCK_WORDS`` words, each sent to all tasks; the
 corpus is read twice per block and never shuffled.
@@ -11,105 +14,181 @@ corpus is read twice per block and never shuffled.
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordhash import LETTERS, ngrams, signed, slices, split_words
+from .wordhash import LETTERS, slices, split_words
 
-GRAM, COST, LIKENESS = 4, 0.5, 0.5
+COST, LIKENESS = 0.5, 0.5
 BLOCK_WORDS, BLOCK_ITEMS = 2_000_000, 100_000
+#: Only for speed: what a place costs next to one seed, and how many seeds, and words of places, are held at once.
+PLACE, HELD = 100, 2_000_000
+
 
+class _Items:
+    """The words of a block of items: sorted distinct hashes, and which of them each item has in order."""
 
-class _Grams:
-    """The n-grams of a block of items: sorted distinct hashes and where they stand."""
-
-    def __init__(self, ids: list[int], sequences: list[np.ndarray], gram: int):
-        self.ids, self.sequences, self.gram = np.array(ids, np.int64), sequences, gram
-        parts = [ngrams(s, min(gram, len(s))) for s in sequences]
-        counts = [len(p) for p in parts]
-        flat = np.concatenate(parts)
-        self.keys, self.key = np.unique(flat, return_inverse=True)
-        self.item = np.repeat(np.arange(len(parts)), counts)
-        self.place = np.concatenate([np.arange(c) for c in counts])
-        self.order = np.argsort(self.key, kind="stable")
-        self.begin = np.concatenate([[0], np.cumsum(np.bincount(self.key))])
-        self.lengths = sorted({min(gram, len(s)) for s in sequences})
+    def __init__(self, ids: list[int], sequences: list[np.ndarray]):
+        self.ids, self.sequences = np.array(ids, np.int64), sequences
+        self.keys, key = np.unique(np.concatenate(sequences), return_inverse=True)
+        size = np.array([len(s) for s in sequences])
+        self.key = np.split(key, np.cumsum(size)[:-1])
+        self.pairs = np.unique(np.repeat(np.arange(len(size)), size) * len(self.keys) + key)  # item and its word in one number
         self.flags = np.zeros(1 << 20, bool)
         self.flags[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
-    def found(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``grams`` that hold a key, and which."""
-        at = np.flatnonzero(self.flags[(grams >> np.uint64(44)).astype(np.int64)])
-        key = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
-        real = self.keys[key] == grams[at]
+    def found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``hashes`` that hold a key, and which."""
+        at = np.flatnonzero(self.flags[(hashes >> np.uint64(44)).astype(np.int64)])
+        key = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        real = self.keys[key] == hashes[at]
         return at[real], key[real]
 
-    def hits(self, words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All keys in a batch: text, word place within the whole batch, key."""
-        hashes = words.hashes()
-        out = []
-        for size in self.lengths:
-            at, key = self.found(ngrams(hashes, size))
-            row = np.searchsorted(words.offsets, at, "right") - 1
-            real = at + size <= words.offsets[row + 1]
-            out.append((row[real], at[real], key[real]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+class _Seeds(NamedTuple):
+    """``item[begin[k]:begin[k + 1]]``: items that have key k as a seed; ``needed`` seeds within ``span`` words."""
+
+    begin: np.ndarray
+    item: np.ndarray
+    needed: np.ndarray
+    span: np.ndarray
 
 
-def align(item: np.ndarray, passage: np.ndarray) -> tuple[float, int]:
-    """Best local alignment score of two word sequences, and the place after its end in ``passage``."""
+def _choose(items: _Items, times: np.ndarray, total: int, likeness: float) -> _Seeds:
+    """The rarest words of each item, as many as the least costly number of matches among them asks for."""
+    keys, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    needed, span = np.ones(len(items.ids), np.int64), np.ones(len(items.ids), np.int64)
+    for i, key in enumerate(items.key):
+        size = len(key)
+        least = max(1, math.ceil(likeness * size))  # matches that an alignment has
+        if least > size:
+            continue
+        span[i] = math.floor(size + max(0.0, 1 - likeness) * size / COST)  # all words match, the rest are gaps
+        key = key[np.lexsort((key, times[key]))]
+        first = np.concatenate([[True], key[1:] != key[:-1]])
+        rate = np.cumsum(times[key] * first) / max(total, 1)
+        k = np.arange(1, least + 1)
+        rate = rate[size - least + k - 1]
+        more, mean = k - 1, np.maximum(rate * span[i], 1e-300)
+        chance = np.exp(np.where(more > mean, more - mean + more * np.log(mean / np.maximum(more, 1)), 0))
+        needed[i] = k[np.argmin(rate * (1 + PLACE * chance))]
+        own = np.unique(key[:size - least + needed[i]])
+        keys.append(own)
+        owners.append(np.full(len(own), i))
+    key, item = np.concatenate(keys), np.concatenate(owners)
+    begin = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=len(items.keys)))])
+    return _Seeds(begin, item[np.argsort(key, kind="stable")], needed, span)
+
+
+def align(item: np.ndarray, passage: np.ndarray, anchored: bool = False) -> tuple[float, int, int]:
+    """Best local alignment score of two word sequences, and the places after its end in both.
+
+    An anchored alignment starts with the first words of both."""
     steps = COST * np.arange(len(passage) + 1)
-    above, best, end = np.zeros(len(passage) + 1), 0.0, 0
-    for word in item:
-        row = np.zeros(len(passage) + 1)
-        row[1:] = above[:-1] + np.where(passage == word, 1.0, -COST)
-        row = np.maximum(np.maximum(row, above - COST), 0)
+    above, best, stop, end = -steps if anchored else np.zeros(len(passage) + 1), 0.0, 0, 0
+    for place, word in enumerate(item, 1):
+        row = above - COST
+        row[1:] = np.maximum(row[1:], above[:-1] + np.where(passage == word, 1.0, -COST))
+        if not anchored:
+            row = np.maximum(row, 0)
         row = np.maximum.accumulate(row + steps) - steps  # gaps along the passage
         top = int(row.argmax())
         if row[top] > best + 1e-9:
-            best, end = float(row[top]), top
+            best, stop, end = float(row[top]), place, top
         above = row
-    return best, end
+    return best, stop, end
 
 
-def _match(grams: _Grams, seeds: np.ndarray, likeness: float):
+def passages(item: np.ndarray, words: np.ndarray, likeness: float) -> Iterator[tuple[float, int, int]]:
+    """``(score, first, last)``: the best alignment of at least ``likeness``, then those of the words before and after it."""
+    least, parts = likeness * len(item), [(0, len(words))]
+    while parts:
+        a, b = parts.pop()
+        if b - a < least or a == b:
+            continue
+        if (Counter(words[a:b].tolist()) & Counter(item.tolist())).total() < least:  # matches in any order
+            continue
+        best, stop, end = align(item, words[a:b])
+        if best < least or not best:
+            continue
+        size = align(item[:stop][::-1], words[a:a + end][::-1], anchored=True)[2]
+        yield best / len(item), a + end - size, a + end
+        parts += [(a, a + end - size), (a + end, b)]
+
+
+def _promising(items: _Items, known: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, likeness: float) -> np.ndarray:
+    """Which places could have the score if their words stood in any order, each as often as one likes."""
+    total, first, out = np.concatenate([[0], np.cumsum(high - low + 1)]), 0, [np.zeros(0, np.int64)]
+    least = likeness * np.array([len(items.key[i]) for i in item.tolist()])
+    while first < len(item):
+        last = max(first + 1, int(np.searchsorted(total, total[first] + HELD, "right")) - 1)
+        begin, size = total[first:last] - total[first], high[first:last] - low[first:last] + 1
+        at = np.arange(size.sum()) + np.repeat(low[first:last] - 1 - begin, size)  # one more before each place
+        pair = np.repeat(item[first:last], size) * len(items.keys) + known[at]
+        found = np.minimum(np.searchsorted(items.pairs, pair), len(items.pairs) - 1)
+        gain = np.where((items.pairs[found] == pair) & (known[at] >= 0), 1.0, -COST)
+        gain[begin] = -2.0 * size.max()  # below all that came before: each place starts anew
+        gain = np.cumsum(gain)
+        rise = np.maximum.reduceat(gain - np.minimum.accumulate(gain), begin)
+        out.append(first + np.flatnonzero(rise >= least[first:last]))
+        first = last
+    return np.concatenate(out)
+
+
+def _places(items: _Items, seeds: _Seeds, words, hashes: np.ndarray, likeness: float):
+    """``(text, item, first, last)`` of all places that may reach the likeness; those of a text and item do not overlap."""
+    at, key = items.found(hashes)
+    known = np.full(len(hashes), -1)
+    known[at] = key
+    count = seeds.begin[key + 1] - seeds.begin[key]
+    at, key, count = at[count > 0], key[count > 0], count[count > 0]
+    row = np.searchsorted(words.offsets, at, "right") - 1
+    total = np.concatenate([[0], np.cumsum(count)])
+    first = 0
+    while first < len(at):  # whole texts, as many as give HELD seeds
+        last = int(np.searchsorted(total, total[first] + HELD, "right")) - 1
+        last = max(int(np.searchsorted(row, row[min(last, len(at) - 1)])), int(np.searchsorted(row, row[first], "right"))) \
+            if last < len(at) else last
+        n = count[first:last]
+        spot = np.repeat(seeds.begin[key[first:last]] - (total[first:last] - total[first]), n) + np.arange(n.sum())
+        item = seeds.item[spot]
+        order = np.argsort(item.astype(np.uint16) if len(items.ids) <= 1 << 16 else item, kind="stable")
+        item, place, text = item[order], np.repeat(at[first:last], n)[order], np.repeat(row[first:last], n)[order]
+        end = np.arange(len(item)) + seeds.needed[item] - 1
+        real = np.flatnonzero(end < len(item))
+        end = end[real]
+        real = real[(item[end] == item[real]) & (text[end] == text[real]) & (place[end] - place[real] < seeds.span[item[real]])]
+        if len(real):
+            end, item, text = place[real + seeds.needed[item[real]] - 1], item[real], text[real]
+            low = np.maximum(end - seeds.span[item] + 1, words.offsets[text])
+            high = np.minimum(place[real] + seeds.span[item], words.offsets[text + 1])
+            new = np.flatnonzero(np.concatenate(
+                [[True], (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (low[1:] >= high[:-1])]))
+            text, item, low, high = text[new], item[new], low[new], high[np.append(new[1:], len(high)) - 1]
+            new = _promising(items, known, item, low, high, likeness)
+            yield from zip(text[new].tolist(), item[new].tolist(), low[new].tolist(), high[new].tolist(), strict=True)
+        first = last
+
+
+def _match(items: _Items, seeds: _Seeds, likeness: float):
     """Rows ``(doc_id, item_id, score, first_word, last_word)`` of a batch."""
-    needed = np.minimum(np.bincount(grams.item[seeds], minlength=len(grams.ids)), 2)
-    is_seed = np.zeros(len(grams.item), bool)
-    is_seed[seeds] = True
 
     def run(batches):
         for part in slices(batches):
             words = split_words(part.column("text"), LETTERS)
-            row, at, key = grams.hits(words)
-            count = grams.begin[key + 1] - grams.begin[key]
-            spot = np.repeat(grams.begin[key] - np.concatenate([[0], np.cumsum(count)[:-1]]), count)
-            spot = grams.order[spot + np.arange(count.sum())] if len(key) else np.zeros(0, np.int64)
-            row, at = np.repeat(row, count)[is_seed[spot]], np.repeat(at, count)[is_seed[spot]]
-            spot = spot[is_seed[spot]]
-            item = grams.item[spot]
-            start = at - grams.place[spot]  # where the item would begin
-            order = np.lexsort((start, item, row))
-            row, item, start, spot = row[order], item[order], start[order], spot[order]
+            hashes = words.hashes()
             out = []
-            reach = np.array([len(s) for s in grams.sequences])
-            cuts = np.flatnonzero((np.diff(row) != 0) | (np.diff(item) != 0) | (np.diff(start) > reach[item[1:]])) + 1
-            hashes = words.hashes() if len(row) else None
-            for run_ in np.split(np.arange(len(row)), cuts) if len(row) else []:
-                r, i = int(row[run_[0]]), int(item[run_[0]])
-                if len(np.unique(spot[run_])) < needed[i]:
-                    continue
-                sequence, low = grams.sequences[i], int(words.offsets[r])
-                slack = len(sequence) // 2 + 2
-                first = max(low, int(start[run_[0]]) - slack)
-                last = min(int(words.offsets[r + 1]), int(start[run_[-1]]) + len(sequence) + slack)
-                passage = hashes[first:last]
-                best, end = align(sequence, passage)
-                if best >= likeness * len(sequence):
-                    back, size = align(sequence[::-1], passage[:end][::-1])
-                    out.append((r, int(grams.ids[i]), best / len(sequence), first - low + end - size, first - low + end))
+            for r, i, first, last in _places(items, seeds, words, hashes, likeness):
+                start = first - int(words.offsets[r])
+                for score, a, b in passages(items.sequences[i], hashes[first:last], likeness):
+                    out.append((r, int(items.ids[i]), score, start + a, start + b))
             if out:
                 rows, ids, scores, firsts, lasts = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -139,12 +218,13 @@ def _blocks(benchmark: DataFrame):
         yield ids, sequences
 
 
-def leaks(documents: DataFrame, benchmark: DataFrame, likeness: float = LIKENESS, gram: int = GRAM) -> DataFrame:
+def leaks(documents: DataFrame, benchmark: DataFrame, likeness: float = LIKENESS) -> DataFrame:
     """Rows ``(doc_id, item_id, score, first_word, last_word)``: a document passage (words counted without
     ASCII punctuation, the last exclusive) that aligns with a benchmark item of
     ``benchmark(item_id, text)`` by at least ``likeness``.
 
-    Several passages of a document give several rows, repeated document rows repeat theirs. Null
+    All such passages are found, short items' too, of which a few words suffice. Several passages of a document give
+    several rows (the best, then those of the words before and after it), repeated document rows repeat theirs. Null
     texts, items without words or id and empty tables give no rows; of equal item texts the least id speaks.
     Other columns are not read.
     """
@@ -152,28 +232,24 @@ def leaks(documents: DataFrame, benchmark: DataFrame, likeness: float = LIKENESS
     documents = documents.select(F.col("doc_id").cast("long"), "text")
     out = None
     for ids, sequences in _blocks(benchmark):
-        grams = spark.sparkContext.broadcast(_Grams(ids, sequences, gram))  # bounded by BLOCK_WORDS
+        items = spark.sparkContext.broadcast(_Items(ids, sequences))  # bounded by BLOCK_WORDS
 
-        def count(batches, grams=grams):
+        def count(batches, items=items):
             for part in slices(batches):
-                key = grams.value.hits(split_words(part.column("text"), LETTERS))[2]
-                keys, times = np.unique(key, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(times, pa.int64())],
+                hashes = split_words(part.column("text"), LETTERS).hashes()
+                keys, times = np.unique(items.value.found(hashes)[1], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([-1, *keys], pa.int64()), pa.array([len(hashes), *times], pa.int64())],
                                                  names=["key", "times"])
 
         counted = documents.select("text").mapInArrow(count, "key long, times long").groupBy("key").agg(
-            F.sum("times").alias("times")).collect()  # at most one row for each n-gram of the block
-        times = np.zeros(len(grams.value.keys), np.int64)
+            F.sum("times").alias("times")).collect()  # at most one row for each word of the block, and all words as -1
+        times = np.zeros(len(items.value.keys) + 1, np.int64)
         for row in counted:
             times[row["key"]] = row["times"]
-        own = times[grams.value.key]
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(grams.value.item))])
-        seeds = np.concatenate([a + np.flatnonzero(own[a:b] <= np.median(own[a:b]))
-                                for a, b in zip(bounds[:-1], bounds[1:], strict=True)])
-        seeds = spark.sparkContext.broadcast(seeds)
-
-        def match(batches, grams=grams, seeds=seeds):
-            yield from _match(grams.value, seeds.value, likeness)(batches)
+        seeds = spark.sparkContext.broadcast(_choose(items.value, times[:-1], int(times[-1]), likeness))
+
+        def match(batches, items=items, seeds=seeds):
+            yield from _match(items.value, seeds.value, likeness)(batches)
 
         found = documents.mapInArrow(
             match, "doc_id long, item_id long, score double, first_word long, last_word long")

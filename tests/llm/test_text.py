@@ -189,6 +189,36 @@ def test_alignment_equals_the_plain_table(a, b):
     assert decontaminate.align(np.array(a), np.array(b))[0] == pytest.approx(plain_align(a, b))
 
 
+def test_leaks_equal_the_alignment_of_every_item_with_every_document(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontaminate, "HELD", 50)
+    rng = random.Random(3)
+    common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(300)]
+    word = lambda: rng.choice(common if rng.random() < 0.4 else rare)
+    noise = lambda n: [word() for _ in range(n)]
+    items = [noise(n) for n in (15, 20, 33, 40, 40)] + [rng.choices(common, k=20)]
+    texts = [noise(60), noise(200), rng.choices(common, k=150), items[2] + items[2], noise(3) + items[3] + noise(2) + items[3]]
+    for item in items:
+        for step in (3, 4, 5, 6, 7):  # a changed word, or one more, in every few
+            texts.append(noise(20) + [word() if i % step == 0 else w for i, w in enumerate(item, 1)] + noise(20))
+            texts.append(noise(9) + [x for i, w in enumerate(item, 1) for x in ([w, word()] if i % step == 0 else [w])] + noise(9))
+        for rate in (0.05, 0.1, 0.15, 0.2, 0.25):
+            texts.append(noise(20) + [word() if rng.random() < rate else w for w in item] + noise(20))
+        texts.append(noise(5) + [x for w in item for x in (w, word())] + noise(5))
+    benchmark = spark.createDataFrame([(i, " ".join(item)) for i, item in enumerate(items)], "item_id long, text string")
+    got = defaultdict(list)
+    for r in decontaminate.leaks(documents([" ".join(t) for t in texts]), benchmark).collect():
+        got[r["doc_id"], r["item_id"]].append((r["score"], r["first_word"], r["last_word"]))
+    number = {w: i for i, w in enumerate(common + rare)}
+    texts, items = [[np.array([number[w] for w in t]) for t in part] for part in (texts, items)]
+    scores = {(d, i): plain_align(item, text) / len(item) for d, text in enumerate(texts) for i, item in enumerate(items)}
+    want = {pair: score for pair, score in scores.items() if score >= decontaminate.LIKENESS}
+    assert {pair: max(rows)[0] for pair, rows in got.items()} == want and len(want) > 80
+    for (d, i), rows in got.items():
+        assert all(plain_align(items[i], texts[d][a:b]) / len(items[i]) == score for score, a, b in rows)
+        assert sorted(rows) == sorted(decontaminate.passages(items[i], texts[d], decontaminate.LIKENESS))
+    assert len(got[3, 2]) == len(got[4, 3]) == 2
+
+
 def set_of(text):
     words = re.split("[\x20\x09-\x0d]+", text.lower().strip(" \t\n\x0b\x0c\r"))
     if words == [""]:
