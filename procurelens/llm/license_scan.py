@@ -2,7 +2,7 @@
 
 The sentences of every file that hold a licence word, and licence files as a whole, are compared with
 templates by the cosine of sparse TF-IDF vectors. Document frequencies are counted over all such
-passages of the corpus; a word that no template has gets the highest weight there is, so foreign words lower a cosine. A
+passages of the corpus, for words that no template has as for those of the templates. A
 file without a notice of its own inherits from the nearest directory on its path that has a licence file.
 """
 
@@ -47,6 +47,8 @@ LICENSE_FILE = r"(?i)^(un)?licen[sc]e\b|^copying\b|^notice\b"
 SENTENCE = r"\n+|(?<=[.!?])\s+"
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LEAST = 0.6
+#: Words in one of so many passages are joined by broadcast (at most so many times the words of a passage), others by shuffle.
+OFTEN = 1000
 
 
 def directory_of(path: Column) -> Column:
@@ -84,17 +86,19 @@ def own_licenses(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
     parts = (listed.select("template", F.explode(_words(F.col("text"))).alias("word"))
              .groupBy("template", "word").agg(F.count("*").alias("tf")))
     known = parts.select("word").distinct()  # the words of the templates: a fixed, small table
-    seen = words.join(F.broadcast(known), "word").groupBy("word").agg(F.count("*").alias("df"))
-    idf = known.join(seen, "word", "left").select(
-        "word", (F.log((1.0 + passages) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("idf"))
+    counts = saved(words.groupBy("word").agg(F.count("*").alias("df")), "frequencies")
+    rarity = F.log((1.0 + passages) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    idf = known.join(counts.join(F.broadcast(known), "word"), "word", "left").select("word", rarity.alias("idf"))
     weights = parts.join(idf, "word").withColumn("weight", F.col("tf") * F.col("idf"))
     norms = weights.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"))
-    by_word = (weights.join(norms, "template").groupBy("word", "idf")
+    by_word = (weights.join(norms, "template").groupBy("word")
                .agg(F.map_from_entries(F.collect_list(F.struct("template", F.col("weight") / F.col("norm")))).alias("in_templates")))
     by_word = saved(by_word, "template-words")
-    rare = F.lit(1.0 + passages)
-    weighed = (words.join(F.broadcast(by_word), "word", "left")
-               .withColumn("weight", F.col("tf") * F.coalesce("idf", F.log(rare) + 1)))
+    often = F.col("df") * OFTEN >= passages
+    frequent = F.broadcast(counts.where(often))
+    seldom = words.join(frequent.select("word"), "word", "left_anti").join(counts.where(~often), "word")
+    weighed = (words.join(frequent, "word").unionByName(seldom).join(F.broadcast(by_word), "word", "left")
+               .withColumn("weight", F.col("tf") * rarity))
     scores = weighed.groupBy("path", "passage_no").agg(
         F.sqrt(F.sum(F.col("weight") ** 2)).alias("norm"),
         *[F.coalesce(F.sum(F.col("weight") * F.col("in_templates")[i]), F.lit(0.0)).alias(f"t{i}") for i in range(len(templates))])

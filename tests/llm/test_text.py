@@ -302,3 +302,24 @@ def test_licenses_and_inheritance(spark):
         "src/x/d.txt": ("GPL-3.0", "src/x/d.txt"), "src/x/e.txt": ("Apache-2.0", "src/x/LICENSE.txt"),
         "src/z/COPYING": ("MIT", "LICENSE"), "q/NOTICE": ("CC-BY-NC-4.0", "q/NOTICE"), None: (None, None)}
     assert license_scan.scan(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("often", [1000, 2])
+def test_licenses_with_a_common_word_at_two_corpus_sizes(spark, monkeypatch, often):
+    monkeypatch.setattr(license_scan, "OFTEN", often)
+    lines = ["Licensed under the Apache License, Version 2.0, see LICENSE.txt", "Released under the MIT License.",
+             "This work is licensed under the GNU General Public License, version 3.", "Copyright of others, see elsewhere"]
+    scores = []
+    for times in (10, 1000):
+        df = spark.range(times * len(lines)).selectExpr("concat('f', id) path", "array({})[id % {}] text".format(
+            ", ".join(f"'{x}'" for x in lines), len(lines)))
+        rows = license_scan.scan(df).where("path in ('f0', 'f3')").orderBy("path").collect()
+        assert [r["license"] for r in rows] == ["Apache-2.0", None]
+        scores.append(rows[0]["score"])
+    passages = [re.findall(license_scan.WORD, x.lower()) for x in lines * 1000]
+    df = Counter(w for p in passages for w in set(p))
+    vector = lambda ws: {w: n * (math.log((1 + len(passages)) / (1 + df[w])) + 1) for w, n in Counter(ws).items()}
+    a, b = vector(passages[0]), vector(re.findall(license_scan.WORD, license_scan.TEMPLATES[0][1].lower()))
+    norms = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+    assert scores[1] == pytest.approx(sum(x * b.get(w, 0) for w, x in a.items()) / norms)
+    assert scores[0] == pytest.approx(scores[1], abs=0.02)
