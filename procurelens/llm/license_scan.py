@@ -1,6 +1,7 @@
 """Licences of files from notices in their text, else from the nearest directory above, in SQL expressions only.
 
-The sentences of every file that hold a licence word, and licence files as a whole, are compared with
+The sentences of every file that hold a licence word, its SPDX headers (of several identifiers the first), and licence
+files as a whole, are compared with
 templates by the cosine of sparse TF-IDF vectors. Document frequencies are counted over all such
 passages of the corpus, for words that no template has as for those of the templates. A
 file without a notice of its own inherits from the nearest directory on its path that has a licence file.
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from .store import saved
 
 #: Licence names and wordings of their notices.
-TEMPLATES = (
+NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
                    "compliance with the License."),
@@ -41,11 +42,53 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain under the Unlicense."),
     ("Proprietary", "Copyright. All rights reserved."),
 )
+_BSD_2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+          "provided that the following conditions are met: Redistributions of source code must retain the "
+          "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+          "binary form must reproduce the above copyright notice, this list of conditions and the following "
+          "disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_3 = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+          "or promote products derived from this software without specific prior written permission.")
+_NO_WARRANTY = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+                "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+                "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+                "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+                "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+                "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+                "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+                "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+#: Whole licence texts without holders, and SPDX identifiers with the licence each names.
+TEXTS = (
+    ("MIT", "MIT License. Permission is hereby granted, free of charge, to any person obtaining a copy of this "
+            'software and associated documentation files (the "Software"), to deal in the Software without '
+            "restriction, including without limitation the rights to use, copy, modify, merge, publish, "
+            "distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the "
+            "Software is furnished to do so, subject to the following conditions: The above copyright notice "
+            "and this permission notice shall be included in all copies or substantial portions of the "
+            'Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+            "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE "
+            "AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+            "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+            "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("BSD-2-Clause", f"{_BSD_2} {_NO_WARRANTY}"),
+    ("BSD-3-Clause", f"{_BSD_2} {_BSD_3} {_NO_WARRANTY}"),
+)
+IDENTIFIERS = (
+    ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL-3.0"), ("GPL-3.0", "GPL-3.0-only"),
+    ("GPL-3.0", "GPL-3.0-or-later"), ("GPL-2.0", "GPL-2.0"), ("GPL-2.0", "GPL-2.0-only"),
+    ("GPL-2.0", "GPL-2.0-or-later"), ("LGPL-3.0", "LGPL-3.0"), ("LGPL-3.0", "LGPL-3.0-only"),
+    ("LGPL-3.0", "LGPL-3.0-or-later"), ("AGPL-3.0", "AGPL-3.0"), ("AGPL-3.0", "AGPL-3.0-only"),
+    ("AGPL-3.0", "AGPL-3.0-or-later"), ("MPL-2.0", "MPL-2.0"), ("BSD-3-Clause", "BSD-3-Clause"),
+    ("BSD-2-Clause", "BSD-2-Clause"), ("CC-BY-4.0", "CC-BY-4.0"), ("CC-BY-SA-4.0", "CC-BY-SA-4.0"),
+    ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), ("CC0-1.0", "CC0-1.0"), ("Unlicense", "Unlicense"),
+)
+SPDX = r"(?i)spdx-license-identifier:\s*\(*\s*"
 #: Words that make a sentence worth comparing, names of licence files, and what ends a sentence.
 NOTICE = r"(?i)licen[sc]e|copyright|spdx|\bcc0\b|\bcc by|public domain|hereby granted|rights reserved"
 LICENSE_FILE = r"(?i)^(un)?licen[sc]e\b|^copying\b|^notice\b"
 SENTENCE = r"\n+|(?<=[.!?])\s+"
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+TEMPLATES = NOTICES + TEXTS + tuple((name, f"SPDX-License-Identifier: {code}") for name, code in IDENTIFIERS)
 LEAST = 0.6
 #: Words in one of so many passages are joined by broadcast (at most so many times the words of a passage), others by shuffle.
 OFTEN = 1000
@@ -61,15 +104,17 @@ def name_of(path: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
+    """An SPDX header is one word with its identifier, so that headers of other licences have nothing in common."""
+    return F.regexp_extract_all(F.lower(F.regexp_replace(text, SPDX, "spdx-license-identifier.")), F.lit(WORD), F.lit(0))
 
 
 def notices(files: DataFrame) -> DataFrame:
     """``(path, passage_no, word, tf)`` of all passages to compare."""
     sentences = F.filter(F.split("text", SENTENCE), lambda s: s.rlike(NOTICE))
     whole = F.when(name_of(F.col("path")).rlike(LICENSE_FILE), F.array("text")).otherwise(F.array().cast("array<string>"))
+    headers = F.regexp_extract_all("text", F.lit(SPDX + r"[a-z0-9.-]+"), F.lit(0))
     suspect = files.where(F.col("text").rlike(NOTICE) | (name_of(F.col("path")).rlike(LICENSE_FILE) & F.col("text").isNotNull()))
-    passages = suspect.select("path", F.posexplode(F.concat(whole, sentences)).alias("passage_no", "passage"))
+    passages = suspect.select("path", F.posexplode(F.concat(whole, sentences, headers)).alias("passage_no", "passage"))
     return (passages.select("path", "passage_no", F.explode(_words(F.col("passage"))).alias("word"))
             .groupBy("path", "passage_no", "word").agg(F.count("*").alias("tf")))
 

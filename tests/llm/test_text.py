@@ -323,3 +323,17 @@ def test_licenses_with_a_common_word_at_two_corpus_sizes(spark, monkeypatch, oft
     norms = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
     assert scores[1] == pytest.approx(sum(x * b.get(w, 0) for w, x in a.items()) / norms)
     assert scores[0] == pytest.approx(scores[1], abs=0.02)
+
+
+def test_licenses_of_spdx_headers_and_whole_texts(spark):
+    texts = dict(license_scan.TEXTS[i] for i in range(len(license_scan.TEXTS)))
+    files = [(f"a{i}/x.c", f"/* SPDX-License-Identifier:  {code} */ int f();\nmore", name)
+             for i, (name, code) in enumerate(license_scan.IDENTIFIERS)]
+    files += [("b/x.py", "# SPDX-License-Identifier: ISC", None), ("c/x.rs", "// SPDX-License-Identifier: (MIT OR Apache-2.0) by A", "MIT"),
+              ("d/x.py", "# SPDX-License-Identifier: GPL-2.0+", "GPL-2.0"), ("e/x.py", "# spdx-license-identifier: MIT-0", None)]
+    wrap = lambda text: re.sub(r"((?:\S+ ){9}\S+) ", r"\1\n", text)
+    files += [(f"{name}/LICENSE", "Copyright (c) 2020 Some Holder\n\n" + wrap(text), name) for name, text in texts.items()]
+    rows = license_scan.scan(spark.createDataFrame(files, "path string, text string, want string")).collect()
+    assert {r["path"]: r["own_license"] for r in rows} == {path: want for path, _, want in files}
+    whole = license_scan.own_licenses(spark.createDataFrame(files[-3:], "path string, text string, want string"))
+    assert all(r["score"] > 0.8 for r in whole.collect())
