@@ -61,7 +61,7 @@ STAGES = [
     ("piece_ids", piece_ids),
 ]
 
-#: A learnt classifier is no SQL statement; the tests compare every stage with a plain version.
+#: A learnt classifier is no SQL statement; the tests compare the stages with plain versions, the first with the labels.
 ORACLE_SQL = None
 
 

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from procurelens.llm import host_reputation, queries, quotation_chat
+from procurelens.llm import decontaminate, host_reputation, queries, quotation_chat, sp_viterbi
+
+from .test_joins import plain_components
+from .test_text import best_cut, plain_align
 
 
 def test_hosts_rules_and_verdicts(spark):
@@ -95,6 +103,55 @@ def test_pipeline_stages(spark, small):
     assert sorted(map(tuple, again)) == sorted((r["doc_id"], r["ids_crc32"]) for r in rows)
 
 
+def plain_cut(texts, size=35):
+    words = {i: t.split() for i, t in texts.items()}
+    seen = Counter(tuple(w[a:a + size]) for w in words.values() for a in range(len(w) - size + 1))
+    out = {}
+    for i, w in words.items():
+        gone = {b for a in range(len(w) - size + 1) if seen[tuple(w[a:a + size])] > 1 for b in range(a, a + size)}
+        if len(gone) < len(w) or not w:
+            out[i] = " ".join(x for b, x in enumerate(w) if b not in gone) if gone else texts[i]
+    return out
+
+
+def plain_clean(texts, items):
+    number = {w: i for i, w in enumerate(sorted({w for t in [*texts.values(), *items] for w in t.split()}))}
+    coded = lambda t: np.array([number[w] for w in t.split()], int)
+    return {i: t for i, t in texts.items()
+            if not any(plain_align(coded(item), coded(t)) >= decontaminate.LIKENESS * len(item.split()) for item in items)}
+
+
+def test_every_stage_and_run_equal_plain_versions(spark, tmp_path):
+    rng = random.Random(8)
+    noise = lambda n, kind="w": [f"{kind}{rng.randrange(300)}" for _ in range(n)]
+    changed = lambda words, step: [noise(1)[0] if k % step == 0 else w for k, w in enumerate(words, 1)]
+    items, passage, base = [noise(24, "b") for _ in range(4)], noise(45, "p"), [noise(90) for _ in range(4)]
+    good = [noise(rng.randrange(40, 90)) for _ in range(12)] + base + [changed(b, 60) for b in base] + [changed(b, 9) for b in base]
+    good += [noise(10 + k) + passage[k:40 + k] + noise(20) for k in range(4)] + [passage[:40], passage[5:]]
+    good += [noise(20) + changed(items[k], step) + noise(20) for k, step in enumerate((4, 5, 6, 7))]
+    good += [noise(20) + items[0] + noise(20), noise(20) + items[1][:9] + noise(20)]
+    bad = [noise(60, "zzz!!") for _ in range(20)]
+    texts = {i: " ".join(t) for i, t in enumerate(rng.sample(good + bad, len(good + bad)))}
+    spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int("!!" not in t)) for i, t in texts.items()], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [" ".join(item) for item in items]
+    spark.createDataFrame([*enumerate(items)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    pieces = sp_viterbi.Pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    plain = {"quality": lambda t: {i: x for i, x in t.items() if "!!" not in x},
+             "near_duplicates": lambda t: {i: t[i] for i, _, first in plain_components([*t.items()]) if i == first},
+             "repeated_passages": plain_cut, "benchmark_leaks": lambda t: plain_clean(t, items),
+             "piece_ids": lambda t: {i: best_cut(pieces, x) for i, x in t.items()}}
+    docs, left = spark.read.parquet(f"{tmp_path}/documents.parquet"), [len(texts)]
+    for name, stage in corpus_pipeline.STAGES:
+        texts = plain[name](texts)
+        docs = stage(spark, docs, str(tmp_path)).cache()
+        assert {r["doc_id"]: r["ids" if name == "piece_ids" else "text"] for r in docs.collect()} == texts, name
+        left.append(len(texts))
+    assert len(set(left)) == len(left) - 1  # every stage but the last drops some
+    assert {r["doc_id"]: r["ids"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == texts
+
+
 @pytest.mark.parametrize("stage", [s for _, s in corpus_pipeline.STAGES])
 def test_stages_take_odd_tables(spark, small, stage):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score double, others int, found string"
