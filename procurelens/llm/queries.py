@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, elias_fano, host_reputation, jaccard_join, license_scan, mil_quality, one_permutation,
-               quotation_chat, sp_viterbi, store, substring_dedup)
+from . import (centroid_clusters, decontaminate, elias_fano, host_reputation, jaccard_join, license_scan, mil_quality,
+               one_permutation, quotation_chat, sp_viterbi, store, substring_dedup)
+from .statements import STATEMENTS
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = STATEMENTS
 #: Held out: one fifth of the ids.
 FOLD = "crc32(cast(doc_id as string)) % 5 = 0"
 KEPT = 0.3
@@ -88,7 +89,12 @@ def op10_quotation_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotation_chat.reply_ordered(_table(spark, sf_dir, "conversations"))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.inertia_report(_table(spark, sf_dir, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_mil_quality, op3_elias_fano, op4_one_permutation, op5_decontaminate, op6_sp_viterbi,
-        op7_host_reputation, op8_jaccard_join, op9_substring_dedup, op10_quotation_chat)}
+        op7_host_reputation, op8_jaccard_join, op9_substring_dedup, op10_quotation_chat,
+        op11_centroid_clusters)}

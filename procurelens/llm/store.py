@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import shutil
 import tempfile
 import uuid
@@ -24,31 +23,36 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back: lineage ends at a table that survives lost executors."""
+def saved_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once and read it back: lineage ends at a table that survives lost executors. Also its path."""
     spark = df.sparkSession
     path = new_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), path
 
 
-def drop_all(spark: SparkSession) -> None:
-    """Delete every intermediate table of this application (results that read them end too)."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``saved_at`` without the path."""
+    return saved_at(df, name)[0]
+
+
+def drop(spark: SparkSession, where: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def drop_all(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application (results that read them end too)."""
+    drop(spark, _folder(spark))
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this library importable in Python workers, unless the environment does so already."""
+    """Make this library importable in Python workers: their environment may differ from the driver's."""
     root = Path(__file__).resolve().parents[2]
-    known = [Path.cwd(), *map(Path, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep)))]
     context = spark.sparkContext
-    if root in known or context.applicationId in _shipped:
+    if context.applicationId in _shipped:
         return
     _shipped.add(context.applicationId)
     archive = shutil.make_archive(f"{tempfile.mkdtemp()}/procurelens", "zip", root, "procurelens")
