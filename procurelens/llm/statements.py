@@ -36,4 +36,35 @@ FROM a{rounds} JOIN kept AS k USING (r) JOIN (SELECT c, v AS v FROM m{rounds}) A
 """.replace("array_to_string(v, ',')", "array_to_string(m.v, ',')")
 
 
-STATEMENTS = {"op11_centroid_clusters": _clusters(10)}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _linked(size: int, percent: int) -> str:
+    """Columns r, doc_id, n, component of documents linked by shingles of ``size`` words."""
+    shingle = " || ' ' || ".join(f"w[i + {k}]" for k in range(size))
+    return f"""
+WITH RECURSIVE split AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (
+  SELECT r, unnest(list_distinct(CASE
+    WHEN len(w) >= {size} THEN list_transform(range(1, len(w) - {size - 2}), lambda i: {shingle})
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END)) AS s FROM split),
+sizes AS MATERIALIZED (SELECT r, count(*) AS n FROM sets GROUP BY r),
+pairs AS MATERIALIZED (
+  SELECT x.r AS a, y.r AS b, count(*) AS common FROM sets AS x JOIN sets AS y ON x.s = y.s AND x.r < y.r GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN sizes AS x ON x.r = a JOIN sizes AS y ON y.r = b WHERE 100 * common >= {percent} * (x.n + y.n - common)),
+reached(r, t) AS (
+  SELECT r, r FROM split
+  UNION SELECT reached.r, l.b FROM reached JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) AS l ON l.a = reached.t),
+found AS (
+  SELECT reached.r, min(x.doc_id) AS component FROM reached JOIN split AS x ON x.r = reached.t GROUP BY reached.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component AS component_id
+FROM split JOIN found USING (r) LEFT JOIN sizes USING (r)"""
+
+
+STATEMENTS = {
+    "op8_jaccard_join": _linked(5, 80),
+    "op11_centroid_clusters": _clusters(10),
+    "op13_circulant_minhash": f"SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({_linked(2, 80)})",
+}
