@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (centroid_clusters, circulant_minhash, decontaminate, elias_fano, host_reputation, jaccard_join,
-               license_scan, mil_quality, one_permutation, quotation_chat, sp_viterbi, store, substring_dedup)
+from . import (centroid_clusters, circulant_minhash, collocations, decontaminate, elias_fano, host_reputation,
+               jaccard_join, license_scan, mil_quality, one_permutation, quotation_chat, sp_viterbi, store,
+               substring_dedup)
 from .statements import STATEMENTS
 
 SQL: dict[str, str] = STATEMENTS
@@ -93,6 +94,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.inertia_report(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -101,4 +106,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_mil_quality, op3_elias_fano, op4_one_permutation, op5_decontaminate, op6_sp_viterbi,
         op7_host_reputation, op8_jaccard_join, op9_substring_dedup, op10_quotation_chat,
-        op11_centroid_clusters, op13_circulant_minhash)}
+        op11_centroid_clusters, op12_collocations, op13_circulant_minhash)}

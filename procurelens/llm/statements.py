@@ -63,8 +63,34 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component AS component_id
 FROM split JOIN found USING (r) LEFT JOIN sizes USING (r)"""
 
 
+_COLLOCATIONS = f"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex({_LOWER}, '[.,;:!?\\x0A-\\x0D]')), '[^\\x20\\x09]+') AS w
+  FROM documents),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i, len(w) AS many FROM pieces),
+f AS MATERIALIZED (
+  SELECT lang, k AS words, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM places CROSS JOIN (VALUES (1), (2), (3)) AS lengths(k) WHERE i + k - 1 <= many GROUP BY ALL),
+sizes AS (SELECT lang, sum(f) AS n FROM f WHERE words = 1 GROUP BY lang),
+candidates AS (SELECT lang, phrase, words, f AS a, string_split(phrase, ' ') AS w FROM f WHERE words > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, words)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+  FROM cuts AS c JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT lang, w, a, unnest([1, 2]) AS i FROM candidates WHERE words = 3) GROUP BY 1, 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM scored LEFT JOIN inside USING (lang, phrase) JOIN sizes USING (lang)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000"""
+
+
 STATEMENTS = {
     "op8_jaccard_join": _linked(5, 80),
     "op11_centroid_clusters": _clusters(10),
+    "op12_collocations": _COLLOCATIONS,
     "op13_circulant_minhash": f"SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM ({_linked(2, 80)})",
 }
