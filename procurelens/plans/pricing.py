@@ -23,7 +23,7 @@ from ..functions import populations as pop
 from ..functions.measures import band, percent, ratio
 from ..operators.joins import describe
 from ..operators.median import exact_median
-from ..operators.ranking import top_k, with_ntile
+from ..operators.ranking import tile_totals, top_k
 from ..params import PriceParams
 from ..sources.model import ProcurementModel
 from ..sources.tables import measured, working_set
@@ -282,11 +282,10 @@ def volume_effect(model: ProcurementModel, base: PriceBase,
     lines = model.fact.where(pop.eligible_spend()).select(
         "product_id", "po_line_id", "quantity", "unit_price")
     covered = lines.join(base.covered(params).select("product_id"), "product_id", "left_semi")
-    tiled = with_ntile(covered, params.tiers, ["product_id"], "quantity",
-                       ["po_line_id", "unit_price"], "qty_tier")
-    per_product = tiled.groupBy("qty_tier", "product_id").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"),
-        F.sum(pop.line_spend()).alias("spend"))
+    per_product = tile_totals(
+        covered, params.tiers, ["product_id"], "quantity", ["po_line_id", "unit_price"],
+        {"quantity_sum": F.col("quantity"), "spend": pop.line_spend()}, "qty_tier")
+    per_product = per_product.withColumnRenamed("quantity_sum", "quantity")
     priced = per_product.join(base.products.select("product_id", "benchmark_price"), "product_id")
     return priced.groupBy("qty_tier").agg(
         F.sum("lines").alias("lines"), F.sum("quantity").alias("_quantity"),

@@ -1,7 +1,8 @@
-"""Generic operators: both plans of each size-checked one, ties, NULLs, skew, partitioning."""
+"""Generic operators: ties, NULLs, skew, partitioning."""
 
 from __future__ import annotations
 
+import hashlib
 import random
 import statistics
 from collections import defaultdict
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from procurelens.functions import measures, parsing
 from procurelens.operators.joins import join_null_safe, orphans
 from procurelens.operators.median import exact_median
-from procurelens.operators.ranking import ordered_position, top_k, with_ntile
+from procurelens.operators.ranking import _ranged, ordered_position, tile_totals, top_k
 from procurelens.operators.reshape import month_spine, reconcile
 from procurelens.operators.shares import minmax_score, share_of_total
 from tests.conftest import day, one, rows
@@ -36,53 +37,99 @@ def skewed(spark):
     return spark.createDataFrame(skewed_values(), "g string, id string, v decimal(12,2)")
 
 
-@pytest.mark.parametrize("by", [[], ["g"]])
-@pytest.mark.parametrize("descending", [True, False])
-def test_position_by_counts_equals_sort(skewed, by, descending):
-    def run(limit):
-        placed = ordered_position(skewed, "v", ["id"], by=by, descending=descending,
-                                  running=["v"], limit=limit)
-        return rows(placed, "id", "position", "tie_rank", "group_rows", "running_v", "total_v")
+@pytest.fixture
+def ranges(spark):
+    """Set how many ranges a whole order is cut into."""
+    def cut(count):
+        spark.conf.set("spark.sql.shuffle.partitions", count)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
 
-    assert run(0) == run(10**6)
+    yield cut
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
 
 
-def test_position_is_partition_independent(spark, skewed):
-    def run(partitions):
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
-        try:
-            return rows(ordered_position(skewed, "v", ["id"], limit=0), "id", "position")
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", 4)
-
-    assert run(1) == run(3) == run(40)
+def plain_positions(data, by, descending):
+    groups = defaultdict(list)
+    for g, i, v in data:
+        groups[g if by else ""].append((i, v))
+    out = []
+    for members in groups.values():
+        total = sum((v for _, v in members if v is not None), Decimal(0)) if any(
+            v is not None for _, v in members) else None
 
+        def key(row):
+            i, v = row
+            number = Decimal(0) if v is None else -v if descending else v
+            return ((v is None) == descending, number, hashlib.md5(i.encode()).hexdigest(), i)
 
-def test_position_against_plain_python(skewed):
-    placed = ordered_position(skewed, "v", ["id"], limit=0)
-    got = {r["position"]: r["v"] for r in placed.collect()}
-    expected = sorted((v for _, _, v in skewed_values() if v is not None), reverse=True)
-    assert [got[i + 1] for i in range(len(expected))] == expected
-    assert sorted(got) == list(range(1, len(skewed_values()) + 1))
+        running, seen, first = Decimal(0), object(), 0
+        for place, (i, v) in enumerate(sorted(members, key=key), 1):
+            running += v or 0
+            if place == 1 or v != seen:
+                seen, first = v, place
+            out.append((i, place, first, len(members), running, total))
+    return sorted(out, key=repr)
 
 
-def test_identical_values_spread_over_cells(spark):
-    same = spark.range(3000).select(F.col("id").cast("string").alias("id"),
-                                    F.lit(5).cast("decimal(10,2)").alias("v"))
-    placed = ordered_position(same, "v", ["id"], limit=0)
+@pytest.mark.parametrize("count", [1, 2, 40])
+@pytest.mark.parametrize("by", [[], ["g"]])
+@pytest.mark.parametrize("descending", [True, False])
+def test_positions_equal_plain_python(skewed, ranges, by, descending, count):
+    ranges(count)
+    placed = ordered_position(skewed, "v", ["id"], by=by, descending=descending, running=["v"])
+    assert rows(placed, "id", "position", "tie_rank", "group_rows", "running_v",
+                "total_v") == plain_positions(skewed_values(), by, descending)
+
+
+def test_positions_of_groups_without_values(spark, ranges):
+    ranges(7)
+    data = [("a", f"i{n}", None) for n in range(30)] + [("b", "x", Decimal(1))]
+    df = spark.createDataFrame(data, "g string, id string, v decimal(12,2)")
+    placed = ordered_position(df, "v", ["id"], by=["g"], running=["v"])
+    assert rows(placed, "id", "position", "tie_rank", "group_rows", "running_v",
+                "total_v") == plain_positions(data, ["g"], True)
+    assert ordered_position(df.limit(0), "v", ["id"], running=["v"]).collect() == []
+
+
+@pytest.mark.parametrize("value", ["id % 20000", "5"])
+def test_close_or_equal_values_spread_over_all_ranges(spark, ranges, value):
+    """200,000 rows within 200 units, or of one value: no range holds more than its share."""
+    ranges(16)
+    df = spark.range(200_000).selectExpr("cast(id as string) id",
+                                         f"cast(({value}) / 100 as decimal(10,2)) v")
+    sizes = [r["count"] for r in _ranged(df, "v", ["id"], [], True).groupBy("_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 200_000 / 16
+    placed = ordered_position(df, "v", ["id"])
     assert one(placed.agg(F.count_distinct("position").alias("n"), F.min("position").alias("lo"),
-                          F.max("position").alias("hi"), F.max("tie_rank").alias("r"))) == {
-        "n": 3000, "lo": 1, "hi": 3000, "r": 1}
-
-
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_ntile_sizes(spark, limit):
-    df = spark.createDataFrame([("a", i, f"x{i}") for i in range(8)]
-                               + [("b", 1, "y0"), ("b", 1, "y1")], "k string, q int, id string")
-    tiles = with_ntile(df, 3, ["k"], "q", ["id"], "tile", limit=limit)
-    assert rows(tiles.groupBy("k", "tile").count()) == [
-        ("a", 1, 3), ("a", 2, 3), ("a", 3, 2), ("b", 1, 1), ("b", 2, 1)]
-    assert rows(tiles.where("k = 'a' AND tile = 1"), "q") == [(0,), (1,), (2,)]
+                          F.max("position").alias("hi"))) == {"n": 200_000, "lo": 1, "hi": 200_000}
+
+
+def test_position_has_no_window_over_all_rows(skewed):
+    plan = ordered_position(skewed, "v", ["id"], running=["v"])._jdf.queryExecution().toString()
+    whole = [text for text in plan.split("windowspecdefinition(")[1:] if text.startswith(("v#", "_tie"))]
+    assert not whole  # every window over rows begins with the number of the range
+
+
+@pytest.mark.parametrize("count", [1, 3, 20])
+def test_tile_totals_equal_plain_tiles(spark, ranges, count):
+    ranges(count)
+    rng = random.Random(2)
+    data = [("a", i, f"x{i}", 1) for i in range(8)] + [("b", 1, "y0", 1), ("b", 1, "y1", 2)]
+    data += [("hot", rng.choice([1, 2, 2, 2, 2, 3]), f"h{i}", i) for i in range(300)]
+    data += [(None, None, f"n{i}", i) for i in range(7)] + [("n", rng.choice([None, 4]), f"m{i}", i) for i in range(20)]
+    df = spark.createDataFrame(data, "k string, q int, id string, w long")
+    got = tile_totals(df, 3, ["k"], "q", ["id"], {"w_sum": F.col("w")})
+    expected = []
+    for k in {row[0] for row in data}:
+        members = sorted((q is not None, q or 0, hashlib.md5(i.encode()).hexdigest(), w)
+                         for g, q, i, w in data if g == k)
+        size, extra = divmod(len(members), 3)
+        for tile in (1, 2, 3):
+            part, members = members[:size + (tile <= extra)], members[size + (tile <= extra):]
+            if part:
+                expected.append((k, tile, len(part), sum(m[3] for m in part)))
+    assert rows(got, "k", "tile", "lines", "w_sum") == sorted(expected, key=repr)
 
 
 @pytest.mark.parametrize("kind", ["decimal(10,2)", "decimal(18,4)"])
