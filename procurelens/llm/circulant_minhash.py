@@ -8,8 +8,8 @@ permutations so give all coordinates, each of which is equal for two sets with t
 2. Classes with an equal band share a *bucket*. A pair at similarity 0.8 misses all buckets with a chance of 3.4e-9.
 3. Every pair in a bucket is confirmed on full sets, unless links join it already. Buckets
    that hang together are a *region*; a small one is confirmed in one task. In a large one, a few hubs meet
-   all others part by part, round by round, which joins most copies; buckets that still hold several
-   components are then confirmed in blocks: members of a bucket's largest component meet only those outside.
+   all others part by part, round by round, which joins most copies; pairs that are still apart are then confirmed
+   in blocks: members of the region's largest component meet only those outside of it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from .wordhash import LOWER, U, lists, mix, shingle_sets, signed, slices, split_
 BANDS, ROWS = 64, 6
 #: Regions and blocks within these bounds are confirmed in one task.
 TASK_CLASSES, TASK_SHINGLES = 256, 1_000_000
-HUBS, ROUNDS, SHRINK = 8, 6, 0.7
+HUBS, ROUNDS, SHRINK = 8, 4, 0.5
 #: Shingles that are permuted together: two arrays of them stay in a core's cache.
 CACHED = 1 << 15
 W = np.uint32
@@ -136,30 +136,35 @@ def _confirmed(ids: np.ndarray, sets: list[np.ndarray], label: np.ndarray, pairs
     return pa.table({"a": pa.array(ids[at[:, 0]]), "b": pa.array(ids[at[:, 1]])})
 
 
+def _sharing(keys: list[np.ndarray], order: list[int], apart: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Pairs of places that share a key, earlier ones in ``order`` first; of different blocks if ``apart`` names them."""
+    met: dict[int, list[int]] = {}
+    for i in order:
+        for key in keys[i].tolist():
+            met.setdefault(key, []).append(i)
+    for members in met.values():
+        for place, i in enumerate(members):
+            for j in members[:place]:
+                if apart is None or apart[i] != apart[j]:
+                    yield j, i
+
+
 def _in_region(percent: int):
     """Confirm pairs of a region that share a bucket."""
     def run(table: pa.Table) -> pa.Table:
         ids, keys = table.column("cid").to_numpy(), _rows(table, "buckets")
-        met: dict[int, list[int]] = {}
-        for i in np.argsort(ids, kind="stable").tolist():
-            for key in keys[i].tolist():
-                met.setdefault(key, []).append(i)
-        pairs = ((m[j], m[i]) for m in met.values() for i in range(1, len(m)) for j in range(i))
+        pairs = _sharing(keys, np.argsort(ids, kind="stable").tolist())
         return _confirmed(ids, _rows(table, "shingles"), np.arange(len(ids)), pairs, percent)
 
     return run
 
 
 def _in_blocks(percent: int):
-    """Confirm pairs of one block of a bucket, or of two blocks with each other."""
+    """Confirm pairs that share a bucket, of one block of a region or of two blocks with each other."""
     def run(table: pa.Table) -> pa.Table:
-        ids, block = table.column("cid").to_numpy(), table.column("block").to_numpy()
-        low, high = (np.flatnonzero(block == b).tolist() for b in (block.min(), block.max()))
-        if block.min() == block.max():
-            alone = table.column("low")[0].as_py() != table.column("high")[0].as_py()
-            pairs = () if alone else ((low[j], low[i]) for i in range(len(low)) for j in range(i))
-        else:
-            pairs = ((i, j) for i in low for j in high)
+        ids, keys, block = table.column("cid").to_numpy(), _rows(table, "buckets"), table.column("block").to_numpy()
+        alone = table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        pairs = _sharing(keys, np.argsort(ids, kind="stable").tolist(), None if alone else block)
         _, label = np.unique(table.column("label").to_numpy(), return_inverse=True)
         return _confirmed(ids, _rows(table, "shingles"), label, pairs, percent)
 
@@ -191,8 +196,8 @@ def _labelled(classes: DataFrame, links: DataFrame, name: str) -> DataFrame:
         "label", F.coalesce("component", "cid")).drop("id", "component")
 
 
-def _large_links(sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
-    """Links with the components of large regions. ``sets(cid, n, shingles, region)``; ``buckets(bucket, cid)``."""
+def _large_links(sets: DataFrame, percent: int) -> DataFrame:
+    """Links with the components of large regions. ``sets(cid, n, shingles, buckets, region)``."""
     sizes = sets.groupBy("region").agg(_blocks("count(*)", "sum(n)").alias("parts"))
     rows = saved(sets.join(sizes, "region").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")), "circulant-large")
     known = rows.select("region", "cid", "n")
@@ -215,22 +220,16 @@ def _large_links(sets: DataFrame, buckets: DataFrame, percent: int) -> DataFrame
         before = left
         outside = rows.join(named.where("outside").select("cid"), "cid", "left_semi")
 
-    met = saved(buckets.join(named.select("cid", "n", "label"), "cid"), "circulant-met")
-    mixed = met.groupBy("bucket").agg(F.min("label").alias("one"), F.max("label").alias("other")).where("one <> other")
-    met = met.join(mixed.select("bucket"), "bucket", "left_semi")
-    top = (met.groupBy("bucket", "label").agg(F.count("*").alias("many")).groupBy("bucket")
-           .agg(F.max(F.struct("many", "label"))["label"].alias("top")))
-    met = saved(met.join(top, "bucket").withColumn("outside", F.col("label") != F.col("top")), "circulant-open")
-    bounds = met.groupBy("bucket").agg(
+    bounds = named.groupBy("region").agg(
         _blocks("count_if(outside)", "coalesce(sum(n) filter (where outside), 0)").alias("out"),
-        _blocks("count_if(not outside)", "coalesce(sum(n) filter (where not outside), 0)").alias("ins"))
-    dealt = (met.join(bounds, "bucket")
+        _blocks("count_if(not outside)", "coalesce(sum(n) filter (where not outside), 0)").alias("ins")).where("out > 0")
+    dealt = (named.join(bounds, "region")
              .withColumn("block", F.expr("if(outside, pmod(xxhash64(cid), out), out + pmod(xxhash64(cid), ins))"))
              .withColumn("other", F.explode(F.expr("sequence(0L, if(outside, out + ins, out) - 1)")))
-             .select("bucket", "cid", "label", "block", F.least("block", "other").alias("low"),
+             .select("region", "cid", "label", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high")))
-    blocks = dealt.join(rows.select("cid", "shingles"), "cid")
-    return links.unionByName(blocks.groupBy("bucket", "low", "high").applyInArrow(_in_blocks(percent), LINKS))
+    blocks = dealt.join(rows.select("cid", "shingles", "buckets"), "cid")
+    return links.unionByName(blocks.groupBy("region", "low", "high").applyInArrow(_in_blocks(percent), LINKS))
 
 
 class Links(NamedTuple):
@@ -250,29 +249,28 @@ def circulant_links(documents: DataFrame, percent: int = 80, size: int = 2) -> L
 
     # a class without any id cannot be looked up again, and is linked with nothing
     met = classes.where("rep is not null").select("cid", F.explode("bands").alias("bucket"))
-    several = met.groupBy("bucket").agg(
-        F.count("*").alias("many"), F.bit_xor(F.xxhash64("cid")).alias("x1"),
-        F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("x2")).where("many > 1")
-    different = several.groupBy("many", "x1", "x2").agg(F.min("bucket").alias("bucket"))  # one of buckets with equal members
-    buckets = saved(met.join(saved(different.select("bucket"), "circulant-shared"), "bucket"), "circulant-buckets")
-    first = buckets.groupBy("bucket").agg(F.min("cid").alias("b"))
-    stars = buckets.join(first, "bucket").select(F.col("cid").alias("a"), "b")
+    same = Window.partitionBy("bucket")
+    buckets = saved(met.select("bucket", "cid", F.count("*").over(same).alias("many"), F.min("cid").over(same).alias("first"))
+                    .where("many > 1").select("bucket", "cid", "first"), "circulant-buckets")
+    stars = buckets.select(F.col("cid").alias("a"), F.col("first").alias("b"))
     region = components(stars, "circulant-region").select(F.col("id").alias("cid"), F.col("component").alias("region"))
     region = saved(region.join(classes.select("cid", "rep", "d1", "d2", "n"), "cid"), "circulant-regions")
     large = (region.groupBy("region").agg(F.count("*").alias("many"), F.sum("n").alias("words"))
              .where((F.col("many") > TASK_CLASSES) | (F.col("words") > TASK_SHINGLES)).select("region"))
     large = saved(large, "circulant-large-regions")
 
-    texts = documents.join(region.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # merged and not broadcast at any size: the ids are a part of all documents
+    needed = region.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
+    texts = documents.join(needed, "doc_id", "left_semi")
     sets = texts.mapInArrow(_set_rows(size), "doc_id long, n long, d1 long, d2 long, shingles array<bigint>")
     sets = (sets.join(region.withColumnRenamed("rep", "doc_id"), ["doc_id", "d1", "d2", "n"])
             .groupBy("cid").agg(F.first("n").alias("n"), F.first("region").alias("region"), F.first("shingles").alias("shingles")))
-    sets = saved(sets, "circulant-sets")
     keys = buckets.groupBy("cid").agg(F.collect_list("bucket").alias("buckets"))  # BANDS at most
-    small = sets.join(large, "region", "left_anti").join(keys, "cid")
+    sets = saved(sets.join(keys, "cid"), "circulant-sets")
+    small = sets.join(large, "region", "left_anti")
     links = small.groupBy("region").applyInArrow(_in_region(percent), LINKS)
     if not large.isEmpty():
-        links = links.unionByName(_large_links(sets.join(large, "region"), buckets, percent))
+        links = links.unionByName(_large_links(sets.join(large, "region"), percent))
     joined = saved(components(links, "circulant-joined"), "circulant-components")
     least = (joined.join(classes.select(F.col("cid").alias("id"), "rep"), "id")
              .groupBy("component").agg(F.min("rep").alias("least")))
