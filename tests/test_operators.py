@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from procurelens.functions import measures, parsing
+from procurelens.operators import median
 from procurelens.operators.joins import join_null_safe, orphans
 from procurelens.operators.median import exact_median
 from procurelens.operators.ranking import _ranged, ordered_position, tile_totals, top_k
@@ -161,9 +162,43 @@ def test_weighted_global_median(spark):
     assert one(exact_median(df, [], "v", weight="w"))["median"] == 1
 
 
-def test_median_has_no_group_in_one_task(spark):
-    df = spark.range(10).select(F.lit("k").alias("k"), F.col("id").cast("decimal(10,2)").alias("v"))
-    plan = exact_median(df, ["k"], "v")._jdf.queryExecution().toString()
+def weighted_median(pairs):
+    return statistics.median([v for v, n in pairs for _ in range(n)])
+
+
+@pytest.mark.parametrize("margin, room", [(1, 10**6), (0, 1), (1, 3)])
+def test_median_when_brackets_miss_or_hold_too_much(spark, monkeypatch, margin, room):
+    """Weights that the sketch does not know, one hot group, and brackets that are widened round by round."""
+    monkeypatch.setattr(median, "ROOM", room)
+    rng = random.Random(11)
+    data = []
+    for i in range(1500):
+        price = Decimal(rng.randrange(1, 60_000)) / 100
+        heavy = price > 590 or price < 3
+        data.append(("hot" if i % 3 else rng.choice(["a", None]), price, rng.choice([200, 500]) if heavy else 1))
+    data += [("same", Decimal("7.07"), 5)] * 40 + [("ends", Decimal(1), 4), ("ends", Decimal(2), 4),
+                                                   ("none", None, 3), ("zero", Decimal(3), 0)]
+    df = spark.createDataFrame(data, "k string, v decimal(10,2), w long")
+    got = {r["k"]: (r["median"], r["n"])
+           for r in exact_median(df, ["k"], "v", weight="w", count_out="n", margin=margin).collect()}
+    groups = defaultdict(list)
+    for k, v, w in data:
+        if v is not None and w:
+            groups[k].append((v, w))
+    assert got == {k: (weighted_median(p), sum(w for _, w in p)) for k, p in groups.items()}
+
+
+def test_median_of_nothing(spark):
+    df = spark.createDataFrame([(None, 1)], "v decimal(10,2), w long")
+    assert one(exact_median(df, [], "v", count_out="n")) == {"median": None, "n": None}
+    assert exact_median(df.withColumn("k", F.lit(1)), ["k"], "v").collect() == []
+
+
+def test_median_orders_only_rows_inside_the_bracket(spark):
+    df = spark.range(100_000).select(F.lit("k").alias("k"), (F.col("id") / 100).cast("decimal(10,2)").alias("v"))
+    result = exact_median(df, ["k"], "v")
+    assert one(result)["median"] == Decimal("499.995")
+    plan = result._jdf.queryExecution().toString()
     assert "percentile" not in plan
 
 
