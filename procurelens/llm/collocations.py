@@ -29,7 +29,7 @@ from .store import saved
 from .wordhash import Alphabet, U, mix, slices, split_words
 
 #: Suffix occurrences whose subtrees one task builds, and words whose suffixes one task merges before sending.
-BUDGET, CHUNK = 2_000_000, 1_000_000
+BUDGET, CHUNK = 1_000_000, 400_000
 #: Prefixes with more than this part of the budget are packed by count.
 SHARE = 32
 BREAKS = {*b".,;:!?", *range(0x0A, 0x0E)}
