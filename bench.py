@@ -19,6 +19,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from procurelens import registry  # noqa: E402
 from procurelens.session import build_session  # noqa: E402
+from procurelens.sources.tables import release  # noqa: E402
 
 HEADLINE = (
     "dq_missing_counts", "dq_domain_profile", "dq_id_collisions", "clean_fact",
@@ -37,7 +38,9 @@ WARM_UP = ("clean_fact", "spend_by_category", "price_index_bands", "opp_scorecar
 def run(query, spark, folder: str) -> float:
     start = time.perf_counter()
     query(spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    seconds = time.perf_counter() - start
+    release(spark)
+    return seconds
 
 
 def main() -> None:

@@ -19,7 +19,7 @@ from ..operators.shares import minmax_score, share_of_total
 from ..params import OpportunityParams, PriceParams, ScoreWeights
 from ..sources.model import ProcurementModel
 from ..sources.schemas import PAIRS_EXPORT, SCORECARD_EXPORT
-from ..sources.tables import conform, working_set
+from ..sources.tables import conform, kept_set
 from . import open_orders
 from .delivery import avg_days_late, delivery_base, on_time_pct
 from .pricing import PriceBase, comparable_pairs, priced_pairs
@@ -43,13 +43,10 @@ class OpportunityBase:
     params: OpportunityParams = DEFAULTS
 
     @classmethod
-    def build(cls, model: ProcurementModel, params: OpportunityParams = DEFAULTS,
-              shared: bool = True) -> OpportunityBase:
-        """``shared``: materialise both because several branches will read them."""
-        pairs, delivery = priced_pairs(PriceBase.build(model)), delivery_base(model)
-        if shared:
-            pairs, delivery = working_set(pairs, "pairs"), working_set(delivery, "delivery")
-        return cls(model, pairs, delivery, params)
+    def build(cls, model: ProcurementModel,
+              params: OpportunityParams = DEFAULTS) -> OpportunityBase:
+        return cls(model, kept_set(priced_pairs(PriceBase.build(model)), "pairs"),
+                   kept_set(delivery_base(model), "delivery"), params)
 
     def flagged(self) -> DataFrame:
         """Pairs with enough lines whose price index exceeds the flag."""
@@ -152,7 +149,7 @@ def vendor_metrics(base: OpportunityBase) -> DataFrame:
         "vendor_id", "spend", ratio("spend", "_bench").alias("price_index"),
         on_time_pct().alias("on_time_pct"),
         F.coalesce(avg_days_late(), F.lit(0.0)).alias("avg_days_late"))
-    settled = working_set(rated, "vendor-metrics")
+    settled = kept_set(rated, "vendor-metrics")
     total = settled.agg(F.sum("spend").alias("_total"))
     return with_scalar(settled, total).select(
         "vendor_id", "spend", ratio("spend", "_total").alias("spend_share"), "price_index",

@@ -26,7 +26,7 @@ from ..operators.median import exact_median
 from ..operators.ranking import tile_totals, top_k
 from ..params import PriceParams
 from ..sources.model import ProcurementModel
-from ..sources.tables import measured, working_set
+from ..sources.tables import kept_result, kept_set
 
 # Bands of the line price index.
 INDEX_BANDS = (("<", 0.50, "1. below 0.50"), ("<", 0.80, "2. 0.50-0.80"),
@@ -59,21 +59,20 @@ def benchmarks(points: DataFrame, *keys: str) -> DataFrame:
 class PriceBase:
     """Working sets behind all price reports.
 
-    ``points``: see ``price_points``, with their measured number of ``rows``;
-    ``products``: one row per product with benchmark, line count and the
-    descriptive columns. Benchmarks that took the large path are materialised
-    as well, so that joins to them go by their real size.
+    ``points``: see ``price_points``; ``products``: one row per product with benchmark,
+    line count and the descriptive columns. Both are written once per version of the
+    lines, however many reports are built on them, and joins go by their real size.
     """
 
     points: DataFrame
-    rows: int
     products: DataFrame
 
     @classmethod
     def build(cls, model: ProcurementModel) -> PriceBase:
-        points, rows = measured(price_points(model.fact), "price-points")
-        known = describe(benchmarks(points), model.products, "product_id", PRODUCT_COLUMNS)
-        return cls(points, rows, working_set(known, "benchmarks"))
+        points = kept_set(price_points(model.fact), "price-points")
+        medians = kept_result(points, "benchmarks", benchmarks)
+        known = describe(medians, model.products, "product_id", PRODUCT_COLUMNS)
+        return cls(points, kept_set(known, "products-benchmarked"))
 
     def covered(self, params: PriceParams) -> DataFrame:
         """Products with enough lines for a stable median."""
@@ -93,10 +92,10 @@ def bench_spend() -> Column:
 def price_base(model: ProcurementModel) -> DataFrame:
     """Line-level working set: every eligible line with its benchmark measures.
 
-    The benchmark table is materialised first, so Spark broadcasts it only if
-    its measured size allows and otherwise merges by product with skew handling.
+    The benchmark table is written, so Spark broadcasts it only if its
+    measured size allows and otherwise merges by product with skew handling.
     """
-    benchmarked = working_set(PriceBase.build(model).products, "benchmarks")
+    benchmarked = PriceBase.build(model).products
     lines = model.fact.where(pop.eligible_spend()).select(
         "po_line_id", "vendor_id", "product_id", "order_date", "quantity", "unit_price",
         pop.line_spend().alias("line_spend"))

@@ -71,23 +71,21 @@ def _on_prices(plan: Callable[..., DataFrame], with_model: bool = False) -> Quer
     return run
 
 
-def _opportunity_base(spark: SparkSession, folder: str,
-                      shared: bool = True) -> opportunity.OpportunityBase:
+def _opportunity_base(spark: SparkSession, folder: str) -> opportunity.OpportunityBase:
     model = source.procurement_model(spark, folder, "brand", (EXPECTED,))
-    return opportunity.OpportunityBase.build(model, OPPORTUNITY, shared)
+    return opportunity.OpportunityBase.build(model, OPPORTUNITY)
 
 
-def _on_opportunity(plan: Callable[[opportunity.OpportunityBase], DataFrame],
-                    shared: bool = False) -> Query:
-    return lambda spark, folder: plan(_opportunity_base(spark, folder, shared))
+def _on_opportunity(plan: Callable[[opportunity.OpportunityBase], DataFrame]) -> Query:
+    return lambda spark, folder: plan(_opportunity_base(spark, folder))
 
 
 def _on_exports(plan: Callable[..., DataFrame]) -> Query:
     """Plans that start from the two exported tables."""
     def run(spark: SparkSession, folder: str) -> DataFrame:
         base = _opportunity_base(spark, folder)
-        pairs = tables.working_set(opportunity.export_pairs(base), "export-pairs")
-        vendors = tables.working_set(opportunity.export_scorecard(base), "export-vendors")
+        pairs = tables.kept_set(opportunity.export_pairs(base), "export-pairs")
+        vendors = tables.kept_set(opportunity.export_scorecard(base), "export-vendors")
         return plan(base, pairs, vendors)
 
     return run
@@ -318,7 +316,7 @@ def all_queries() -> dict[str, Query]:
         "opp_reconciliation": _on_opportunity(opportunity.reconciliation),
         "opp_flagged_pairs": _on_opportunity(lambda b: b.flagged().select(
             "product_id", "vendor_id", "lines", "spend", "bench_spend", "gap")),
-        "opp_summary": _on_opportunity(opportunity.summary, shared=True),
+        "opp_summary": _on_opportunity(opportunity.summary),
         "opp_by_vendor": _on_opportunity(opportunity.by_vendor),
         "opp_by_category": _on_opportunity(opportunity.by_category),
         "opp_reliability_adjusted": _on_opportunity(opportunity.reliability_adjusted),
@@ -331,11 +329,11 @@ def all_queries() -> dict[str, Query]:
         "opp_open_largest": _on_model(
             lambda m: opportunity.open_largest(m, OPPORTUNITY), need=dates),
         "opp_tail_spend": _on_model(opportunity.tail_spend),
-        "opp_headlines": _on_opportunity(opportunity.headlines, shared=True),
-        "opp_export_scorecard": _on_opportunity(opportunity.export_scorecard, shared=True),
+        "opp_headlines": _on_opportunity(opportunity.headlines),
+        "opp_export_scorecard": _on_opportunity(opportunity.export_scorecard),
         "opp_export_pairs": _on_opportunity(opportunity.export_pairs),
         "opp_min_vendors_sensitivity": _on_opportunity(
-            opportunity.min_vendors_sensitivity, shared=True),
+            opportunity.min_vendors_sensitivity),
         "opp_price_delivery_corr": _on_opportunity(opportunity.price_delivery_correlation),
         "opp_scenarios": _on_exports(
             lambda b, p, v: savings_model.scenarios(p, v, b.params)),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -82,10 +83,73 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def working_folder(spark: SparkSession) -> str:
+    """One folder per application; ``release`` deletes it, and so does the end of the application."""
+    return f"{shared_folder(spark).rstrip('/')}/procurelens/{spark.sparkContext.applicationId}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
 def working_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below one folder per application, which can be dropped with it."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/procurelens/{application}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the working folder."""
+    folder = working_folder(spark)
+    if folder not in _kept:
+        _kept[folder] = {}
+        files, path = _file_system(spark, folder)
+        files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+#: Per working folder the sets that can be found again: their plan and their table, by key.
+_kept: dict[str, dict[tuple, list[tuple[DataFrame, DataFrame]]]] = {}
+
+
+def _version(df: DataFrame) -> tuple:
+    """What says that the files behind ``df`` are still the same.
+
+    The names of all files (writers never use one twice), the time of each of their folders, and time and size
+    of each file that is a table by itself.
+    """
+    inputs = sorted(df.inputFiles())
+    folders = sorted({path.rsplit("/", 1)[0] for path in inputs})
+    out: list[tuple] = [tuple(inputs)]
+    for where in folders + [path for path in inputs if not path.rsplit("/", 1)[1].startswith("part-")]:
+        files, path = _file_system(df.sparkSession, where)
+        status = files.getFileStatus(path)
+        out.append((where, status.getModificationTime(), status.getLen()))
+    return tuple(out)
+
+
+def kept_set(df: DataFrame, name: str) -> DataFrame:
+    """``working_set`` that is found again: a plan over unchanged files is written once an application.
+
+    Plans are compared by what they compute (``sameSemantics``), not by their text.
+    """
+    return kept_result(df, name, lambda plan: plan)
+
+
+def kept_result(df: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``build(df)`` as a set found again by the plan of ``df``: for results whose own plan holds written steps."""
+    spark = df.sparkSession
+    working_path(spark, name)  # know the folder
+    known = _kept[working_folder(spark)].setdefault((name, df.semanticHash(), _version(df)), [])
+    for plan, table in known:
+        if plan.sameSemantics(df):
+            return table
+    table = working_set(build(df), name)
+    known.append((df, table))
+    return table
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all working sets of this application. Results that still read one end with them."""
+    folder = working_folder(spark)
+    _kept.pop(folder, None)
+    files, path = _file_system(spark, folder)
+    files.delete(path, True)
 
 
 def measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
