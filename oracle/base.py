@@ -78,7 +78,8 @@ calendar AS (
          'Q' || quarter(d) AS quarter, CAST(month(d) AS INTEGER) AS month,
          monthname(d) AS month_name, strftime(d, '%Y-%m') AS year_month,
          CAST(weekofyear(d) AS INTEGER) AS week, dayname(d) AS day_name
-  FROM generate_series(DATE '1995-01-01', DATE '2001-08-31', INTERVAL 1 DAY) g(d)
+  FROM generate_series((SELECT date_trunc('year', min(o_orderdate)) FROM orders)::TIMESTAMP,
+                       (SELECT last_day(max(o_orderdate)) FROM orders)::TIMESTAMP, INTERVAL 1 DAY) g(d)
 )"""
 
 SPEND_LINES = """

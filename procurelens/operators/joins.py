@@ -41,11 +41,20 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return left.join(renamed, condition, how).drop(*[f"__{k}" for k in keys])
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Keys used in ``fact`` but absent from ``dim``, with the lines affected.
+def unique_rows(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+    """``df`` as it is, but an error when it is read if a key is missing or stands on two rows.
 
-    The fact is reduced to one row per key before the anti join, so a hot key
-    costs one row per task.
+    Rows are reduced to one per key in every task first; a lookup by these keys
+    afterwards finds them already dealt out by key.
     """
-    used = fact.groupBy(key).agg(F.count(F.lit(1)).alias("lines"))
-    return used.join(dim.select(key).distinct(), key, "left_anti")
+    keys, rest = list(keys), [c for c in df.columns if c not in keys]
+    columns = [F.first(F.struct(*rest)).alias("_row")] if rest else []
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *columns)
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("missing")) for k in keys])
+    sound = F.col("_rows") == 1
+    for key in keys:
+        sound = sound & F.col(key).isNotNull()
+    message = F.concat(F.lit(f"{what}: key ("), shown, F.lit(") is no key: "), F.col("_rows").cast("string"), F.lit(" rows"))
+    checked = grouped.where(F.when(sound, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    return checked.select(*[F.col(c) if c in keys else F.col("_row").getField(c).alias(c)
+                            for c in df.columns])

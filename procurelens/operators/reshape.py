@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import month_index
@@ -17,6 +17,19 @@ def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
     return typed.unpivot(list(ids), list(metrics), key, value)
 
 
+def open_pivot(df: DataFrame, row: str, column: str, value: Column, name: str = "{}") -> DataFrame:
+    """One column per value of ``column`` that occurs, in order; a missing one is called ``none``.
+
+    ``df`` is an aggregate whose ``column`` has few values; they are measured first, so no
+    value can be left out because a list does not know it.
+    """
+    key = F.coalesce(F.col(column).cast("string"), F.lit("none"))
+    values = [r["_key"] for r in df.select(key.alias("_key"), F.col(column).alias("_by")).distinct()
+              .orderBy("_by", "_key").collect()]
+    wide = df.withColumn("_key", key).groupBy(row).pivot("_key", values).agg(value)
+    return wide.select(row, *[F.col(f"`{v}`").alias(name.format(v)) for v in values])
+
+
 def month_spine(df: DataFrame, month: str, value: str) -> DataFrame:
     """Dense monthly series ``month_start, value, idx`` from the first to the last month.
 

@@ -79,7 +79,6 @@ class OpportunityParams:
     top_vendors: int = 10
     top_open_lines: int = 25
     min_vendors: int = 3
-    years_in_data: float = 2.0
     scenario: str = "Base"
     tolerance: float = 1.0
 

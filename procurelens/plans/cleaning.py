@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
+from ..operators.joins import unique_rows
 from ..sources.schemas import CALENDAR, DEPARTMENTS, PRODUCTS, PURCHASE_ORDERS, VENDORS
 from ..sources.tables import working_set
 from .quality import LINE_COLUMNS, LINE_ID
@@ -102,21 +103,16 @@ def _clean_dimension(staged: DataFrame, schema) -> DataFrame:
 
 
 def clean_department(staged: DataFrame) -> DataFrame:
-    return _clean_dimension(staged, DEPARTMENTS)
+    return unique_rows(_clean_dimension(staged, DEPARTMENTS), ["department_id"], "departments")
 
 
 def clean_vendor(staged: DataFrame) -> DataFrame:
-    return _clean_dimension(staged, VENDORS)
+    return unique_rows(_clean_dimension(staged, VENDORS), ["vendor_id"], "vendors")
 
 
 def clean_product(staged: DataFrame) -> DataFrame:
-    return _clean_dimension(staged, PRODUCTS)
+    return unique_rows(_clean_dimension(staged, PRODUCTS), ["product_id"], "products")
 
 
 def clean_calendar(staged: DataFrame) -> DataFrame:
-    return _clean_dimension(staged, CALENDAR)
-
-
-def duplicate_keys(dim: DataFrame, key: str) -> DataFrame:
-    """Keys that break uniqueness of a cleaned dimension (should be none)."""
-    return dim.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
+    return unique_rows(_clean_dimension(staged, CALENDAR), ["date"], "calendar")

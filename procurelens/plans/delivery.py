@@ -52,12 +52,12 @@ def avg_days_late(scale: int | None = None) -> Column:
 
 def delivery_base(model: ProcurementModel) -> DataFrame:
     """Additive delivery measures per vendor."""
-    return model.fact.where(pop.eligible_delivery()).groupBy("vendor_id").agg(*delivery_counts())
+    return model.lines(pop.eligible_delivery(), pop.COMPLETED).groupBy("vendor_id").agg(*delivery_counts())
 
 
 def readiness(model: ProcurementModel) -> DataFrame:
     ordered, actual = F.col("order_date"), F.col("actual_delivery_date")
-    return model.fact.where(pop.has_status(pop.COMPLETED)).agg(
+    return model.lines(pop.has_status(pop.COMPLETED), pop.COMPLETED).agg(
         F.count(F.lit(1)).alias("completed_lines"),
         F.count_if(F.col("expected_delivery_date").isNull()).alias("missing_expected"),
         F.count_if(actual.isNull()).alias("missing_actual"),
@@ -66,7 +66,7 @@ def readiness(model: ProcurementModel) -> DataFrame:
 
 
 def overall(model: ProcurementModel) -> DataFrame:
-    measured = model.fact.where(pop.eligible_delivery()).agg(
+    measured = model.lines(pop.eligible_delivery(), pop.COMPLETED).agg(
         *delivery_counts(), F.max(days_late()).alias("max_days_late"))
     return measured.select("delivery_lines", on_time_pct().alias("on_time_pct"),
                            avg_days_late().alias("avg_days_late"), "max_days_late")
@@ -79,7 +79,7 @@ def vendor_position(model: ProcurementModel) -> DataFrame:
     and a vendor without any has NULL there.
     """
     counted, late = pop.plausible_delivery(), days_late() > 0
-    return model.fact.where(pop.has_status(pop.COMPLETED)).groupBy("vendor_id").agg(
+    return model.lines(pop.has_status(pop.COMPLETED), pop.COMPLETED).groupBy("vendor_id").agg(
         F.sum(F.when(pop.valid_amount(), pop.line_spend())).alias("spend"),
         F.nullif(F.count_if(counted), F.lit(0)).alias("delivery_lines"),
         F.count_if(counted & ~late).alias("on_time_lines"),
@@ -104,7 +104,7 @@ def delivery_by(model: ProcurementModel, label: str) -> DataFrame:
         "department": ("department_id", model.departments),
         "region": ("vendor_id", model.vendors),
     }[label]
-    per_id = model.fact.where(pop.eligible_delivery()).groupBy(key).agg(*delivery_counts())
+    per_id = model.lines(pop.eligible_delivery(), pop.COMPLETED).groupBy(key).agg(*delivery_counts())
     grouped = describe(per_id, dim, key, [label]).groupBy(label).agg(*rolled_up())
     return grouped.select(label, "delivery_lines", on_time_pct().alias("on_time_pct"),
                           avg_days_late().alias("avg_days_late"))
@@ -112,20 +112,20 @@ def delivery_by(model: ProcurementModel, label: str) -> DataFrame:
 
 def lateness_buckets(model: ProcurementModel) -> DataFrame:
     bucket = band(days_late(), LATENESS, LATENESS_REST).alias("bucket")
-    counted = (model.fact.where(pop.eligible_delivery()).groupBy(bucket)
+    counted = (model.lines(pop.eligible_delivery(), pop.COMPLETED).groupBy(bucket)
                .agg(F.count(F.lit(1)).alias("delivery_lines")))
     return share_of_total(counted, "delivery_lines", "pct_of_lines")
 
 
 def by_month(model: ProcurementModel) -> DataFrame:
     month = year_month("actual_delivery_date").alias("delivery_month")
-    grouped = (model.fact.where(pop.eligible_delivery()).groupBy(month).agg(*delivery_counts()))
+    grouped = (model.lines(pop.eligible_delivery(), pop.COMPLETED).groupBy(month).agg(*delivery_counts()))
     return grouped.select("delivery_month", "delivery_lines", on_time_pct().alias("on_time_pct"))
 
 
 def calendar_gap(model: ProcurementModel) -> DataFrame:
     """Delivery lines an inner join to the calendar would lose."""
-    per_day = (model.fact.where(pop.eligible_delivery())
+    per_day = (model.lines(pop.eligible_delivery(), pop.COMPLETED)
                .groupBy(F.col("actual_delivery_date").alias("date"))
                .agg(F.count(F.lit(1)).alias("lines")))
     lost = per_day.join(model.calendar.select("date"), "date", "left_anti")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import populations as pop
 from ..functions.measures import month_number
 from ..operators.joins import with_scalar
-from ..operators.reshape import month_spine, unpivot_metrics
+from ..operators.reshape import month_spine, open_pivot, unpivot_metrics
 from ..params import ForecastParams
 from ..sources.model import ProcurementModel
 
@@ -32,7 +32,8 @@ def _by_month():
 
 def monthly_totals(model: ProcurementModel) -> DataFrame:
     month = F.trunc("order_date", "month").alias("month_start")
-    return (model.fact.where(pop.ordered_spend() & F.col("order_date").isNotNull())
+    return (model.lines(pop.ordered_spend() & F.col("order_date").isNotNull(),
+                        pop.COMPLETED, pop.OPEN)
             .groupBy(month).agg(F.sum(pop.line_spend()).cast("decimal(18,2)")
                                 .alias("ordered_spend")))
 
@@ -77,10 +78,9 @@ def relative_levels(series: DataFrame) -> DataFrame:
                          .alias("rel"))
 
 
-def seasonal_profile(series: DataFrame, years: list[int]) -> DataFrame:
-    """Relative level per calendar month, one column ``rel_<year>`` per year."""
-    levels = relative_levels(series).groupBy("mo").pivot("yr", years).agg(F.max("rel"))
-    return levels.select("mo", *[F.round(F.col(f"`{y}`"), 3).alias(f"rel_{y}") for y in years])
+def seasonal_profile(series: DataFrame) -> DataFrame:
+    """Relative level per calendar month, one column ``rel_<year>`` per year of the series."""
+    return open_pivot(relative_levels(series), "mo", "yr", F.round(F.max("rel"), 3), "rel_{}")
 
 
 def seasonality_correlation(series: DataFrame, first: int, second: int) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions.measures import band, day_literal, percent
 from ..operators.joins import describe, with_scalar
 from ..operators.ranking import top_k
 from ..sources.model import ProcurementModel
-from ..sources.tables import working_set
+from ..sources.tables import kept_set, working_set
 
 # Aging buckets by days past the expected date.
 NOT_DUE = (("<=", 0, "0. Not yet due"),)
@@ -28,7 +28,7 @@ AGING_REST = "4. 180+ days overdue"
 def _with_as_of(model: ProcurementModel, lines: DataFrame, as_of: date | None) -> DataFrame:
     if as_of is not None:
         return lines.withColumn("as_of", day_literal(as_of))
-    latest = model.fact.where(pop.has_status(pop.COMPLETED)).agg(
+    latest = model.lines(pop.has_status(pop.COMPLETED), pop.COMPLETED).agg(
         F.max("actual_delivery_date").alias("as_of"))
     return with_scalar(lines, latest)
 
@@ -45,7 +45,7 @@ def aging(model: ProcurementModel, as_of: date | None = None,
     also carry the latest delivery for an ``as_of`` taken from the data.
     """
     open_line, completed = pop.open_with_due_date(), pop.has_status(pop.COMPLETED)
-    per_day = model.fact.where(open_line | completed).groupBy("expected_delivery_date").agg(
+    per_day = model.lines(open_line | completed, pop.COMPLETED, pop.OPEN).groupBy("expected_delivery_date").agg(
         F.count_if(open_line).alias("open_lines"),
         F.sum(F.when(open_line, pop.line_spend())).alias("open_spend"),
         F.max(F.when(completed, F.col("actual_delivery_date"))).alias("_latest"))
@@ -61,11 +61,24 @@ def aging(model: ProcurementModel, as_of: date | None = None,
 
 
 def _overdue_per_vendor(model: ProcurementModel, as_of: date | None) -> DataFrame:
-    lines = _with_as_of(model, model.fact.where(pop.valid_open()), as_of)
-    overdue = lines.where(pop.overdue_open(F.col("as_of")))
+    """One pass over the lines, reduced to vendors and due days; only that is read again for ``as_of``."""
+    open_line, completed = pop.valid_open(), pop.has_status(pop.COMPLETED)
+    if as_of is None:
+        lines = model.lines(open_line | completed, pop.COMPLETED, pop.OPEN)
+    else:
+        lines = model.lines(open_line, pop.OPEN)
+    per_day = lines.groupBy("vendor_id", "expected_delivery_date").agg(
+        F.count_if(open_line).alias("lines"),
+        F.sum(F.when(open_line, pop.line_spend())).alias("spend"),
+        F.max(F.when(completed, F.col("actual_delivery_date"))).alias("_latest"))
+    if as_of is None:
+        per_day = kept_set(per_day, "open-due-days")
+        per_day = with_scalar(per_day, per_day.agg(F.max("_latest").alias("as_of")))
+    else:
+        per_day = per_day.withColumn("as_of", day_literal(as_of))
+    overdue = per_day.where((F.col("lines") > 0) & (F.col("expected_delivery_date") < F.col("as_of")))
     return overdue.groupBy("vendor_id").agg(
-        F.count(F.lit(1)).alias("overdue_open_lines"),
-        F.sum(pop.line_spend()).alias("open_spend_overdue"))
+        F.sum("lines").alias("overdue_open_lines"), F.sum("spend").alias("open_spend_overdue"))
 
 
 def overdue_by_vendor(model: ProcurementModel, as_of: date | None = None,
@@ -89,7 +102,7 @@ def overdue_concentration(model: ProcurementModel, as_of: date | None = None,
 
 def largest_overdue(model: ProcurementModel, as_of: date | None = None, n: int = 25) -> DataFrame:
     """The largest overdue open lines of known vendors and products."""
-    lines = _with_as_of(model, model.fact.where(pop.valid_open()), as_of).where(
+    lines = _with_as_of(model, model.lines(pop.valid_open(), pop.OPEN), as_of).where(
         pop.overdue_open(F.col("as_of"))).select(
             "po_id", "po_line_id", "vendor_id", "product_id", "expected_delivery_date",
             _overdue_days().alias("days_overdue"), pop.line_spend().alias("line_value"))

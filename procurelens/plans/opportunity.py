@@ -233,7 +233,7 @@ def tail_spend_of(totals: DataFrame, threshold: float) -> DataFrame:
 
 
 def tail_spend(model: ProcurementModel, params: OpportunityParams = DEFAULTS) -> DataFrame:
-    totals = model.fact.where(pop.eligible_spend()).groupBy("vendor_id").agg(
+    totals = model.lines(pop.eligible_spend(), pop.COMPLETED).groupBy("vendor_id").agg(
         F.sum(pop.line_spend()).alias("spend"))
     return tail_spend_of(totals, params.tail_share)
 

@@ -38,9 +38,9 @@ PRODUCT_COLUMNS = ("product_name", "product_category", "standard_cost", "unit_of
 DEFAULTS = PriceParams()
 
 
-def price_points(fact: DataFrame) -> DataFrame:
+def price_points(model: ProcurementModel) -> DataFrame:
     """Eligible lines per product, vendor, order year and exact price."""
-    return fact.where(pop.eligible_spend()).groupBy(
+    return model.lines(pop.eligible_spend(), pop.COMPLETED).groupBy(
         "product_id", "vendor_id", F.year("order_date").alias("order_year"), "unit_price",
     ).agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"))
 
@@ -69,7 +69,7 @@ class PriceBase:
 
     @classmethod
     def build(cls, model: ProcurementModel) -> PriceBase:
-        points = kept_set(price_points(model.fact), "price-points")
+        points = kept_set(price_points(model), "price-points")
         medians = kept_result(points, "benchmarks", benchmarks)
         known = describe(medians, model.products, "product_id", PRODUCT_COLUMNS)
         return cls(points, kept_set(known, "products-benchmarked"))
@@ -96,7 +96,7 @@ def price_base(model: ProcurementModel) -> DataFrame:
     measured size allows and otherwise merges by product with skew handling.
     """
     benchmarked = PriceBase.build(model).products
-    lines = model.fact.where(pop.eligible_spend()).select(
+    lines = model.lines(pop.eligible_spend(), pop.COMPLETED).select(
         "po_line_id", "vendor_id", "product_id", "order_date", "quantity", "unit_price",
         pop.line_spend().alias("line_spend"))
     joined = lines.join(benchmarked.select(
@@ -120,7 +120,7 @@ def coverage(base: PriceBase, params: PriceParams = DEFAULTS) -> DataFrame:
 
 def lines_per_product(model: ProcurementModel, params: PriceParams = DEFAULTS) -> DataFrame:
     """Is the median stable enough? One pass, no benchmark needed."""
-    counted = model.fact.where(pop.eligible_spend()).groupBy("product_id").agg(
+    counted = model.lines(pop.eligible_spend(), pop.COMPLETED).groupBy("product_id").agg(
         F.count(F.lit(1)).alias("n"))
     known = counted.join(model.products.select("product_id"), "product_id")
     return known.agg(
@@ -278,7 +278,7 @@ def volume_effect(model: ProcurementModel, base: PriceBase,
 
     Tiles are per product by quantity; ties follow a hash of line id and price.
     """
-    lines = model.fact.where(pop.eligible_spend()).select(
+    lines = model.lines(pop.eligible_spend(), pop.COMPLETED).select(
         "product_id", "po_line_id", "quantity", "unit_price")
     covered = lines.join(base.covered(params).select("product_id"), "product_id", "left_semi")
     per_product = tile_totals(

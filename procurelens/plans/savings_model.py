@@ -6,12 +6,14 @@ rounded to cents, so totals may differ from the unrounded analysis by cents.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.measures import percent, ratio
-from ..operators.joins import with_scalar
-from ..operators.reshape import reconcile, scalar_metrics
+from ..operators.joins import unique_rows, with_scalar
+from ..operators.reshape import reconcile, scalar_metrics, unpivot_metrics
 from ..params import OpportunityParams
 from . import opportunity as opp
 from .opportunity import OpportunityBase
@@ -27,15 +29,15 @@ def with_key(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("key", pair_key())
 
 
-def repeated_keys(pairs: DataFrame) -> DataFrame:
-    """Keys that occur more than once; a lookup by key needs none."""
-    return (with_key(pairs).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
-            .where(F.col("rows") > 1))
+def scenario_rates(spark: SparkSession, params: OpportunityParams = DEFAULTS) -> DataFrame:
+    """The scenarios a reader can switch between: ``scenario, rate``."""
+    return spark.createDataFrame([(name, Decimal(str(rate))) for name, rate in params.rates.items()],
+                                 "scenario string, rate decimal(4,2)")
 
 
 def scenario_row(pairs: DataFrame, scorecard: DataFrame,
                  params: OpportunityParams = DEFAULTS) -> DataFrame:
-    """All scenario figures as one row."""
+    """All figures that no switch changes, as one row."""
     gap = F.col("gap_to_median")
     unreliable = F.when(F.col("vendor_on_time_pct") < params.strong, gap).otherwise(0)
     nothing = F.lit(0)
@@ -52,21 +54,28 @@ def scenario_row(pairs: DataFrame, scorecard: DataFrame,
     return with_scalar(summed, spend).select(
         "gap_ceiling", at("gap_ceiling", "Low").alias("low"),
         at("gap_ceiling", "Base").alias("base"), at("gap_ceiling", "High").alias("high"),
-        at("gap_ceiling", params.scenario).alias("selected"),
-        at("_unreliable", "Base").alias("reliability_adjusted_base"),
-        ratio(at("gap_ceiling", "Base"), F.lit(params.years_in_data)).alias("annualised_base"),
+        at("_unreliable", "Base").alias("reliability_adjusted_base"), "_unreliable",
         percent("gap_ceiling", "total_spend").alias("ceiling_pct_of_spend"),
         "total_spend", "vendors", "flagged_pairs")
 
 
-SCENARIO_METRICS = ("gap_ceiling", "low", "base", "high", "selected",
-                    "reliability_adjusted_base", "annualised_base", "ceiling_pct_of_spend")
+SCENARIO_METRICS = ("gap_ceiling", "low", "base", "high", "selected", "reliability_adjusted",
+                    "annualised", "ceiling_pct_of_spend")
 
 
-def scenarios(pairs: DataFrame, scorecard: DataFrame,
+def scenarios(pairs: DataFrame, scorecard: DataFrame, months: DataFrame,
               params: OpportunityParams = DEFAULTS) -> DataFrame:
-    return scalar_metrics(scenario_row(pairs, scorecard, params), SCENARIO_METRICS).select(
-        F.col("check").alias("metric"), "value")
+    """The model at every position of the scenario switch: ``scenario, metric, value``.
+
+    ``selected``, ``reliability_adjusted`` and ``annualised`` follow the switch; ``months`` is
+    the one-row span of the data, by which savings are brought to a year.
+    """
+    rates = F.broadcast(scenario_rates(pairs.sparkSession, params))  # a row for each scenario
+    row = with_scalar(scenario_row(pairs, scorecard, params), months).crossJoin(rates)
+    row = row.withColumn("selected", F.col("gap_ceiling") * F.col("rate")).withColumns({
+        "reliability_adjusted": F.col("_unreliable") * F.col("rate"),
+        "annualised": ratio(F.col("selected") * 12, "months")})
+    return unpivot_metrics(row, ["scenario"], SCENARIO_METRICS)
 
 
 def tracker_variance(tracker: DataFrame, pairs: DataFrame,
@@ -74,10 +83,11 @@ def tracker_variance(tracker: DataFrame, pairs: DataFrame,
     """Expected and realised savings per tracked pair.
 
     ``tracker`` has ``key, status, realized_savings``. A key that is no flagged
-    pair keeps its row with NULL expectations.
+    pair keeps its row with NULL expectations. Pairs are looked up by key, so a key that
+    stands for two of them is an error.
     """
     rate = F.lit(dict(params.rates.items())[params.scenario]).cast("decimal(4,2)")
-    looked_up = tracker.join(with_key(pairs), "key", "left")
+    looked_up = tracker.join(unique_rows(with_key(pairs), ["key"], "flagged pairs"), "key", "left")
     expected = F.col("gap_to_median") * rate
     return looked_up.select(
         "key", "vendor_name", "product_name", "product_category", "gap_to_median",

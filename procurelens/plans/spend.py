@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import populations as pop
-from ..functions.measures import percent_change, ratio
+from ..functions.measures import month_number, percent_change, ratio
 from ..operators.joins import describe, with_scalar
 from ..operators.median import exact_median
 from ..operators.ranking import top_k
+from ..operators.reshape import open_pivot
 from ..operators.shares import share_of_total
 from ..sources.model import ProcurementModel
 from ..sources.tables import measured
@@ -25,7 +26,7 @@ def spend_sum(alias: str = "spend") -> Column:
 
 def spend_by(model: ProcurementModel, *keys: str) -> DataFrame:
     """Eligible spend per id. Names are joined to this small result, not to the lines."""
-    return model.fact.where(pop.eligible_spend()).groupBy(*keys).agg(spend_sum())
+    return model.lines(pop.eligible_spend(), pop.COMPLETED).groupBy(*keys).agg(spend_sum())
 
 
 def _dated(lines: DataFrame, model: ProcurementModel, *columns: str) -> DataFrame:
@@ -37,7 +38,7 @@ def _dated(lines: DataFrame, model: ProcurementModel, *columns: str) -> DataFram
 def readiness(model: ProcurementModel) -> DataFrame:
     """How many Completed lines the validity rule touches, by reason."""
     quantity, price = F.col("quantity"), F.col("unit_price")
-    return model.fact.where(pop.has_status(pop.COMPLETED)).agg(
+    return model.lines(pop.has_status(pop.COMPLETED), pop.COMPLETED).agg(
         F.count(F.lit(1)).alias("completed_lines"),
         F.count_if(quantity.isNull() | price.isNull()).alias("missing_qty_or_price"),
         F.count_if(quantity <= 0).alias("zero_or_negative_qty"),
@@ -47,7 +48,7 @@ def readiness(model: ProcurementModel) -> DataFrame:
 
 def kpis(model: ProcurementModel) -> DataFrame:
     """Headline figures. Vendors are active by purchases, not by their status field."""
-    return (model.fact.where(pop.eligible_spend())
+    return (model.lines(pop.eligible_spend(), pop.COMPLETED)
             .agg(spend_sum("total_spend"), F.count_distinct("po_id").alias("po_count"),
                  F.count_distinct("vendor_id").alias("active_vendors"))
             .withColumn("avg_po_value", ratio("total_spend", "po_count")))
@@ -64,7 +65,7 @@ def yearly(model: ProcurementModel) -> DataFrame:
 
 
 def monthly(model: ProcurementModel) -> DataFrame:
-    lines = model.fact.where(pop.eligible_spend())
+    lines = model.lines(pop.eligible_spend(), pop.COMPLETED)
     return (_dated(lines, model, "year_month").groupBy("year_month")
             .agg(spend_sum(), F.count_distinct("po_id").alias("po_count")))
 
@@ -101,7 +102,7 @@ def category_by_year(model: ProcurementModel) -> DataFrame:
 def reconciliation(model: ProcurementModel) -> DataFrame:
     """Total spend and the part that no time-based result can contain."""
     undated = F.when(F.col("order_date").isNull(), pop.line_spend()).otherwise(0)
-    return model.fact.where(pop.eligible_spend()).agg(
+    return model.lines(pop.eligible_spend(), pop.COMPLETED).agg(
         spend_sum("total_spend"), F.sum(undated).alias("spend_with_missing_order_date"))
 
 
@@ -121,14 +122,14 @@ def completed_vs_open(model: ProcurementModel) -> DataFrame:
     def spend_when(status: str, alias: str) -> Column:
         return F.sum(F.when(pop.has_status(status), pop.line_spend()).otherwise(0)).alias(alias)
 
-    per_day = model.fact.where(pop.ordered_spend()).groupBy("order_date").agg(
+    per_day = model.lines(pop.ordered_spend(), pop.COMPLETED, pop.OPEN).groupBy("order_date").agg(
         spend_when(pop.COMPLETED, "completed"), spend_when(pop.OPEN, "open"))
     return _dated(per_day, model, "year_month").groupBy("year_month").agg(
         F.sum("completed").alias("completed_spend"), F.sum("open").alias("open_spend"))
 
 
 def ordered_by_year(model: ProcurementModel) -> DataFrame:
-    per_day = model.fact.where(pop.ordered_spend()).groupBy("order_date").agg(spend_sum())
+    per_day = model.lines(pop.ordered_spend(), pop.COMPLETED, pop.OPEN).groupBy("order_date").agg(spend_sum())
     return _dated(per_day, model, "year").groupBy("year").agg(
         F.sum("spend").alias("ordered_spend"))
 
@@ -154,10 +155,17 @@ def department_category_affinity(model: ProcurementModel) -> DataFrame:
     return share_of_total(grouped, "spend", "pct_of_department", by="department")
 
 
-def affinity_matrix(model: ProcurementModel, categories: list[str]) -> DataFrame:
-    """``department_category_affinity`` with one column per listed category."""
-    return (department_category_affinity(model).groupBy("department")
-            .pivot("product_category", categories).agg(F.first("pct_of_department")))
+def affinity_matrix(model: ProcurementModel) -> DataFrame:
+    """``department_category_affinity`` with one column per category that occurs."""
+    return open_pivot(department_category_affinity(model), "department", "product_category",
+                      F.first("pct_of_department"))
+
+
+def months_in_data(model: ProcurementModel) -> DataFrame:
+    """Calendar months from the first to the last order that counts as spend, as one row."""
+    dated = model.lines(pop.eligible_spend(), pop.COMPLETED)
+    span = month_number(F.max("order_date")) - month_number(F.min("order_date")) + 1
+    return dated.agg(span.alias("months"))
 
 
 def status_lines_by_month(model: ProcurementModel) -> DataFrame:
@@ -167,5 +175,3 @@ def status_lines_by_month(model: ProcurementModel) -> DataFrame:
         F.count_if(pop.has_status(pop.OPEN)).alias("open"))
     return _dated(per_day, model, "year_month").groupBy("year_month").agg(
         F.sum("lines").alias("total_lines"), F.sum("open").alias("open_lines"))
-
-

@@ -23,7 +23,7 @@ def spend_ranking(model: ProcurementModel) -> DataFrame:
 
     Equal spend is ordered by a hash of the vendor id, one row at a time.
     """
-    totals = model.fact.where(pop.eligible_spend()).groupBy("vendor_id").agg(
+    totals = model.lines(pop.eligible_spend(), pop.COMPLETED).groupBy("vendor_id").agg(
         spend_sum(), F.count_distinct("po_id").alias("po_count"),
         F.count(F.lit(1)).alias("line_count"))
     known = describe(totals, model.vendors, "vendor_id", VENDOR_COLUMNS)
@@ -82,7 +82,7 @@ def top_by_category(model: ProcurementModel, k: int = 3) -> DataFrame:
 
 def cross_category(model: ProcurementModel) -> DataFrame:
     """Completed lines whose product lies outside the vendor's own category."""
-    pairs = (model.fact.where(pop.has_status(pop.COMPLETED)).groupBy("product_id", "vendor_id")
+    pairs = (model.lines(pop.has_status(pop.COMPLETED), pop.COMPLETED).groupBy("product_id", "vendor_id")
              .agg(F.count(F.lit(1)).alias("lines")))
     named = describe(describe(pairs, model.products, "product_id", ["product_category"]),
                      model.vendors, "vendor_id", ["vendor_category"])

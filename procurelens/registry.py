@@ -28,14 +28,12 @@ from .plans import (
 )
 from .sources import order_lines as source
 from .sources import tables
-from .sources.calendar import build_calendar
 from .sources.model import ProcurementModel
 from .sources.schemas import PAIRS_EXPORT
 
 Query = Callable[[SparkSession, str], DataFrame]
 EXPECTED, DEPARTMENT = "expected_delivery_date", "department_id"
-OPPORTUNITY = OpportunityParams(as_of=source.CALENDAR_END)
-PROFILE_YEARS = list(range(source.CALENDAR_START.year, source.CALENDAR_END.year + 1))
+OPPORTUNITY = OpportunityParams(as_of=source.REPORT_DATE)
 COMPARED_YEARS = (1999, 2000)
 
 
@@ -106,7 +104,7 @@ def _staged_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]
         "vendors": source.staging_dimension(source.vendors(spark, folder)),
         "products": source.staging_dimension(source.products(spark, folder)),
         "departments": source.staging_dimension(source.departments(spark, folder)),
-        "calendar": source.staging_dimension(source.calendar(spark)),
+        "calendar": source.staging_dimension(source.calendar(spark, folder)),
     }
 
 
@@ -136,10 +134,9 @@ def clean_date(spark: SparkSession, folder: str) -> DataFrame:
 
 def week_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Orders per seven-day block and ISO week, the two week definitions side by side."""
-    start, end = source.CALENDAR_START, source.CALENDAR_END
-    blocks = build_calendar(spark, start, end, "block").select(
+    blocks = source.calendar(spark, folder, "block").select(
         "date", "year", F.col("week").alias("week_block"))
-    iso = build_calendar(spark, start, end).select("date", F.col("week").alias("iso_week"))
+    iso = source.calendar(spark, folder).select("date", F.col("week").alias("iso_week"))
     days = blocks.join(iso, "date").join(_order_days(spark, folder), "date")
     return days.groupBy("year", "week_block", "iso_week").agg(F.sum("orders").alias("orders"))
 
@@ -210,6 +207,11 @@ def _metrics(base) -> DataFrame:
         for c in scored.columns if c != "composite"])
 
 
+def _lower_case_matrix(model: ProcurementModel) -> DataFrame:
+    matrix = spend.affinity_matrix(model)
+    return matrix.withColumnsRenamed({c: c.lower() for c in matrix.columns})
+
+
 def thin_coverage(spark: SparkSession, folder: str) -> DataFrame:
     """Coverage by part: most parts have too few lines for a stable median."""
     base = pricing.PriceBase.build(source.procurement_model(spark, folder))
@@ -262,9 +264,7 @@ def all_queries() -> dict[str, Query]:
         "spend_po_value_stats": _on_model(spend.po_value_stats),
         "spend_dept_category_affinity": _on_model(spend.department_category_affinity,
                                                   need=(DEPARTMENT,)),
-        "spend_affinity_matrix": _on_model(
-            lambda m: spend.affinity_matrix(m, list(source.VENDOR_CATEGORIES)).withColumnsRenamed(
-                {c: c.lower() for c in source.VENDOR_CATEGORIES}), need=(DEPARTMENT,)),
+        "spend_affinity_matrix": _on_model(_lower_case_matrix, need=(DEPARTMENT,)),
         "spend_status_lines_by_month": _on_model(spend.status_lines_by_month),
         # vendors, delivery, open lines
         "delivery_readiness": _on_model(delivery.readiness, need=dates),
@@ -335,8 +335,8 @@ def all_queries() -> dict[str, Query]:
         "opp_min_vendors_sensitivity": _on_opportunity(
             opportunity.min_vendors_sensitivity),
         "opp_price_delivery_corr": _on_opportunity(opportunity.price_delivery_correlation),
-        "opp_scenarios": _on_exports(
-            lambda b, p, v: savings_model.scenarios(p, v, b.params)),
+        "opp_scenarios": _on_exports(lambda b, p, v: savings_model.scenarios(
+            p, v, spend.months_in_data(b.model), b.params)),
         "opp_tracker_variance": _on_exports(
             lambda b, p, v: savings_model.tracker_variance(_tracker(p), p, b.params)),
         "opp_checks": _on_exports(_checks),
@@ -345,8 +345,7 @@ def all_queries() -> dict[str, Query]:
         "fc_series_checks": _on_series(forecast.series_checks),
         "fc_yearly_totals": _on_series(forecast.yearly_totals),
         "fc_changes": _on_series(forecast.changes),
-        "fc_seasonal_profile": _on_series(
-            lambda s: forecast.seasonal_profile(s, PROFILE_YEARS)),
+        "fc_seasonal_profile": _on_series(forecast.seasonal_profile),
         "fc_seasonality_corr": _on_series(
             lambda s: forecast.seasonality_correlation(s, *COMPARED_YEARS)),
         "fc_forecasts": _on_forecast(lambda b: b.forecasts.drop("actual")),

@@ -7,7 +7,7 @@ and only when asked for: a line stays a line even if its header is missing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 from decimal import Decimal
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import populations as pop
-from .calendar import build_calendar
+from .calendar import covering_calendar
 from .model import ProcurementModel
 
 # Fixed values of the mapping.
@@ -23,8 +23,7 @@ ORDER_STATUS = {"F": pop.COMPLETED, "O": pop.OPEN, "P": pop.CANCELLED}
 DAYS_PER_SIZE_UNIT = 20
 VENDOR_CATEGORIES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
 CONSUMER_SEGMENTS = ("BUILDING", "FURNITURE", "HOUSEHOLD")
-CALENDAR_START = date(1995, 1, 1)
-CALENDAR_END = date(2001, 8, 31)
+REPORT_DATE = date(2001, 8, 31)
 
 
 # The columns read from each source table.
@@ -47,20 +46,13 @@ def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores when a scan has fewer splits than there are cores.
-
-    A file with one row group is one task however many cores wait. Tables with
-    enough splits - any large one - are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
-                    need: Iterable[str] = ()) -> DataFrame:
+                    need: Iterable[str] = (), statuses: Sequence[str] = ()) -> DataFrame:
     """PO lines. ``grain`` picks the product key: ``part`` or ``brand``.
 
+    ``statuses`` keeps lines of some canonical statuses, by the source's own code, so
+    that the filter reaches the scan of the headers and is joined from there.
+
     ``expected_delivery_date`` (needs the part table), ``department_id`` (needs
     the customer table) and the numeric ``order_key`` exist only when listed in
     ``need``, so a query that ignores them does not pay for those joins.
@@ -68,8 +60,12 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
     need = set(need)
     orders = open_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("od"))
-    lines = spread(open_table(spark, folder, "lineitem"), "l_orderkey", "l_linenumber").join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    how = "left"
+    if statuses:
+        codes = [code for code, name in ORDER_STATUS.items() if name in statuses]
+        orders, how = orders.where(F.col("o_orderstatus").isin(codes)), "inner"
+    lines = open_table(spark, folder, "lineitem").join(
+        orders, F.col("l_orderkey") == F.col("o_orderkey"), how)
     if grain == "brand" or "expected_delivery_date" in need:
         part = open_table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -161,18 +157,20 @@ def departments(spark: SparkSession, folder: str) -> DataFrame:
         .alias("group"))
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    return build_calendar(spark, CALENDAR_START, CALENDAR_END)
+def calendar(spark: SparkSession, folder: str, week: str = "iso") -> DataFrame:
+    """All days from the year of the first order to the month of the last one."""
+    return covering_calendar(open_table(spark, folder, "orders"), "o_orderdate", week)
 
 
 def procurement_model(spark: SparkSession, folder: str, grain: str = "part",
                       need: Iterable[str] = ()) -> ProcurementModel:
     return ProcurementModel(
+        lines_of=lambda statuses: purchase_orders(spark, folder, grain, need, statuses),
         fact=lambda: purchase_orders(spark, folder, grain, need),
         vendors=lambda: vendors(spark, folder),
         products=lambda: products(spark, folder, grain),
         departments=lambda: departments(spark, folder),
-        calendar=lambda: calendar(spark),
+        calendar=lambda: calendar(spark, folder),
     )
 
 

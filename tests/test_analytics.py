@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,8 +22,9 @@ from procurelens.plans import (
     spend,
     vendor,
 )
-from procurelens.sources import tables
-from procurelens.sources.calendar import build_calendar
+from procurelens.sources import schemas, tables
+from procurelens.sources.calendar import build_calendar, covering_calendar
+from procurelens.sources.model import ProcurementModel
 from procurelens.sources.schemas import PAIRS_EXPORT, all_text
 from tests.conftest import day, line, one, rows
 
@@ -227,7 +229,16 @@ def test_opportunity_end_to_end(priced, spark):
         "key string, status string, realized_savings decimal(18,2)")
     assert rows(savings_model.tracker_variance(tracker, pairs, params), "key", "variance") == [
         ("Vendor V2 | Product P1", Decimal("-1.0000")), ("gone", None)]
-    assert rows(savings_model.repeated_keys(pairs)) == []
+    with pytest.raises(Exception, match="flagged pairs: key .* is no key: 2 rows"):
+        savings_model.tracker_variance(tracker, pairs.union(pairs), params).collect()
+    months = spend.months_in_data(m)
+    switched = {(r["scenario"], r["metric"]): r["value"]
+                for r in savings_model.scenarios(pairs, vendors, months, params).collect()}
+    assert {s for s, _ in switched} == {"Low", "Base", "High"}
+    assert [switched[s, "selected"] for s in ("Low", "Base", "High")] == [1.5, 3.0, 4.5]
+    assert switched["High", "low"] == switched["Low", "selected"] == 1.5
+    span = one(months)["months"]
+    assert switched["High", "annualised"] == pytest.approx(4.5 * 12 / span)
     path = tables.working_path(spark, "test-export")
     tables.write_export(pairs, path)
     assert rows(tables.read_export(spark, path, PAIRS_EXPORT)) == rows(pairs)
@@ -295,6 +306,61 @@ def test_calendar(spark):
     assert one(block)["week"] == 52
 
 
+def test_calendar_covers_the_data(model, spark):
+    m = model([line(1, order="2024-03-10"), line(2, order="2002-02-03"), line(3, order=None)])
+    covered = covering_calendar(m.fact, "order_date")
+    assert one(covered.agg(F.min("date").alias("a"), F.max("date").alias("b"), F.count("*").alias("n"))) == {
+        "a": day("2002-01-01"), "b": day("2024-03-31"), "n": 8126}
+    assert covering_calendar(m.fact.limit(0), "order_date").collect() == []
+    whole = ProcurementModel(fact=m.fact, calendar=covered)
+    assert rows(spend.yearly(whole), "order_year", "spend") == [(2002, Decimal("10")), (2024, Decimal("10"))]
+    assert one(spend.reconciliation_check(whole))["pass"]
+
+
+@pytest.mark.parametrize("clean, row", [
+    (cleaning.clean_vendor, (" V1", "Vendor", "Tools", "North", "2020-01-01", "Active")),
+    (cleaning.clean_product, ("P1 ", "Saw", "Tools", "Hand", "9", "Each")),
+    (cleaning.clean_department, ("D1", "Ops", "Core")),
+    (cleaning.clean_calendar, ("2024-01-01", "2024", "Q1", "1", "January", "2024-01", "1", "Monday"))])
+def test_cleaned_dimensions_have_unique_keys(spark, clean, row):
+    schema = {6: schemas.VENDORS if row[0] == " V1" else schemas.PRODUCTS, 3: schemas.DEPARTMENTS, 8: schemas.CALENDAR}[len(row)]
+    staged = spark.createDataFrame([row], all_text(schema.names))
+    assert clean(staged).count() == 1
+    again = spark.createDataFrame([row, (f" {row[0].strip()}  ", *row[1:])], all_text(schema.names))
+    with pytest.raises(Exception, match="is no key: 2 rows"):
+        clean(again).collect()
+
+
+def test_working_sets_are_found_again_until_the_files_change(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def plan():
+        return spark.read.schema("x long").parquet(path).where("x > 1").groupBy("x").count()
+
+    spark.range(5).withColumnRenamed("id", "x").write.parquet(path)
+    first = tables.kept_set(plan(), "numbers")
+    assert tables.kept_set(plan(), "numbers").inputFiles() == first.inputFiles()
+    other = spark.read.schema("x long").parquet(path).where("x > 2").groupBy("x").count()
+    assert tables.kept_set(other, "numbers").count() == 2
+    spark.range(9).withColumnRenamed("id", "x").write.mode("overwrite").parquet(path)
+    second = tables.kept_set(plan(), "numbers")
+    assert second.inputFiles() != first.inputFiles() and second.count() == 7
+    folder = Path(tables.working_folder(spark))
+    assert list(folder.glob("numbers-*"))
+    tables.release(spark)
+    assert not folder.exists()
+    assert tables.kept_set(plan(), "numbers").count() == 7
+
+
+def test_price_reports_share_one_set_of_points(priced, spark):
+    m, _ = priced
+    tables.release(spark)
+    for report in (pricing.ppv_overall, pricing.index_bands, pricing.top_variation):
+        report(pricing.PriceBase.build(m), LOOSE).collect()
+    folder = Path(tables.working_folder(spark))
+    assert len(list(folder.glob("price-points-*"))) == len(list(folder.glob("benchmarks-*"))) == 1
+
+
 def test_parameters_validate():
     with pytest.raises(ValueError):
         ScoreWeights(on_time=0.5)

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from procurelens.functions import measures, parsing
 from procurelens.operators import median
-from procurelens.operators.joins import join_null_safe, orphans
+from procurelens.operators.joins import join_null_safe, unique_rows
 from procurelens.operators.median import exact_median
 from procurelens.operators.ranking import _ranged, ordered_position, tile_totals, top_k
-from procurelens.operators.reshape import month_spine, reconcile
+from procurelens.operators.reshape import month_spine, open_pivot, reconcile
 from procurelens.operators.shares import minmax_score, share_of_total
 from tests.conftest import day, one, rows
 
@@ -223,10 +223,26 @@ def test_shares_and_scores(spark):
     assert rows(single, "up") == [(None,)]
 
 
-def test_orphans_and_null_safe_join(spark):
-    fact = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
-    dim = spark.createDataFrame([("b",)], "k string")
-    assert rows(orphans(fact, dim, "k").where("k IS NOT NULL")) == [("a", 2)]
+def test_unique_rows_pass_or_fail_loudly(spark):
+    sound = spark.createDataFrame([("a", 1, 2), ("b", None, 2)], "x string, y int, z int")
+    assert rows(unique_rows(sound, ["x"], "things")) == rows(sound)
+    assert rows(unique_rows(sound.select("x"), ["x"], "things")) == [("a",), ("b",)]
+    assert unique_rows(sound.limit(0), ["x", "z"], "things").collect() == []
+    for row, shown in (("a", "a"), (None, "missing")):
+        broken = sound.unionByName(spark.createDataFrame([(row, 3, 4)], sound.schema))
+        with pytest.raises(Exception, match=rf"things: key \({shown}\) is no key"):
+            unique_rows(broken, ["x"], "things").collect()
+
+
+def test_open_pivot_has_a_column_for_every_value(spark):
+    df = spark.createDataFrame([("a", 10, 1.0), ("a", 9, 2.0), ("b", 10, 3.0), ("b", None, 4.0)],
+                               "k string, c int, v double")
+    wide = open_pivot(df, "k", "c", F.max("v"), "c_{}")
+    assert wide.columns == ["k", "c_none", "c_9", "c_10"]
+    assert rows(wide) == [("a", None, 2.0, 1.0), ("b", 4.0, None, 3.0)]
+
+
+def test_null_safe_join(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, y int")
     assert rows(join_null_safe(left, right, ["k"]), "x", "y") == [(1, 10), (2, 20)]

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from procurelens import registry
 from procurelens.plans import pricing, spend, vendor
 from procurelens.sources import order_lines
 from procurelens.sources.tables import working_set
@@ -48,6 +49,15 @@ def test_top_k_per_group_is_limited_before_the_shuffle(parts):
 
 
 def test_unused_tables_are_not_opened(spark):
-    plan = physical(pricing.price_points(
-        order_lines.purchase_orders(spark, SMALLEST, "brand")))
+    plan = physical(pricing.price_points(order_lines.procurement_model(spark, SMALLEST, "brand")))
     assert "customer.parquet" not in plan
+
+
+@pytest.mark.parametrize("name, pushed", [
+    ("spend_by_category", r"EqualTo\(o_orderstatus,F\)"), ("spend_kpis", r"EqualTo\(o_orderstatus,F\)"),
+    ("spend_ordered_by_year", r"In\(o_orderstatus, \[(F,O|O,F)\]\)"), ("open_aging", r"In\(o_orderstatus, \[(F,O|O,F)\]\)"),
+    ("delivery_overall", r"EqualTo\(o_orderstatus,F\)")])
+def test_statuses_reach_the_scan_of_the_headers(spark, name, pushed):
+    plan = physical(registry.all_queries()[name](spark, SMALLEST))
+    assert re.search(rf"PushedFilters: \[[^\]]*{pushed}", plan)
+    assert "REPARTITION_BY" not in plan
