@@ -8,8 +8,8 @@ permutations so give all coordinates, each of which is equal for two sets with t
 2. Classes with an equal band share a *bucket*. A pair at similarity 0.8 misses all buckets with a chance of 3.4e-9.
 3. Every pair in a bucket is confirmed on full sets, unless links join it already. Buckets
    that hang together are a *region*; a small one is confirmed in one task. In a large one, a few hubs meet
-   all others part by part, round by round, which joins most copies; pairs that are still apart are then confirmed
-   in blocks: members of the region's largest component meet only those outside of it.
+   all others part by part, which joins most copies; pairs that are still apart are then confirmed
+   in blocks: those that are joined with the most others meet only those outside of them.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from .wordhash import LOWER, U, lists, mix, shingle_sets, signed, slices, split_
 
 BANDS, ROWS = 64, 6
 #: Regions and blocks within these bounds are confirmed in one task.
-TASK_CLASSES, TASK_SHINGLES = 256, 1_000_000
-HUBS, ROUNDS, SHRINK = 8, 4, 0.5
+TASK_CLASSES, TASK_SHINGLES = 512, 1_000_000
+HUBS = 8
 #: Shingles that are permuted together: two arrays of them stay in a core's cache.
 CACHED = 1 << 15
 W = np.uint32
@@ -190,35 +190,25 @@ def _blocks(members: str, shingles: str):
     return F.ceil(F.greatest(F.expr(members) / (TASK_CLASSES / 2), F.expr(shingles) / (TASK_SHINGLES / 2))).cast("long")
 
 
-def _labelled(classes: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    joined = components(links, name)
-    return classes.join(joined, F.col("cid") == F.col("id"), "left").withColumn(
-        "label", F.coalesce("component", "cid")).drop("id", "component")
-
-
 def _large_links(sets: DataFrame, percent: int) -> DataFrame:
     """Links with the components of large regions. ``sets(cid, n, shingles, buckets, region)``."""
     sizes = sets.groupBy("region").agg(_blocks("count(*)", "sum(n)").alias("parts"))
     rows = saved(sets.join(sizes, "region").withColumn("part", F.expr("pmod(xxhash64(cid), parts)")), "circulant-large")
-    known = rows.select("region", "cid", "n")
-    outside, links, before = rows, None, None
-    for step in range(ROUNDS):
-        order = Window.partitionBy("region").orderBy(F.xxhash64("cid", F.lit(step)), "cid")
-        hubs = outside.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
-        hubs = saved(hubs.select("region", "cid", "shingles", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part")),
-                     "circulant-hubs")
-        found = saved(rows.groupBy("region", "part").cogroup(hubs.groupBy("region", "part"))
-                      .applyInArrow(_to_hubs(percent), LINKS), "circulant-hub-links")
-        links = found if links is None else links.unionByName(found)
-        named = _labelled(known, links, "circulant-large")
-        top = (named.groupBy("region", "label").count().groupBy("region")
-               .agg(F.max(F.struct("count", "label"))["label"].alias("top")))
-        named = saved(named.join(top, "region").withColumn("outside", F.col("label") != F.col("top")), "circulant-labels")
-        left = named.where("outside").count()
-        if not left or before is not None and left > SHRINK * before:
-            break
-        before = left
-        outside = rows.join(named.where("outside").select("cid"), "cid", "left_semi")
+    order = Window.partitionBy("region").orderBy(F.xxhash64("cid"), "cid")
+    hubs = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= HUBS)
+    hubs = saved(hubs.select("region", "cid", "shingles", F.explode(F.expr("sequence(0L, parts - 1)")).alias("part")),
+                 "circulant-hubs")
+    links = saved(rows.groupBy("region", "part").cogroup(hubs.groupBy("region", "part"))
+                  .applyInArrow(_to_hubs(percent), LINKS), "circulant-hub-links")
+    # the least hub that a class, or a hub of it, is linked to: classes of one label are surely in one component
+    near = links.groupBy("a").agg(F.min("b").alias("m"))
+    of_hub = near.select(F.col("a").alias("b"), F.least("a", "m").alias("m2"))
+    label = links.join(of_hub, "b", "left").groupBy(F.col("a").alias("cid")).agg(F.min(F.least("b", "m2")).alias("hub"))
+    named = rows.select("region", "cid", "n").join(label, "cid", "left").select(
+        "region", "cid", "n", F.coalesce("hub", "cid").alias("label"))
+    top = (named.groupBy("region", "label").count().groupBy("region")
+           .agg(F.max(F.struct("count", "label"))["label"].alias("top")))
+    named = saved(named.join(top, "region").withColumn("outside", F.col("label") != F.col("top")), "circulant-labels")
 
     bounds = named.groupBy("region").agg(
         _blocks("count_if(outside)", "coalesce(sum(n) filter (where outside), 0)").alias("out"),

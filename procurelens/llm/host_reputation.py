@@ -25,6 +25,9 @@ TWO_LABEL_SUFFIXES = ("ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au",
                       "co.nz", "com.br", "com.cn", "com.mx", "com.tr", "co.in", "co.kr", "co.za")
 
 
+ADDRESS = r"^\d+(\.\d+){3}$|^\["
+
+
 class Rule(NamedTuple):
     verdict: str
     host: str
@@ -46,21 +49,27 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    """The registered name: the last two labels, three under a suffix of two; no port."""
-    name = F.regexp_replace(host, r":\d*$", "")
+def domain_of(host: Column, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> Column:
+    """The registered name: the last two labels, three under one of ``suffixes``; without user and port.
+
+    An address (IPv4, or in brackets) is a name of its own.
+    """
+    name = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", "")
     two = F.substring_index(name, ".", -2)
-    return F.when(two.isin(*TWO_LABEL_SUFFIXES), F.substring_index(name, ".", -3)).otherwise(two)
+    return (F.when(name.rlike(ADDRESS), name)
+            .when(two.isin(*suffixes), F.substring_index(name, ".", -3)).otherwise(two))
 
 
 def suffix_of(domain: Column) -> Column:
-    return F.when(domain.contains("."), F.regexp_replace(domain, r"^[^.]*\.", "")).otherwise(F.lit(""))
+    """What follows the first label; addresses share the suffix of hosts without one."""
+    return (F.when(domain.contains(".") & ~domain.rlike(ADDRESS), F.regexp_replace(domain, r"^[^.]*\.", ""))
+            .otherwise(F.lit("")))
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     """The longest rule that fits (ties: the first given), as a struct, else null. ``rules`` is a short list."""
     out = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for rule in sorted(rules, key=lambda r: len(r.name)):
+    for rule in sorted(reversed(rules), key=lambda r: len(r.name)):  # what is applied last wins
         fits = ((host == rule.host) | host.endswith("." + rule.host)) & path.startswith(rule.path)
         out = F.when(fits, F.struct(F.lit(rule.name).alias("rule"), F.lit(rule.verdict).alias("verdict"))).otherwise(out)
     return out
@@ -80,12 +89,12 @@ def _strength(groups: DataFrame) -> DataFrame:
     return sums.select(F.expr(f"case when g > 1 and t > g then {strength} else {STRENGTHS[1]} end").alias("strength"))
 
 
-def reputations(pages: DataFrame, bound: float = BOUND) -> DataFrame:
+def reputations(pages: DataFrame, bound: float = BOUND, suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``pages(host, good)``, good 1, 0 or null (not labelled) -> one row for each host:
     ``host, labelled, mean, lower``: the posterior mean and lower bound of its share of good pages.
     """
     hosts = saved(pages.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).alias("s"))
-                  .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("domain"))),
+                  .withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("domain"))),
                   "hosts")
     sums = [F.sum("n").alias("n"), F.sum("s").alias("s")]
     domains = hosts.groupBy("domain", "suffix").agg(*sums)
@@ -103,7 +112,8 @@ def reputations(pages: DataFrame, bound: float = BOUND) -> DataFrame:
     return by_host.select("host", F.col("n").alias("labelled"), "mean", (F.col("mean") - bound * spread).alias("lower"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], least: float = LEAST) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], least: float = LEAST,
+          suffixes: Sequence[str] = TWO_LABEL_SUFFIXES) -> DataFrame:
     """``pages(page_id, url)``, ``outcomes(page_id, good)`` -> one row for each row of ``pages``:
     ``page_id, host, path, rule, verdict, mean, lower``.
 
@@ -115,7 +125,7 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], least: f
     good = outcomes.where("page_id is not null and good is not null").groupBy("page_id").agg(F.min("good").cast("int").alias("good"))
     named = (pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
              .withColumn("fit", rule_of(F.col("host"), F.col("path"), rules)))
-    known = reputations(named.join(good, "page_id", "left").select("host", "good"))
+    known = reputations(named.join(good, "page_id", "left").select("host", "good"), suffixes=suffixes)
     return named.join(known, "host", "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
         F.coalesce("fit.verdict", F.when(F.col("lower") >= least, "allow").otherwise("block")).alias("verdict"), "mean", "lower")

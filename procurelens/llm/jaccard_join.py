@@ -302,6 +302,8 @@ def jaccard_links(documents: DataFrame, percent: int = 80, size: int = 5) -> Lin
     sizes = saved(documents.mapInArrow(_set_sizes(size), "doc_id long, n long, d1 long, d2 long"), "jaccard-sizes")
     classes = (sizes.where("n > 0").groupBy("d1", "d2", "n")
                .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("rep is not null"))
+    # classes have numbers of their own: an id may stand on rows of several of them
+    classes = saved(classes.withColumn("class", F.monotonically_increasing_id()), "jaccard-classes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
 
     def items(batch):
@@ -311,9 +313,9 @@ def jaccard_links(documents: DataFrame, percent: int = 80, size: int = 5) -> Lin
     seen = spark.sparkContext.broadcast(repeated(documents.select("text"), items, size_bits(total, CELLS)))
     open_ = documents.mapInArrow(_shared_sets(size, percent, seen),
                                  "doc_id long, n long, d1 long, d2 long, shingles array<bigint>")
-    reps = classes.select(F.col("rep").alias("doc_id"), "d1", "d2", "n")
-    open_ = saved(open_.join(reps, ["doc_id", "d1", "d2", "n"], "left_semi")
-                  .dropDuplicates(["doc_id"]).select("doc_id", "n", "shingles"), "jaccard-open")
+    reps = classes.select(F.col("rep").alias("doc_id"), "d1", "d2", "n", "class")
+    open_ = saved(open_.join(reps, ["doc_id", "d1", "d2", "n"]).dropDuplicates(["class"])
+                  .select(F.col("class").alias("doc_id"), "n", "shingles"), "jaccard-open")
 
     each = open_.select("doc_id", "n", F.explode("shingles").alias("s"))
     counts = each.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
@@ -330,10 +332,13 @@ def jaccard_links(documents: DataFrame, percent: int = 80, size: int = 5) -> Lin
     links = regions.groupBy("region").applyInArrow(_join_regions(percent), "a long, b long")
     if large is not None:
         links = links.unionByName(_join_large(large, percent))
-    joined = components(links, "jaccard-joined")
-    classes = (classes.join(joined, F.col("rep") == F.col("id"), "left")
-               .where("copies > 1 or component is not null")
-               .select("d1", "d2", "n", "rep", "copies", F.coalesce("component", "rep").alias("component")))
+    joined = saved(components(links, "jaccard-joined"), "jaccard-components")
+    least = (joined.join(classes.select(F.col("class").alias("id"), "rep"), "id")
+             .groupBy("component").agg(F.min("rep").alias("least")))
+    named = joined.join(least, "component").select("id", "least")
+    classes = (classes.join(named, F.col("class") == F.col("id"), "left")
+               .where("copies > 1 or least is not null")
+               .select("d1", "d2", "n", "rep", "copies", F.coalesce("least", "rep").alias("component")))
     return Links(sizes, classes)
 
 

@@ -16,7 +16,16 @@ from pyspark.sql import functions as F
 
 from .store import saved
 
-#: Licence names and wordings of their notices.
+RESERVED = "Proprietary"
+#: Licence names and wordings of their notices; the last one counts only where no other does.
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
+        "provided that the following conditions are met:")
+_BSD_2 = (f"{_BSD} Redistributions of source code must retain the "
+          "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
+          "binary form must reproduce the above copyright notice, this list of conditions and the following "
+          "disclaimer in the documentation and/or other materials provided with the distribution.")
+_BSD_3 = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+          "or promote products derived from this software without specific prior written permission.")
 NOTICES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in "
@@ -34,21 +43,16 @@ NOTICES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted under "
                      "the BSD 3-Clause License."),
+    ("BSD-3-Clause", _BSD_3),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", _BSD),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0, dedicated to the public domain."),
     ("Unlicense", "This is free and unencumbered software released into the public domain under the Unlicense."),
-    ("Proprietary", "Copyright. All rights reserved."),
+    (RESERVED, "Copyright. All rights reserved."),
 )
-_BSD_2 = ("Redistribution and use in source and binary forms, with or without modification, are permitted "
-          "provided that the following conditions are met: Redistributions of source code must retain the "
-          "above copyright notice, this list of conditions and the following disclaimer. Redistributions in "
-          "binary form must reproduce the above copyright notice, this list of conditions and the following "
-          "disclaimer in the documentation and/or other materials provided with the distribution.")
-_BSD_3 = ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
-          "or promote products derived from this software without specific prior written permission.")
 _NO_WARRANTY = ('THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
                 "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
                 "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
@@ -84,7 +88,7 @@ IDENTIFIERS = (
 )
 SPDX = r"(?i)spdx-license-identifier:\s*\(*\s*"
 #: Words that make a sentence worth comparing, names of licence files, and what ends a sentence.
-NOTICE = r"(?i)licen[sc]e|copyright|spdx|\bcc0\b|\bcc by|public domain|hereby granted|rights reserved"
+NOTICE = r"(?i)licen[sc]e|copyright|spdx|\bcc0\b|\bcc by|public domain|hereby granted|rights reserved|redistribution and use|endorse or promote"
 LICENSE_FILE = r"(?i)^(un)?licen[sc]e\b|^copying\b|^notice\b"
 SENTENCE = r"\n+|(?<=[.!?])\s+"
 WORD = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -122,7 +126,7 @@ def notices(files: DataFrame) -> DataFrame:
 def own_licenses(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = LEAST) -> DataFrame:
     """``(path, license, score)`` of files with a passage whose cosine with a template is at least ``least``.
 
-    The best template counts, of equal ones the first in the list.
+    The best template counts, of equal ones the first in the list; reserved rights only where nothing is granted.
     """
     spark = files.sparkSession
     words = saved(notices(files), "notices")
@@ -150,7 +154,8 @@ def own_licenses(files: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLA
     entry = [F.struct((F.col(f"t{i}") / F.col("norm")).alias("score"), F.lit(-i).alias("place"), F.lit(name).alias("license"))
              for i, (name, _) in enumerate(templates)]
     best = scores.select("path", F.greatest(*entry).alias("best")).where(F.col("best.score") >= least)
-    return best.groupBy("path").agg(F.max("best").alias("best")).select(
+    grant = F.col("best.license") != RESERVED
+    return best.groupBy("path").agg(F.max_by("best", F.struct(grant, "best.score", "best.place")).alias("best")).select(
         "path", F.col("best.license").alias("license"), F.col("best.score").alias("score"))
 
 

@@ -20,7 +20,10 @@ from pyspark.sql import functions as F
 from .store import saved
 
 MARKS = re.compile(r"[ \t]*((?:>[ \t]?)+)(.*)", re.S)
-WROTE = re.compile(r".{0,200}\b(?:wrote|writes|schrieb|escribió|a écrit)\s*:\s*$", re.I | re.S)
+#: How a line ends that announces a quote, and how an announcement begins that is wrapped over some lines.
+WROTE = re.compile(r".*\b(?:wrote|writes|escribió|a écrit|schrieb\b[^:]*)\s*:\s*$", re.I | re.S)
+OPENS = re.compile(r"\s*(?:on|am|el|le)\b", re.I)
+WRAPPED = 3
 WHOLE, PARAGRAPH, LINE = 0, 1, 2
 #: Turns that share a step of the search for the latest earlier message.
 STEP, ROUNDS = 1024, 64
@@ -35,10 +38,35 @@ def levels(text: str) -> list[tuple[int, str]]:
     return out
 
 
+def announcements(lines: list[tuple[int, str]]) -> set[int]:
+    """Places of lines that announce a quote: the last own words before it, if they end like that, and the blank lines between.
+
+    If such a line does not open the announcement, up to ``WRAPPED - 1`` lines right above that lead to its opening belong to it.
+    """
+    out: set[int] = set()
+    for start in range(1, len(lines)):
+        if not lines[start][0] or lines[start - 1][0]:
+            continue
+        last = start - 1
+        while last >= 0 and not lines[last][0] and not lines[last][1].strip():
+            last -= 1
+        if last < 0 or lines[last][0] or not WROTE.fullmatch(lines[last][1]):
+            continue
+        first = last
+        for above in range(last, max(last - WRAPPED, -1), -1):
+            if lines[above][0] or not lines[above][1].strip():
+                break
+            if OPENS.match(lines[above][1]):
+                first = above
+                break
+        out.update(range(first, start))
+    return out
+
+
 def own_words(lines: list[tuple[int, str]]) -> str:
-    """The unquoted lines, without lines that only announce a quote, blank lines at the ends removed."""
-    kept = [line for i, (level, line) in enumerate(lines)
-            if not level and not (i + 1 < len(lines) and lines[i + 1][0] and WROTE.fullmatch(line))]
+    """The unquoted lines, without those that only announce a quote, blank lines at the ends removed."""
+    gone = announcements(lines)
+    kept = [line for i, (level, line) in enumerate(lines) if not level and i not in gone]
     while kept and not kept[0].strip():
         kept.pop(0)
     while kept and not kept[-1].strip():

@@ -61,10 +61,9 @@ def test_equals_all_pairs(documents, seed):
 
 
 @pytest.mark.parametrize("seed", [3, 4, 5])
-def test_large_regions_in_rounds_and_blocks(documents, monkeypatch, seed):
+def test_large_regions_by_hubs_and_blocks(documents, monkeypatch, seed):
     monkeypatch.setattr(cm, "TASK_CLASSES", 4)
-    monkeypatch.setattr(cm, "HUBS", 1)
-    monkeypatch.setattr(cm, "ROUNDS", 2)
+    monkeypatch.setattr(cm, "HUBS", seed - 2)
     texts = corpus(seed, groups=3, copies=20, edits=(0, 2, 4, 6, 8))
     assert found(documents(texts)) == plain(list(enumerate(texts)))
 

@@ -65,6 +65,23 @@ def test_jaccard_join_equals_all_pairs(documents, seed):
     assert joined(documents(texts)) == plain_components(list(enumerate(texts)))
 
 
+def test_an_id_on_rows_with_several_texts_loses_no_link(documents):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    texts, ids = [a, b, a.replace("a7 ", "x "), b.replace("b7 ", "x ")], [1, 1, 2, 3]
+    assert [(i, c) for i, _, c in joined(documents(texts, ids))] == [(1, 1), (1, 1), (2, 1), (3, 1)]
+
+
+def test_words_whose_polynomials_collide_are_told_apart(documents):
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1 << 12))
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(40))
+    texts = [one, two, f"{rest} {one}", f"{two} {rest}"]
+    assert joined(documents(texts[:2])) == plain_components(list(enumerate(texts[:2])))
+    windows = [f"{one} " + " ".join(["v"] * 34), f"{two} " + " ".join(["v"] * 34)]
+    rows = substring_dedup.without_repeats(documents(windows)).collect()
+    assert [r["n_removed"] for r in rows] == [0, 0]
+
+
 def test_voronoi_rounds_lose_no_link(documents, monkeypatch):
     monkeypatch.setattr(jaccard_join, "REGION_DOCUMENTS", 3)
     texts = corpus(3, groups=3, copies=14, words=60)

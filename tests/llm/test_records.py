@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from procurelens.llm import decontaminate, host_reputation, queries, quotation_chat, sp_viterbi
@@ -38,6 +39,67 @@ def test_hosts_rules_and_verdicts(spark):
     assert host_reputation.judge(frame.limit(0), outcomes, queries.RULES).collect() == []
 
 
+def test_rules_of_equal_length_and_names_of_hosts(spark):
+    pages = spark.createDataFrame([(1, "http://a.org/a/x")], "page_id long, url string")
+    none = spark.createDataFrame([], "page_id long, good int")
+    one, two = host_reputation.Rule("block", "a.org", "/"), host_reputation.Rule("allow", "org", "/a/")
+    assert [host_reputation.judge(pages, none, rules).first()["rule"] for rules in ((one, two), (two, one))] == ["a.org/", "org/a/"]
+    hosts = {"10.0.0.1": ("10.0.0.1", ""), "10.9.0.1:80": ("10.9.0.1", ""), "user@x.org": ("x.org", "org"), "[::1]:8080": ("[::1]", ""),
+             "a.b.co.uk:": ("b.co.uk", "co.uk"), "a.b.co.il": ("b.co.il", "co.il"), "localhost": ("localhost", "")}
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    domain = host_reputation.domain_of(F.col("host"), (*host_reputation.TWO_LABEL_SUFFIXES, "co.il"))
+    named = df.withColumn("domain", domain).withColumn("suffix", host_reputation.suffix_of(F.col("domain")))
+    assert {r["host"]: (r["domain"], r["suffix"]) for r in named.collect()} == hosts
+
+
+def plain_reputations(rows, suffixes=host_reputation.TWO_LABEL_SUFFIXES):
+    """Posterior mean and bound by host, from (host, good) rows, step by step."""
+    def domain(host):
+        labels = host.split(".")
+        return ".".join(labels[-3:] if ".".join(labels[-2:]) in suffixes else labels[-2:])
+
+    def strength(groups):
+        groups = [g for g in groups if g[0]]
+        g, t, good = len(groups), sum(n for n, _ in groups), sum(s for _, s in groups)
+        low, high = host_reputation.STRENGTHS
+        if g <= 1 or t <= g:
+            return high
+        between = max((sum(s * s / n for n, s in groups) - good * good / t) / (g - 1), 0)
+        within = max((good - sum(s * s / n for n, s in groups)) / (t - g), 1e-9)
+        size = (t - sum(n * n for n, _ in groups) / t) / (g - 1)
+        share = (between - within) / (between + (size - 1) * within)
+        return min(max(1 / max(share, 1e-6) - 1, low), high)
+
+    hosts, domains, suffix_sums = {}, {}, {}
+    for host, good in rows:
+        for table, key in ((hosts, host), (domains, domain(host)), (suffix_sums, domain(host).partition(".")[2])):
+            n, s = table.get(key, (0, 0))
+            table[key] = (n + (good is not None), s + (good or 0))
+    prior = (sum(s for _, s in hosts.values()) + 1) / (sum(n for n, _ in hosts.values()) + 2)
+    a, b, c = (strength(list(t.values())) for t in (suffix_sums, domains, hosts))
+    by_suffix = {k: (s + a * prior) / (n + a) for k, (n, s) in suffix_sums.items()}
+    by_domain = {k: (s + b * by_suffix[k.partition(".")[2]]) / (n + b) for k, (n, s) in domains.items()}
+    out = {}
+    for host, (n, s) in hosts.items():
+        mean = (s + c * by_domain[domain(host)]) / (n + c)
+        out[host] = (n, mean, mean - host_reputation.BOUND * (mean * (1 - mean) / (n + c + 1)) ** 0.5)
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_reputations_equal_plain_shrinkage(spark, seed):
+    rng = random.Random(seed)
+    names = [f"{h}.{d}" for d in ("a.com", "b.com", "c.co.uk", "d.net") for h in ("www", "x", "y")]
+    odds = {n: rng.random() for n in names}
+    rows = [(n, rng.choice([None, int(rng.random() < odds[n])])) for n in rng.choices(names, range(1, 13), k=400)]
+    got = host_reputation.reputations(spark.createDataFrame(rows, "host string, good int")).collect()
+    want = plain_reputations(rows)
+    assert {r["host"] for r in got} == set(want)
+    for r in got:
+        assert (r["labelled"], r["mean"], r["lower"]) == pytest.approx(want[r["host"]])
+    assert len({lower >= host_reputation.LEAST for _, _, lower in want.values()}) == 2  # some are blocked, some not
+
+
 def test_quotes_link_and_order(spark):
     rows = [(1, 0, "user", "First point.\n\nSecond point here."), (1, 1, "user", "Other thread"),
             (1, 2, "assistant", "On Monday, A wrote:\n> second   POINT here.\n\nMy answer"),
@@ -57,6 +119,15 @@ def test_quotes_link_and_order(spark):
     assert quotation_chat.reply_ordered(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("text, own", [
+    ("On Monday, A wrote:\n\n> q\nmine", "mine"), ("On Mon, 3 May 2021 at 10:00, Alice Long Name\n<alice@x.org> wrote:\n \n> q\nmine", "mine"),
+    ("Intro.\nAm Montag schrieb B:\n> q\nmine", "Intro.\nmine"), ("On " + "x " * 400 + "wrote:\n> q\nmine", "mine"),
+    ("He wrote:\nnot quoted", "He wrote:\nnot quoted"), ("On top of it,\n\nshe writes:\n> q\nend", "On top of it,\n\nend"),
+    ("> q\nOn Monday, A wrote:\n>> deep\nend", "end")])
+def test_announcements_of_quotes_go(text, own):
+    assert quotation_chat.own_words(quotation_chat.levels(text)) == own
+
+
 def test_latest_earlier_message_across_steps(spark, monkeypatch):
     monkeypatch.setattr(quotation_chat, "STEP", 4)
     rows = [(1, t, "user", "same words" if t in (1, 6) else f"> same words\nreply {t}" if t in (0, 5, 7, 30) else f"t{t}")

@@ -266,9 +266,8 @@ def plain_licenses(files):
                 passages.append((path, words(text)))
             passages += [(path, words(s)) for s in re.split(license_scan.SENTENCE, text) if re.search(license_scan.NOTICE, s)]
     passages = [(p, w) for p, w in passages if w]
-    known = {w for _, t in license_scan.TEMPLATES for w in words(t)}
-    df = Counter(w for _, p in passages for w in set(p) & known)
-    idf = defaultdict(lambda: math.log(1 + len(passages)) + 1, {w: math.log((1 + len(passages)) / (1 + df[w])) + 1 for w in known})
+    df = Counter(w for _, p in passages for w in set(p))
+    idf = defaultdict(lambda: math.log(1 + len(passages)) + 1, {w: math.log((1 + len(passages)) / (1 + n)) + 1 for w, n in df.items()})
     vector = lambda ws: {w: n * idf[w] for w, n in Counter(ws).items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
     own = {}
@@ -278,8 +277,9 @@ def plain_licenses(files):
             t = vector(words(text))
             score = sum(x * t.get(w, 0) for w, x in v.items()) / norm(v) / norm(t)
             if score >= license_scan.LEAST:
-                own[path] = max(own.get(path, (0, 0, "")), (round(score, 9), -place, name))
-    return own
+                grants = name != license_scan.RESERVED
+                own[path] = max(own.get(path, (False, 0, 0, "")), (grants, round(score, 9), -place, name))
+    return {path: best[1:] for path, best in own.items()}
 
 
 def test_licenses_and_inheritance(spark):
@@ -325,6 +325,16 @@ def test_licenses_with_a_common_word_at_two_corpus_sizes(spark, monkeypatch, oft
     assert scores[0] == pytest.approx(scores[1], abs=0.02)
 
 
+def test_a_grant_counts_before_reserved_rights(spark):
+    head = "Copyright (c) 2020, Some Holder. All rights reserved.\n"
+    files = [("a.c", head + license_scan._BSD_2, "BSD-2-Clause"), ("b.c", head + license_scan._BSD_2 + "\n" + license_scan._BSD_3, "BSD-3-Clause"),
+             ("c.c", head + "int f();", license_scan.RESERVED), ("d.c", head + "Released under the MIT License.", "MIT")]
+    rows = license_scan.scan(spark.createDataFrame(files, "path string, text string, want string")).collect()
+    assert {r["path"]: r["own_license"] for r in rows} == {path: want for path, _, want in files}
+    plain = plain_licenses([(path, text) for path, text, _ in files])
+    assert {r["path"]: (r["own_license"], round(r["score"], 6)) for r in rows} == {p: (n, round(x, 6)) for p, (x, _, n) in plain.items()}
+
+
 def test_licenses_of_spdx_headers_and_whole_texts(spark):
     texts = dict(license_scan.TEXTS[i] for i in range(len(license_scan.TEXTS)))
     files = [(f"a{i}/x.c", f"/* SPDX-License-Identifier:  {code} */ int f();\nmore", name)
