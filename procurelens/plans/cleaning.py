@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
+from ..operators.bloom import bloom_filter, may_be_in
 from ..operators.joins import unique_rows
 from ..sources.schemas import CALENDAR, DEPARTMENTS, PRODUCTS, PURCHASE_ORDERS, VENDORS
-from ..sources.tables import working_set
 from .quality import LINE_COLUMNS, LINE_ID
 
 
@@ -56,16 +56,16 @@ def resolve_collisions(df: DataFrame, key: str, score: str) -> DataFrame:
     them would be a guess, ``id_collisions`` reports them. If a key has faulty
     rows only, the least faulty one stays (ties: smallest column values).
 
-    Only faulty rows are compared; sound rows pass through unshuffled, and each
-    key is one record per task before anything is exchanged, so a hot key never
-    gathers in one place.
+    Only faulty rows are compared, each id being one record per task before
+    anything is exchanged. Sound rows pass through unshuffled; of their ids only those
+    that a Bloom filter of the faulty ids lets pass are exchanged for the exact test.
     """
     sound, faulty = df.where(F.col(score) == 0), df.where(F.col(score) > 0)
     payload = [c for c in df.columns if c != score]
-    best = (faulty.groupBy(F.col(key).alias("_key"))
-            .agg(F.min(F.struct(score, *payload)).alias("_best")))
-    sound_keys = sound.select(F.col(key).alias("_key")).distinct()
-    rescued = best.join(sound_keys, "_key", "left_anti").select("_best.*")
+    own = F.struct(key).alias("_key")  # never null, so rows without an id meet as well
+    best = faulty.groupBy(own).agg(F.min(F.struct(score, *payload)).alias("_best"))
+    met = may_be_in(sound.select(own), "_key", bloom_filter(faulty.select(own), "_key"))
+    rescued = best.join(met.distinct(), "_key", "left_anti").select("_best.*")
     return sound.unionByName(rescued)
 
 
@@ -86,10 +86,11 @@ def typed_lines(staging: DataFrame) -> DataFrame:
 def clean_fact(staging: DataFrame) -> DataFrame:
     """Deduplicate, resolve id collisions, type and standardise.
 
-    The deduplicated, scored lines are materialised once; the branches of the
-    collision step read them with the score pushed into the scan.
+    Staging is read and exchanged once: the score is an aggregate of the
+    deduplication, so no branch of the collision step filters before it, and all of
+    them read the same exchange.
     """
-    scored = working_set(deduplicate(with_badness(staging.select(*LINE_COLUMNS))), "scored-lines")
+    scored = staging.groupBy(*LINE_COLUMNS).agg(F.max(badness()).alias("badness_score"))
     return typed_lines(resolve_collisions(scored, LINE_ID, "badness_score"))
 
 

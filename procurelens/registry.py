@@ -56,8 +56,10 @@ def _on_model(plan: Callable[[ProcurementModel], DataFrame], grain: str = "part"
     return lambda spark, folder: plan(source.procurement_model(spark, folder, grain, need))
 
 
-def _on_staging(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: plan(source.staging_lines(spark, folder))
+def _on_staging(plan: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+    """``columns``: those the plan reads, if it does not read all."""
+    named = columns or quality.LINE_COLUMNS
+    return lambda spark, folder: plan(source.staging_lines(spark, folder, named))
 
 
 def _on_prices(plan: Callable[..., DataFrame], with_model: bool = False) -> Query:
@@ -223,18 +225,26 @@ def all_queries() -> dict[str, Query]:
     raw: dict[str, Query] = {
         # data quality
         "dq_exact_duplicates": _on_staging(quality.exact_duplicates),
-        "dq_missing_counts": _on_staging(quality.missing_counts),
-        "dq_invalid_values": _on_staging(quality.invalid_values),
-        "dq_domain_profile": _on_staging(quality.domain_profile),
-        "dq_malformed_dates": _on_staging(quality.malformed_dates),
-        "dq_delivery_before_order": _on_staging(quality.delivery_before_order),
+        "dq_missing_counts": _on_staging(
+            quality.missing_counts, "unit_price", "quantity", EXPECTED),
+        "dq_invalid_values": _on_staging(
+            quality.invalid_values, "unit_price", "quantity"),
+        "dq_domain_profile": _on_staging(
+            quality.domain_profile, "currency", "po_status"),
+        "dq_malformed_dates": _on_staging(
+            quality.malformed_dates, *quality.DATE_COLUMNS),
+        "dq_delivery_before_order": _on_staging(
+            quality.delivery_before_order, "order_date", "actual_delivery_date"),
         "dq_id_collisions": _on_staging(quality.id_collisions),
         "dq_orphan_keys": _on_model(quality.orphan_keys, need=(DEPARTMENT,)),
         "dq_dimension_checks": dimension_checks,
         "dq_calendar_gaps": calendar_gaps,
-        "dq_conditional_nulls": _on_staging(quality.conditional_nulls),
-        "dq_table_counts": _on_staging(quality.table_counts),
-        "dq_status_mix": _on_staging(quality.status_mix),
+        "dq_conditional_nulls": _on_staging(
+            quality.conditional_nulls, "po_status", "actual_delivery_date"),
+        "dq_table_counts": _on_staging(
+            quality.table_counts, "po_id"),
+        "dq_status_mix": _on_staging(
+            quality.status_mix, "po_status"),
         # cleaning, sources and sinks
         "clean_dedup": _on_staging(cleaning.deduplicate),
         "clean_badness": _on_staging(badness_profile),

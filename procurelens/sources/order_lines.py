@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import populations as pop
 from .calendar import covering_calendar
 from .model import ProcurementModel
+from .schemas import PURCHASE_ORDERS
 
 # Fixed values of the mapping.
 ORDER_STATUS = {"F": pop.COMPLETED, "O": pop.OPEN, "P": pop.CANCELLED}
@@ -46,10 +47,17 @@ def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+# Columns of a line that come from its header, directly or through it.
+HEADER_COLUMNS = ("order_date", "expected_delivery_date", "actual_delivery_date", "department_id",
+                  "po_status")
+
+
 def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
-                    need: Iterable[str] = (), statuses: Sequence[str] = ()) -> DataFrame:
+                    need: Iterable[str] = (), statuses: Sequence[str] = (),
+                    header: bool = True) -> DataFrame:
     """PO lines. ``grain`` picks the product key: ``part`` or ``brand``.
 
+    Without ``header`` the columns of ``HEADER_COLUMNS`` are left out and no header is joined.
     ``statuses`` keeps lines of some canonical statuses, by the source's own code, so
     that the filter reaches the scan of the headers and is joined from there.
 
@@ -64,8 +72,9 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
     if statuses:
         codes = [code for code, name in ORDER_STATUS.items() if name in statuses]
         orders, how = orders.where(F.col("o_orderstatus").isin(codes)), "inner"
-    lines = open_table(spark, folder, "lineitem").join(
-        orders, F.col("l_orderkey") == F.col("o_orderkey"), how)
+    lines = open_table(spark, folder, "lineitem")
+    if header:
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), how)
     if grain == "brand" or "expected_delivery_date" in need:
         part = open_table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
@@ -87,14 +96,16 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
         "vendor_id": F.col("l_suppkey").cast("string"),
         "product_id": (F.col("p_brand") if grain == "brand"
                        else F.col("l_partkey").cast("string")),
-        "order_date": F.col("od"),
-        "actual_delivery_date": F.when(status == "F", F.col("l_shipdate").cast("date")),
         "quantity": F.col("_units").cast("decimal(10,2)"),
         "unit_price": (F.col("_price").cast("decimal(12,0)") * F.lit(Decimal("0.01")))
         .cast("decimal(10,2)"),
         "currency": F.lit("USD"),
-        "po_status": named,
     }
+    if header:
+        columns |= {
+            "order_date": F.col("od"),
+            "actual_delivery_date": F.when(status == "F", F.col("l_shipdate").cast("date")),
+            "po_status": named}
     if "expected_delivery_date" in need:
         columns["expected_delivery_date"] = F.date_add(
             F.col("od"), F.col("p_size") * DAYS_PER_SIZE_UNIT)
@@ -186,14 +197,17 @@ STATUS_VARIANTS = {
 }
 
 
-def staging_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """All PO lines as untyped text, with defects at fixed order keys.
+def staging_lines(spark: SparkSession, folder: str,
+                  columns: Sequence[str] = PURCHASE_ORDERS.names) -> DataFrame:
+    """PO lines as untyped text, with defects at fixed order keys.
 
     The whole table passes through; the arithmetic only decides which lines get
-    a defect, so that auditing and cleaning have something to find.
+    a defect, so that auditing and cleaning have something to find. Only tables that
+    ``columns`` come from are opened.
     """
-    fact = purchase_orders(spark, folder, "part",
-                           ("expected_delivery_date", "department_id", "order_key"))
+    joined = {"expected_delivery_date", "department_id"} & set(columns)
+    fact = purchase_orders(spark, folder, "part", ("order_key", *joined),
+                           header=not set(columns).isdisjoint(HEADER_COLUMNS))
     key = F.col("order_key")
 
     def hit(divisor: int):
@@ -208,24 +222,28 @@ def staging_lines(spark: SparkSession, folder: str) -> DataFrame:
                    ).otherwise(price)
     quantity = F.when(hit(DEFECT_ZERO_QUANTITY), F.lit("0")).when(
         ~hit(DEFECT_NO_QUANTITY), F.col("quantity").cast("string"))
-    status = F.col("po_status")
-    for canonical, options in STATUS_VARIANTS.items():
-        status = F.when(hit(DEFECT_SPELLING) & (F.col("po_status") == canonical), pick(options)
-                        ).otherwise(status)
+    def misspelt():
+        status = F.col("po_status")
+        for canonical, options in STATUS_VARIANTS.items():
+            status = F.when(hit(DEFECT_SPELLING) & (F.col("po_status") == canonical), pick(options)
+                            ).otherwise(status)
+        return status
+
+    defective = {
+        "order_date": lambda: F.when(hit(DEFECT_BAD_DATE), BAD_DATE_TEXT)
+        .otherwise(F.col("order_date").cast("string")),
+        "expected_delivery_date": lambda: F.when(hit(DEFECT_NO_EXPECTED), F.lit(""))
+        .otherwise(F.col("expected_delivery_date").cast("string")),
+        "actual_delivery_date": lambda: F.col("actual_delivery_date").cast("string"),
+        "quantity": lambda: quantity, "unit_price": lambda: price,
+        "currency": lambda: F.when(hit(DEFECT_SPELLING), pick(CURRENCY_VARIANTS))
+        .otherwise(F.col("currency")),
+        "po_status": misspelt,
+    }
     copies = F.when(hit(DEFECT_COPY), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return fact.select(
-        "po_line_id", "po_id", "vendor_id", "product_id", "department_id",
-        F.when(hit(DEFECT_BAD_DATE), BAD_DATE_TEXT).otherwise(F.col("order_date").cast("string"))
-        .alias("order_date"),
-        F.when(hit(DEFECT_NO_EXPECTED), F.lit(""))
-        .otherwise(F.col("expected_delivery_date").cast("string")).alias("expected_delivery_date"),
-        F.col("actual_delivery_date").cast("string").alias("actual_delivery_date"),
-        quantity.alias("quantity"), price.alias("unit_price"),
-        F.when(hit(DEFECT_SPELLING), pick(CURRENCY_VARIANTS)).otherwise(F.col("currency"))
-        .alias("currency"),
-        status.alias("po_status"),
-        F.explode(copies).alias("_copy"),
-    ).drop("_copy")
+        *[defective[c]().alias(c) if c in defective else F.col(c) for c in columns],
+        F.explode(copies).alias("_copy")).drop("_copy")
 
 
 def staging_dimension(df: DataFrame) -> DataFrame:

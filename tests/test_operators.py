@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from procurelens.functions import measures, parsing
 from procurelens.operators import median
+from procurelens.operators.bloom import bloom_filter, may_be_in
 from procurelens.operators.joins import join_null_safe, unique_rows
 from procurelens.operators.median import exact_median
 from procurelens.operators.ranking import _ranged, ordered_position, tile_totals, top_k
@@ -242,6 +243,17 @@ def test_open_pivot_has_a_column_for_every_value(spark):
     assert rows(wide) == [("a", None, 2.0, 1.0), ("b", 4.0, None, 3.0)]
 
 
+def test_bloom_filter_holds_back_no_member(spark):
+    keys = spark.range(0, 3000, 3).select(F.col("id").cast("string").alias("k")).union(
+        spark.createDataFrame([(None,)], "k string"))
+    rows_ = spark.range(30_000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("word"))
+    rows_ = rows_.union(spark.createDataFrame([(None, 2)], "k string, word int"))
+    passed = {r["k"] for r in may_be_in(rows_, "k", bloom_filter(keys, "k")).collect()}
+    members = {r["k"] for r in keys.collect()}
+    assert members <= passed and len(passed) < len(members) + 30
+    assert may_be_in(rows_, "k", bloom_filter(keys.limit(0), "k")).collect() == []
+
+
 def test_null_safe_join(spark):
     left = spark.createDataFrame([(None, 1), ("a", 2)], "k string, x int")
     right = spark.createDataFrame([(None, 10), ("a", 20)], "k string, y int")

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from procurelens import registry
-from procurelens.plans import pricing, spend, vendor
+from procurelens.plans import cleaning, pricing, spend, vendor
 from procurelens.sources import order_lines
 from procurelens.sources.tables import working_set
 from tests.conftest import SMALLEST
@@ -61,3 +61,22 @@ def test_statuses_reach_the_scan_of_the_headers(spark, name, pushed):
     plan = physical(registry.all_queries()[name](spark, SMALLEST))
     assert re.search(rf"PushedFilters: \[[^\]]*{pushed}", plan)
     assert "REPARTITION_BY" not in plan
+
+
+@pytest.mark.parametrize("name, unread", [
+    ("dq_missing_counts", ["customer"]), ("dq_invalid_values", ["customer", "part", "orders"]),
+    ("dq_domain_profile", ["customer", "part"]), ("dq_malformed_dates", ["customer"]),
+    ("dq_delivery_before_order", ["customer", "part"]), ("dq_conditional_nulls", ["customer", "part"]),
+    ("dq_table_counts", ["customer", "part", "orders"]), ("dq_status_mix", ["customer", "part"])])
+def test_audits_open_only_tables_they_use(spark, name, unread):
+    plan = physical(registry.all_queries()[name](spark, SMALLEST))
+    assert not [table for table in unread if f"{table}.parquet" in plan]
+
+
+def test_cleaning_reads_staging_once(spark):
+    staging = order_lines.staging_lines(spark, SMALLEST)
+    result = cleaning.clean_fact(staging)
+    result.collect()
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert final.count("lineitem.parquet") == 1 and "ReusedExchange" in final
