@@ -47,6 +47,16 @@ def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
+def _all_cores(df: DataFrame, *keys: str) -> DataFrame:
+    """``df``, dealt out by ``keys`` if its scan has fewer tasks than there are cores.
+
+    For work that is heavy per row: a file with one row group is one task however many
+    cores wait. A large table has enough splits and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 # Columns of a line that come from its header, directly or through it.
 HEADER_COLUMNS = ("order_date", "expected_delivery_date", "actual_delivery_date", "department_id",
                   "po_status")
@@ -208,6 +218,7 @@ def staging_lines(spark: SparkSession, folder: str,
     joined = {"expected_delivery_date", "department_id"} & set(columns)
     fact = purchase_orders(spark, folder, "part", ("order_key", *joined),
                            header=not set(columns).isdisjoint(HEADER_COLUMNS))
+    fact = _all_cores(fact, "po_line_id")
     key = F.col("order_key")
 
     def hit(divisor: int):
