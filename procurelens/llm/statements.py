@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .host_reputation import BOUND, LEAST, TWO_LABEL_SUFFIXES
+
 _ASSIGNED = """
 d{t} AS MATERIALIZED (
   SELECT r, c, CAST(list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - m.v[i]) * (k.v[i] - m.v[i]))) AS BIGINT) AS d
@@ -88,7 +90,86 @@ WHERE longer IS NULL OR 100 * longer < 50 * a
 QUALIFY rank <= 2000"""
 
 
+_REPEATS = """
+WITH split AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, i, sha256(array_to_string(w[i:i + 34], ' ')) AS h
+  FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM split WHERE len(w) >= 35)),
+repeated AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY h) > 1),
+covered AS MATERIALIZED (SELECT DISTINCT r, i + k AS i FROM repeated, range(0, 35) AS g(k)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM words ANTI JOIN covered USING (r, i) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (r)"""
+
+
+def _strength(groups: str, name: str) -> str:
+    """How many pages a prior counts for, from groups with ``n`` labelled and ``s`` good pages: moments of the shares."""
+    return f"""
+{name}_sums AS (
+  SELECT CAST(count(*) AS DOUBLE) AS g, CAST(sum(n) AS DOUBLE) AS t, CAST(sum(n * n) AS DOUBLE) AS t2,
+         CAST(sum(s) AS DOUBLE) AS good, sum(CAST(s * s AS DOUBLE) / n) AS q FROM {groups} WHERE n > 0),
+{name}_spread AS (
+  SELECT g, t, greatest((q - good * good / t) / (g - 1), 0) AS between_, greatest((good - q) / (t - g), 1e-9) AS within_,
+         (t - t2 / t) / (g - 1) AS size FROM {name}_sums WHERE g > 1 AND t > g),
+{name} AS (
+  SELECT coalesce((
+    SELECT least(greatest(1 / greatest((between_ - within_) / (between_ + (size - 1) * within_), 1e-6) - 1, 1.0), 1000.0)
+    FROM {name}_spread), 1000.0) AS strength)"""
+
+
+def _reputation(rules: list[tuple[str, str, str]], suffixes: tuple[str, ...], bound: float, least: float) -> str:
+    listed = ", ".join(f"({i}, '{verdict}', '{host}', '{path}')" for i, (verdict, host, path) in enumerate(rules))
+    pairs = ", ".join(f"'{x}'" for x in suffixes)
+    address = "regexp_matches(name, '^\\d+(\\.\\d+){3}$|^\\[')"
+    return f"""
+WITH rules(place, verdict, rule_host, rule_path) AS (VALUES {listed}),
+good AS (
+  SELECT doc_id AS page_id, min(CAST(quality = 1 AND toxic = 0 AS INT)) AS good FROM labels
+  WHERE doc_id IS NOT NULL AND (quality = 1 AND toxic = 0) IS NOT NULL GROUP BY doc_id),
+parts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+named AS (
+  SELECT host, n, s, CASE WHEN {address} THEN name
+      WHEN array_to_string(labels[-2:], '.') IN ({pairs}) THEN array_to_string(labels[-3:], '.')
+      ELSE array_to_string(labels[-2:], '.') END AS domain
+  FROM (SELECT *, string_split(name, '.') AS labels FROM (
+    SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':\\d*$', '') AS name,
+           count(good) AS n, coalesce(sum(good), 0) AS s
+    FROM parts LEFT JOIN good USING (page_id) GROUP BY host))),
+hosts AS MATERIALIZED (
+  SELECT *, CASE WHEN contains(domain, '.') AND NOT {address.replace("name", "domain")}
+    THEN regexp_replace(domain, '^[^.]*\\.', '') ELSE '' END AS suffix FROM named),
+domains AS MATERIALIZED (SELECT domain, suffix, sum(n) AS n, sum(s) AS s FROM hosts GROUP BY ALL),
+suffixes AS MATERIALIZED (SELECT suffix, sum(n) AS n, sum(s) AS s FROM domains GROUP BY ALL),
+{_strength("suffixes", "a")}, {_strength("domains", "b")}, {_strength("hosts", "c")},
+by_suffix AS (
+  SELECT suffix, (s + strength * (SELECT (sum(s) + 1.0) / (sum(n) + 2) FROM suffixes)) / (n + strength) AS prior FROM suffixes, a),
+by_domain AS (SELECT domain, (s + strength * prior) / (n + strength) AS prior FROM domains JOIN by_suffix USING (suffix), b),
+by_host AS (
+  SELECT host, mean - {bound} * sqrt(mean * (1 - mean) / (n + strength + 1)) AS lower_bound
+  FROM (SELECT host, n, strength, (s + strength * prior) / (n + strength) AS mean
+        FROM hosts JOIN by_domain USING (domain), c)),
+fits AS (
+  SELECT r, rule_host || rule_path AS rule, verdict FROM parts JOIN rules
+    ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY len(rule_host || rule_path) DESC, place) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, if(lower_bound >= {least}, 'allow', 'block')) AS verdict
+FROM parts JOIN by_host USING (host) LEFT JOIN fits USING (r)"""
+
+
 STATEMENTS = {
+    "op7_host_reputation": _reputation(
+        [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")],
+        TWO_LABEL_SUFFIXES, BOUND, LEAST),
+    "op9_substring_dedup": _REPEATS,
     "op8_jaccard_join": _linked(5, 80),
     "op11_centroid_clusters": _clusters(10),
     "op12_collocations": _COLLOCATIONS,
