@@ -29,7 +29,7 @@ from .store import saved
 from .wordhash import Alphabet, U, mix, slices, split_words
 
 #: Suffix occurrences whose subtrees one task builds, and words whose suffixes one task merges before sending.
-BUDGET, CHUNK = 1_000_000, 400_000
+BUDGET, CHUNK = 500_000, 200_000
 #: Prefixes with more than this part of the budget are packed by count.
 SHARE = 32
 BREAKS = {*b".,;:!?", *range(0x0A, 0x0E)}
@@ -91,6 +91,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[Chunk]:
             yield merged()
     if held:
         yield merged()
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
 
 def _following(chunk: Chunk, longest: int) -> np.ndarray:
@@ -265,7 +266,7 @@ def _suffixes(longest: int, plan: Plan, chunk_words: int):
             at = np.searchsorted(used // size, np.arange(len(starts) + 1))
             local = np.where(words < 0, -1, np.searchsorted(used, key) - at[rank][:, None]).astype(np.int32)
             names = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), _text(chunk.names.take(pa.array(used % size - 1))))
-            lang, counts = lang.astype(np.int32), counts.astype(np.int64)
+            lang, counts = lang.astype(np.int32), counts.astype(np.int32)
             parts = [(lang[a:b].tobytes(), local[a:b].tobytes(), counts[a:b].tobytes())
                      for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -296,8 +297,8 @@ def _subtrees(longest: int, least: int, longer: np.ndarray):
             own = np.frombuffer(words, np.int32).reshape(-1, longest)
             flat.append(np.where(own < 0, -1, names.indices.to_numpy()[np.maximum(own, 0) + name_at[i]]))
             spoken.append(langs.indices.to_numpy()[np.frombuffer(lang, np.int32) + lang_at[i]])
-            weights.append(np.frombuffer(counts, np.int64))
-        words, lang, counts = np.concatenate(flat), np.concatenate(spoken), np.concatenate(weights)
+            weights.append(np.frombuffer(counts, np.int32))
+        words, lang, counts = np.concatenate(flat), np.concatenate(spoken), np.concatenate(weights).astype(np.int64)
         at, leaves = _unique([lang, *words.T], counts)  # leaves in the order of the tree
         words, lang = words[at], lang[at]
         chunk = Chunk(names.dictionary, langs.dictionary.to_pylist(), at, at, at)
