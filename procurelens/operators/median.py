@@ -32,6 +32,8 @@ from .joins import join_null_safe
 ROOM = 1_000_000
 #: Cells of the quantile grid, and size of a sketch (rank error below half a cell).
 GRID, SKETCH = 64, 800
+#: What is known of a group: middle ranks, weight, bounds of the values still in question, weight before and between them.
+SCOPE = ("_first", "_second", "_weight", "_from", "_to", "_base", "_span")
 
 
 def _inside() -> Column:
@@ -39,23 +41,25 @@ def _inside() -> Column:
             & (F.col("_to").isNull() | (F.col("_u") <= F.col("_to"))))
 
 
-def _bracketed(rows: DataFrame, keys: list[str], margin: int) -> DataFrame:
-    """Per group the values about ``margin`` cells before and after its middle ranks.
+def _sketch() -> Column:
+    return F.kll_sketch_agg_bigint("_u", F.lit(SKETCH)).alias("_sketch")
 
-    ``rows`` carry their group's scope, with the share ``_at`` of its weight that
-    lies before the middle.
+
+def _bracketed(grids: DataFrame, keys: list[str], margin: int) -> DataFrame:
+    """Per group its scope and the values about ``margin`` cells before and after its middle ranks.
+
+    ``grids`` hold a sketch of the values in the group's scope.
     """
     ranks = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    grids = rows.groupBy(*keys).agg(
-        F.kll_sketch_agg_bigint("_u", F.lit(SKETCH)).alias("_sketch"), F.first("_at").alias("_at"))
-    at = F.floor(F.col("_at") * GRID).cast("int") + 1
+    share = (F.col("_first") - F.col("_base") - 0.5) / F.col("_span")
+    at = F.floor(share * GRID).cast("int") + 1
     grid = F.kll_sketch_get_quantile_bigint("_sketch", ranks)
-    return grids.where("_at is not null").select(  # a global sketch of no rows has no quantiles
-        *keys, F.element_at(grid, F.greatest(at - margin, F.lit(1))).alias("_lo"),
+    return grids.select(
+        *keys, *SCOPE, F.element_at(grid, F.greatest(at - margin, F.lit(1))).alias("_lo"),
         F.element_at(grid, F.least(at + 1 + margin, F.lit(GRID + 1))).alias("_hi"))
 
 
-def _counted(rows: DataFrame, keys: list[str], scope: list[str]) -> DataFrame:
+def _counted(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Exact weights below and inside the bracket, and the values next to its edges."""
     below, above = F.col("_u") < F.col("_lo"), F.col("_u") > F.col("_hi")
     inside = ~below & ~above
@@ -63,7 +67,7 @@ def _counted(rows: DataFrame, keys: list[str], scope: list[str]) -> DataFrame:
     def weight(part: Column) -> Column:
         return F.coalesce(F.sum(F.when(part, F.col("_n"))), F.lit(0))
 
-    return rows.groupBy(*keys, *scope, "_lo", "_hi").agg(
+    return rows.groupBy(*keys, *SCOPE, "_lo", "_hi").agg(
         weight(below).alias("_below"), weight(inside).alias("_mid"),
         F.max(F.when(below, F.col("_u"))).alias("_under"),
         F.min(F.when(inside, F.col("_u"))).alias("_least"),
@@ -120,30 +124,27 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "med
         *keys, (F.col(value) * F.lit(unit)).cast("long").alias("_u"),
         (F.col(weight) if weight else F.lit(1)).cast("long").alias("_n")).where("_n > 0")
     none = F.lit(None).cast("long")
-    totals = values.groupBy(*keys).agg(F.sum("_n").alias("_weight")).where("_weight > 0")
-    scope = totals.select(
-        *keys, F.expr("(_weight + 1) div 2").alias("_first"), F.expr("(_weight + 2) div 2").alias("_second"),
-        "_weight", none.alias("_m1"), none.alias("_m2"), none.alias("_from"), none.alias("_to"),
-        F.lit(0).cast("long").alias("_base"), F.col("_weight").alias("_span"), none.alias("_room"))
-    scope = working_set(scope, "median-scope")
-    open_, done = scope, scope.limit(0)
-    carried = ["_first", "_second", "_weight", "_from", "_to", "_base", "_span"]
+    whole = values.groupBy(*keys).agg(F.sum("_n").alias("_weight"), _sketch()).where("_weight > 0")
+    grids = whole.withColumns({
+        "_first": F.expr("(_weight + 1) div 2"), "_second": F.expr("(_weight + 2) div 2"),
+        "_from": none, "_to": none, "_base": F.lit(0).cast("long"), "_span": F.col("_weight")})
+    done = None
     while True:
-        share = (F.col("_first") - F.col("_base") - 0.5) / F.col("_span")
-        rows = _scoped(values, open_.select(*keys, *carried, share.alias("_at")), keys)
-        brackets = working_set(_bracketed(rows, keys, margin), "median-brackets")
-        rows = join_null_safe(rows.drop("_at"), brackets, keys)
-        scope = working_set(_settled(_counted(rows, keys, carried), keys), "median-scope")
+        brackets = working_set(_bracketed(grids, keys, margin), "median-brackets")
+        counted = _counted(_scoped(values, brackets, keys), keys)
+        scope = working_set(_settled(counted, keys), "median-scope")
         small = F.col("_m1").isNotNull() | (F.coalesce("_room", F.lit(ROOM + 1)) <= ROOM)
-        done = done.unionByName(scope.where(small))
-        open_ = scope.where(~small)
+        settled, open_ = scope.where(small), scope.where(~small)
+        done = settled if done is None else done.unionByName(settled)
         if open_.isEmpty():
             break
+        rows = _scoped(values, open_.select(*keys, *SCOPE), keys)
+        grids = rows.groupBy(*keys).agg(*[F.first(c).alias(c) for c in SCOPE], _sketch())
 
     result_type = DecimalType(dtype.precision + 1, dtype.scale + 1)
     half = Decimal(1) / (2 * unit)
     found = done.where("_m1 is not null").select(*keys, "_weight", "_m1", "_m2")
-    rows = _scoped(values, done.where("_m1 is null").select(*keys, *carried), keys)
+    rows = _scoped(values, done.where("_m1 is null").select(*keys, *SCOPE), keys)
     histogram = rows.groupBy(*keys, "_u").agg(
         F.sum("_n").alias("_n"), *[F.first(c).alias(c) for c in ("_first", "_second", "_base", "_weight")])
     upto = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_u").rowsBetween(Window.unboundedPreceding, 0))

@@ -16,7 +16,7 @@ from ..operators.joins import describe
 from ..operators.shares import share_of_total
 from ..params import WEAK_ON_TIME
 from ..sources.model import ProcurementModel
-from ..sources.tables import working_set
+from ..sources.tables import kept_set
 from .vendor import VENDOR_COLUMNS
 
 # Lateness buckets by days after the expected date.
@@ -91,7 +91,7 @@ def scorecard(model: ProcurementModel) -> DataFrame:
     """All vendors with spend share and delivery side by side."""
     combined = model.vendors.select("vendor_id", *VENDOR_COLUMNS).join(
         vendor_position(model), "vendor_id", "left")
-    shared = share_of_total(working_set(combined, "vendor-scorecard"), "spend", "pct_of_spend")
+    shared = share_of_total(kept_set(combined, "vendor-scorecard"), "spend", "pct_of_spend")
     return shared.select("vendor_id", *VENDOR_COLUMNS, "spend", "pct_of_spend", "delivery_lines",
                          on_time_pct().alias("on_time_pct"),
                          avg_days_late().alias("avg_days_late"))

@@ -16,7 +16,7 @@ from ..functions.measures import band, day_literal, percent
 from ..operators.joins import describe, with_scalar
 from ..operators.ranking import top_k
 from ..sources.model import ProcurementModel
-from ..sources.tables import kept_set, working_set
+from ..sources.tables import kept_set
 
 # Aging buckets by days past the expected date.
 NOT_DUE = (("<=", 0, "0. Not yet due"),)
@@ -92,7 +92,7 @@ def overdue_by_vendor(model: ProcurementModel, as_of: date | None = None,
 def overdue_concentration(model: ProcurementModel, as_of: date | None = None,
                           n: int = 10) -> DataFrame:
     """Share of overdue open spend held by the ``n`` largest vendors."""
-    totals = working_set(_overdue_per_vendor(model, as_of), "overdue-vendors")
+    totals = kept_set(_overdue_per_vendor(model, as_of), "overdue-vendors")
     order = [F.desc("open_spend_overdue"), F.asc("vendor_id")]
     leading = top_k(totals, n, order).agg(F.sum("open_spend_overdue").alias("top_spend"))
     whole = totals.agg(F.sum("open_spend_overdue").alias("overdue_spend"))

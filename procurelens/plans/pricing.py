@@ -70,9 +70,9 @@ class PriceBase:
     @classmethod
     def build(cls, model: ProcurementModel) -> PriceBase:
         points = kept_set(price_points(model), "price-points")
-        medians = kept_result(points, "benchmarks", benchmarks)
-        known = describe(medians, model.products, "product_id", PRODUCT_COLUMNS)
-        return cls(points, kept_set(known, "products-benchmarked"))
+        named = model.products.select("product_id", *PRODUCT_COLUMNS)
+        return cls(points, kept_result(lambda: benchmarks(points).join(named, "product_id"),
+                                       "benchmarks", points, named))
 
     def covered(self, params: PriceParams) -> DataFrame:
         """Products with enough lines for a stable median."""

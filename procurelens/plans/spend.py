@@ -17,7 +17,7 @@ from ..operators.ranking import top_k
 from ..operators.reshape import open_pivot
 from ..operators.shares import share_of_total
 from ..sources.model import ProcurementModel
-from ..sources.tables import measured
+from ..sources.tables import kept_set
 
 
 def spend_sum(alias: str = "spend") -> Column:
@@ -137,7 +137,7 @@ def ordered_by_year(model: ProcurementModel) -> DataFrame:
 def po_value_stats(model: ProcurementModel) -> DataFrame:
     """Mean and median value of a purchase order."""
     values = spend_by(model, "po_id").select(F.col("spend").cast("decimal(18,4)").alias("value"))
-    per_po, rows = measured(values, "po-values")
+    per_po = kept_set(values, "po-values")
     mean = per_po.agg(F.count(F.lit(1)).alias("po_count"), F.sum("value").alias("_sum"))
     median = exact_median(per_po, [], "value", "median_po_value")
     return with_scalar(mean, median).select(

@@ -12,7 +12,7 @@ from ..operators.ranking import ordered_position, top_k
 from ..operators.shares import share_of_total
 from ..params import PARETO_SHARE
 from ..sources.model import ProcurementModel
-from ..sources.tables import working_set
+from ..sources.tables import kept_set
 from .spend import spend_by, spend_sum
 
 VENDOR_COLUMNS = ("vendor_name", "vendor_category", "region")
@@ -69,7 +69,7 @@ def top_by_category(model: ProcurementModel, k: int = 3) -> DataFrame:
     per_vendor = by_category.groupBy("product_category", "vendor_id").agg(
         F.sum("spend").alias("spend"))
     named = describe(per_vendor, model.vendors, "vendor_id", ["vendor_name"])
-    per_name = working_set(
+    per_name = kept_set(
         named.groupBy("product_category", "vendor_name").agg(F.sum("spend").alias("spend")),
         "category-vendor")
     totals = per_name.groupBy("product_category").agg(F.sum("spend").alias("_total"))
@@ -101,7 +101,7 @@ def _product_sourcing(model: ProcurementModel) -> DataFrame:
 
 def vendor_count_distribution(model: ProcurementModel) -> DataFrame:
     """How many products have one, two, three ... vendors, and their spend."""
-    counted = working_set(
+    counted = kept_set(
         _product_sourcing(model).groupBy("n_vendors").agg(
             F.count(F.lit(1)).alias("products"), F.sum("spend").alias("spend")),
         "vendor-counts")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructType
 
@@ -103,8 +103,8 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-#: Per working folder the sets that can be found again: their plan and their table, by key.
-_kept: dict[str, dict[tuple, list[tuple[DataFrame, DataFrame]]]] = {}
+#: Per working folder the sets that can be found again: the plans they are made of and their table, by key.
+_kept: dict[str, dict[tuple, list[tuple[tuple[DataFrame, ...], DataFrame]]]] = {}
 
 
 def _version(df: DataFrame) -> tuple:
@@ -128,19 +128,20 @@ def kept_set(df: DataFrame, name: str) -> DataFrame:
 
     Plans are compared by what they compute (``sameSemantics``), not by their text.
     """
-    return kept_result(df, name, lambda plan: plan)
+    return kept_result(lambda: df, name, df)
 
 
-def kept_result(df: DataFrame, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``build(df)`` as a set found again by the plan of ``df``: for results whose own plan holds written steps."""
-    spark = df.sparkSession
+def kept_result(build: Callable[[], DataFrame], name: str, *made_of: DataFrame) -> DataFrame:
+    """``build()`` as a set found again by the plans it is ``made_of``: for results whose own plan holds written steps."""
+    spark = made_of[0].sparkSession
     working_path(spark, name)  # know the folder
-    known = _kept[working_folder(spark)].setdefault((name, df.semanticHash(), _version(df)), [])
-    for plan, table in known:
-        if plan.sameSemantics(df):
+    key = (name, *[(df.semanticHash(), _version(df)) for df in made_of])
+    known = _kept[working_folder(spark)].setdefault(key, [])
+    for plans, table in known:
+        if all(plan.sameSemantics(df) for plan, df in zip(plans, made_of, strict=True)):
             return table
-    table = working_set(build(df), name)
-    known.append((df, table))
+    table = working_set(build(), name)
+    known.append((made_of, table))
     return table
 
 
@@ -152,24 +153,14 @@ def release(spark: SparkSession) -> None:
     files.delete(path, True)
 
 
-def measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Materialise an intermediate result and say how many rows it has.
+def working_set(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result and read it back.
 
     The expensive part (scan, joins, first aggregation) runs once, the lineage
     ends at a table that survives lost executors, and Spark knows the real size
-    of the result when it picks join strategies for what follows. The rows are
-    counted while they are written.
+    of the result when it picks join strategies for what follows.
     """
     spark = df.sparkSession
     path = working_path(spark, name)
-    seen = Observation(f"rows of {name}")
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
-
-
-def working_set(df: DataFrame, name: str) -> DataFrame:
-    """``measured`` for callers that do not need the number of rows."""
-    spark = df.sparkSession
-    path = working_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
