@@ -7,7 +7,7 @@ form a subtree, which can be built apart from all others:
    within the budget or is a whole suffix.
 2. ``Plan``: frequent prefixes are packed into groups of at most a budget of occurrences; rare ones are dealt to the
    rest of the groups by hash. Only prefixes above ``1/SHARE`` of the budget are listed: at most ``SHARE`` of each length for
-   each budget of words in the corpus.
+   each budget of words in the corpus. Longer prefixes are counted in slots by hash, which changes what goes together and no count.
 3. Tasks send each distinct suffix of their texts, with its count, to the group of its prefix.
 4. A task builds the subtrees of its group: suffixes in order, equal ones merged to leaves, and each node's frequency as the
    total of the leaves below it. Nodes above a prefix that was made longer get a part of their total from each group.
@@ -32,6 +32,8 @@ from .wordhash import Alphabet, U, mix, slices, split_words
 BUDGET, CHUNK = 500_000, 200_000
 #: Prefixes with more than this part of the budget are packed by count.
 SHARE = 32
+#: Slots of longer prefixes: two to this power at least, four for each budget of words.
+LEAST_BITS = 12
 BREAKS = {*b".,;:!?", *range(0x0A, 0x0E)}
 
 
@@ -138,12 +140,14 @@ def prefix_hash(lang: str, *words: str) -> int:
 
 
 class Plan(NamedTuple):
-    """Which group builds the subtree of a prefix; prefixes are given as sorted hashes.
+    """Which group builds the subtree of a prefix; prefixes are given as sorted slots.
 
     ``packed`` go to the group at the same place in ``groups``; suffixes of ``longer`` ones go by one word more; all others are
-    dealt to ``rest`` groups, numbered from ``first``.
+    dealt to ``rest`` groups, numbered from ``first``. A word is a slot of its own; longer prefixes share ``2**bits`` slots of
+    their length, so that no task has more than these to tell.
     """
 
+    bits: int
     packed: np.ndarray
     groups: np.ndarray
     longer: np.ndarray
@@ -154,17 +158,26 @@ class Plan(NamedTuple):
         """Groups of suffixes, of which the prefix hashes of each length are given."""
         out = np.full(len(prefixes[0]), -1, np.int64)
         going = np.ones(len(out), bool)
-        for own in prefixes:
-            at, known = _find(self.packed, own)
+        for length, own in enumerate(prefixes, 1):
+            slots = _slots(own, length, self.bits)
+            at, known = _find(self.packed, slots)
             take = going & known
             out[take] = self.groups[at[take]]
-            dealt = going & ~known & ~_find(self.longer, own)[1]
+            dealt = going & ~known & ~_find(self.longer, slots)[1]
             out[dealt] = self.first + (own[dealt] % U(self.rest)).astype(np.int64)
             going &= ~take & ~dealt
         out[going] = self.first + (prefixes[-1][going] % U(self.rest)).astype(np.int64)
         return out
 
 
+def _slots(prefixes: np.ndarray, length: int, bits: int) -> np.ndarray:
+    return prefixes if length == 1 else _slot(prefixes >> U(64 - bits), length)
+
+
+def _slot(number: np.ndarray, length: int) -> np.ndarray:
+    return mix(number * U(64) + U(length))
+
+
 def _find(table: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.minimum(np.searchsorted(table, values), max(0, len(table) - 1))
     return at, (table[at] == values if len(table) else np.zeros(len(values), bool))
@@ -207,15 +220,19 @@ def _prefix_hashes(chunk: Chunk, words: np.ndarray, lang: np.ndarray) -> list[np
     return out
 
 
-def _prefix_counts(length: int, longer: np.ndarray, chunk_words: int):
-    """Counts of prefixes of ``length`` words that go on from one of ``longer``."""
+def _prefix_counts(length: int, longer: np.ndarray, bits: int, chunk_words: int):
+    """Counts of slots of prefixes of ``length`` words that go on from one of ``longer``; a task tells each slot once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(1 << bits, np.int64)
         for chunk in chunks(batches, chunk_words):
             words = _following(chunk, length)
             keep = words[:, length - 1] >= 0
             prefixes = _prefix_hashes(chunk, words[keep], chunk.lang[keep])
-            found, counts = np.unique(prefixes[-1][_find(longer, prefixes[-2])[1]], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(counts)], names=["prefix", "f"])
+            own = prefixes[-1][_find(longer, _slots(prefixes[-2], length - 1, bits))[1]]
+            totals += np.bincount((own >> U(64 - bits)).astype(np.int64), minlength=1 << bits)
+        used = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(_slot(used.astype(U), length).view(np.int64)), pa.array(totals[used])],
+                                         names=["prefix", "f"])
 
     return run
 
@@ -223,6 +240,7 @@ def _prefix_counts(length: int, longer: np.ndarray, chunk_words: int):
 def plan_groups(texts: DataFrame, words: DataFrame, longest: int, budget: int) -> Plan:
     """Prefixes and their groups. ``texts(lang, text)``; ``words(lang, phrase, f)``: all words."""
     total = int(words.agg(F.sum("f")).first()[0] or 0)
+    bits = max(LEAST_BITS, (4 * total // budget).bit_length())
     listed = [(prefix_hash(r["lang"], r["phrase"]), r["f"])
               for r in words.where(F.col("f") * SHARE > budget).toLocalIterator()]
     packed, longer = [], []
@@ -232,14 +250,14 @@ def plan_groups(texts: DataFrame, words: DataFrame, longest: int, budget: int) -
         longer += over
         if not over:
             break
-        counts = (texts.mapInArrow(_prefix_counts(length + 1, np.array(over, U), CHUNK), "prefix long, f long")
+        counts = (texts.mapInArrow(_prefix_counts(length + 1, np.array(over, U), bits, CHUNK), "prefix long, f long")
                   .groupBy("prefix").agg(F.sum("f").alias("f")).where(F.col("f") * SHARE > budget))
         listed = [(r["prefix"] % (1 << 64), r["f"]) for r in counts.toLocalIterator()]
     packed.sort(reverse=True)
     groups, first = packed_groups([f for f, _ in packed], budget)
     order = np.argsort(np.array([h for _, h in packed], U))
     rest = max(1, -(-2 * (total - sum(f for f, _ in packed)) // budget))
-    return Plan(np.array([h for _, h in packed], U)[order], np.array(groups, np.int64)[order],
+    return Plan(bits, np.array([h for _, h in packed], U)[order], np.array(groups, np.int64)[order],
                 np.sort(np.array(longer, U)), first, rest)
 
 
@@ -284,7 +302,7 @@ def _listed(table: pa.Table, name: str) -> tuple[pa.DictionaryArray, np.ndarray]
     return lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
 
 
-def _subtrees(longest: int, least: int, longer: np.ndarray):
+def _subtrees(longest: int, least: int, longer: np.ndarray, bits: int):
     """Build the subtrees of a group and return nodes of two words or more that occur at least ``least`` times.
 
     Nodes that are a longer prefix's beginning have only a part of their total here and are returned in any case.
@@ -313,7 +331,8 @@ def _subtrees(longest: int, least: int, longer: np.ndarray):
             whole = words[first, depth - 1] >= 0
             kept = whole & (totals >= least)
             if len(longer) and depth < longest:
-                kept |= whole & _find(longer, _prefix_hashes(chunk, words[first][:, :depth], lang[first])[-1])[1]
+                own = _prefix_hashes(chunk, words[first][:, :depth], lang[first])[-1]
+                kept |= whole & _find(longer, _slots(own, depth, bits))[1]
             first, totals = first[kept], totals[kept]
             columns = [names.dictionary.take(pa.array(words[first, i])) for i in range(depth)]
             out.append(pa.table({"lang": langs.dictionary.take(pa.array(lang[first])),
@@ -339,7 +358,7 @@ def count_phrases(documents: DataFrame, longest: int = 3, least: int = 10, budge
                   .groupBy("lang", "phrase").agg(F.sum("f").alias("f")), "phrase-words")
     plan = plan_groups(texts, words, longest, budget)
     nodes = (texts.mapInArrow(_suffixes(longest, plan, CHUNK), ROWS).groupBy("group")
-             .applyInArrow(_subtrees(longest, least, plan.longer), NODES)
+             .applyInArrow(_subtrees(longest, least, plan.longer, plan.bits), NODES)
              .groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")))
     phrases = words.withColumn("words", F.lit(1)).unionByName(nodes).where(F.col("f") >= least)
     return Counted(words.groupBy("lang").agg(F.sum("f").alias("n")), saved(phrases, "phrase-counts"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources.tables import shared_folder
 
 _shipped: set[str] = set()
+_known: set[str] = set()
 
 
 def _folder(spark: SparkSession) -> str:
@@ -19,8 +20,15 @@ def _folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path that nothing uses yet, below one folder per application."""
-    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path that nothing uses yet, below one folder per application, which goes when the application ends."""
+    folder = _folder(spark)
+    if folder not in _known:
+        _known.add(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)  # of what exists only
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def saved_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
