@@ -99,7 +99,8 @@ def working_path(spark: SparkSession, name: str) -> str:
     if folder not in _kept:
         _kept[folder] = {}
         files, path = _file_system(spark, folder)
-        files.deleteOnExit(path)
+        files.mkdirs(path)
+        files.deleteOnExit(path)  # of what exists only
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
