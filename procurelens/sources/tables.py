@@ -104,8 +104,8 @@ def working_path(spark: SparkSession, name: str) -> str:
     return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
-#: Per working folder the sets that can be found again: the plans they are made of and their table, by key.
-_kept: dict[str, dict[tuple, list[tuple[tuple[DataFrame, ...], DataFrame]]]] = {}
+#: Per working folder the sets that can be found again: the plans they are made of, path and table, by key.
+_kept: dict[str, dict[tuple, list[tuple[tuple[DataFrame, ...], str, DataFrame]]]] = {}
 
 
 def _version(df: DataFrame) -> tuple:
@@ -138,11 +138,12 @@ def kept_result(build: Callable[[], DataFrame], name: str, *made_of: DataFrame)
     working_path(spark, name)  # know the folder
     key = (name, *[(df.semanticHash(), _version(df)) for df in made_of])
     known = _kept[working_folder(spark)].setdefault(key, [])
-    for plans, table in known:
-        if all(plan.sameSemantics(df) for plan, df in zip(plans, made_of, strict=True)):
+    for plans, path, table in known:
+        files, where = _file_system(spark, path)
+        if files.exists(where) and all(p.sameSemantics(df) for p, df in zip(plans, made_of, strict=True)):
             return table
-    table = working_set(build(), name)
-    known.append((made_of, table))
+    table, path = _written(build(), name)
+    known.append((made_of, path, table))
     return table
 
 
@@ -161,7 +162,11 @@ def working_set(df: DataFrame, name: str) -> DataFrame:
     ends at a table that survives lost executors, and Spark knows the real size
     of the result when it picks join strategies for what follows.
     """
+    return _written(df, name)[0]
+
+
+def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = working_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path

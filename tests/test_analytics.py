@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 from datetime import date
 from decimal import Decimal
 from pathlib import Path
@@ -347,6 +348,8 @@ def test_working_sets_are_found_again_until_the_files_change(spark, tmp_path):
     assert second.inputFiles() != first.inputFiles() and second.count() == 7
     folder = Path(tables.working_folder(spark))
     assert list(folder.glob("numbers-*"))
+    shutil.rmtree(second.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])  # gone by other hands
+    assert tables.kept_set(plan(), "numbers").count() == 7
     tables.release(spark)
     assert not folder.exists()
     assert tables.kept_set(plan(), "numbers").count() == 7
