@@ -3,13 +3,17 @@
 Items and passages are aligned by Smith-Waterman over words: matches score 1, mismatches and gaps cost
 ``COST``. The best score over the item's length in words is the likeness.
 
-Only places that may reach it are aligned, and none that does is left out. Such an alignment matches at least
-``likeness`` of the item's words, hence at least k of any ``length - needed + k`` of them, and its passage has a
-bounded span. The item's rarest words in the whole corpus are its *seeds*: places with k of them within the
-span are aligned. Every k is sound; each item takes the one that costs least by its words' corpus counts.
-
-The benchmark goes through in blocks of at most ``BLOCK_WORDS`` words, each sent to all tasks; the
-corpus is read twice per block and never shuffled.
+Only places that may reach it are aligned, and none that does is left out. An item's *grams* are its words and
+its pairs of neighbouring words. An alignment with m matched words in r unbroken runs matches m words and m - r
+pairs, and each break between runs costs ``COST`` = 1/2 at least; so one of likeness s matches at least
+``2 * s * length - 1`` of the ``2 * length - 1`` grams, within a span of bounded length. Hence at least k of any
+``needed + k`` grams, where the alignment may miss ``needed`` of them. The rarest ones in the whole corpus are the
+item's *seeds*: mostly pairs, and words where a pair is common or all pairs may be cut apart. Every k is sound; each item takes the one that
+costs least by its grams' corpus counts.
+
+Grams are counted in the corpus, and those of the seeds are found there and joined to them by hash. Tasks get only
+bitmaps of the grams, which are bounded in size and let no gram through unseen; places that hold enough seeds are
+joined to their texts and items and aligned there.
 """
 
 from __future__ import annotations
@@ -24,67 +28,170 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .wordhash import LETTERS, slices, split_words
+from . import store
+from .wordhash import LETTERS, U, Words, lists, ngrams, signed, slices, split_words
 
 COST, LIKENESS = 0.5, 0.5
-BLOCK_WORDS, BLOCK_ITEMS = 2_000_000, 100_000
-#: Only for speed: what a place costs next to one seed, and how many seeds, and words of places, are held at once.
-PLACE, HELD = 100, 2_000_000
-
-
-class _Items:
-    """The words of a block of items: sorted distinct hashes, and which of them each item has in order."""
-
-    def __init__(self, ids: list[int], sequences: list[np.ndarray]):
-        self.ids, self.sequences = np.array(ids, np.int64), sequences
-        self.keys, key = np.unique(np.concatenate(sequences), return_inverse=True)
-        size = np.array([len(s) for s in sequences])
-        self.key = np.split(key, np.cumsum(size)[:-1])
-        self.pairs = np.unique(np.repeat(np.arange(len(size)), size) * len(self.keys) + key)  # item and its word in one number
-        self.flags = np.zeros(1 << 20, bool)
-        self.flags[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-
-    def found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``hashes`` that hold a key, and which."""
-        at = np.flatnonzero(self.flags[(hashes >> np.uint64(44)).astype(np.int64)])
-        key = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
-        real = self.keys[key] == hashes[at]
-        return at[real], key[real]
-
-
-class _Seeds(NamedTuple):
-    """``item[begin[k]:begin[k + 1]]``: items that have key k as a seed; ``needed`` seeds within ``span`` words."""
-
-    begin: np.ndarray
-    item: np.ndarray
-    needed: np.ndarray
-    span: np.ndarray
-
-
-def _choose(items: _Items, times: np.ndarray, total: int, likeness: float) -> _Seeds:
-    """The rarest words of each item, as many as the least costly number of matches among them asks for."""
-    keys, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    needed, span = np.ones(len(items.ids), np.int64), np.ones(len(items.ids), np.int64)
-    for i, key in enumerate(items.key):
-        size = len(key)
-        least = max(1, math.ceil(likeness * size))  # matches that an alignment has
-        if least > size:
-            continue
-        span[i] = math.floor(size + max(0.0, 1 - likeness) * size / COST)  # all words match, the rest are gaps
-        key = key[np.lexsort((key, times[key]))]
-        first = np.concatenate([[True], key[1:] != key[:-1]])
-        rate = np.cumsum(times[key] * first) / max(total, 1)
-        k = np.arange(1, least + 1)
-        rate = rate[size - least + k - 1]
-        more, mean = k - 1, np.maximum(rate * span[i], 1e-300)
-        chance = np.exp(np.where(more > mean, more - mean + more * np.log(mean / np.maximum(more, 1)), 0))
-        needed[i] = k[np.argmin(rate * (1 + PLACE * chance))]
-        own = np.unique(key[:size - least + needed[i]])
-        keys.append(own)
-        owners.append(np.full(len(own), i))
-    key, item = np.concatenate(keys), np.concatenate(owners)
-    begin = np.concatenate([[0], np.cumsum(np.bincount(key, minlength=len(items.keys)))])
-    return _Seeds(begin, item[np.argsort(key, kind="stable")], needed, span)
+#: Only for speed: what a place costs next to one seed found in the corpus.
+PLACE = 20
+#: A bitmap has 16 bits for each gram, within these bounds (as powers of two). Fuller ones let more grams through to the join.
+MIN_BITS, MAX_BITS = 16, 28
+
+
+class _Bitmap(NamedTuple):
+    """Which leading ``bits`` of gram hashes occur."""
+
+    bits: int
+    words: np.ndarray
+
+    @classmethod
+    def of(cls, grams: DataFrame) -> _Bitmap:
+        """At most ``2**(MAX_BITS - 6)`` numbers reach the driver."""
+        bits = min(MAX_BITS, max(MIN_BITS, (16 * grams.count()).bit_length()))
+        cell = F.shiftrightunsigned("gram", 64 - bits)
+        slots = grams.select(cell.alias("cell")).groupBy(F.shiftright("cell", 6).alias("slot")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("word")).toArrow()
+        words = np.zeros(1 << (bits - 6), np.int64)
+        words[slots["slot"].to_numpy()] = slots["word"].to_numpy()
+        return cls(bits, words.view(U))
+
+    def has(self, grams: np.ndarray) -> np.ndarray:
+        cell = grams >> U(64 - self.bits)
+        return (self.words[(cell >> U(6)).astype(np.int64)] >> (cell & U(63)) & U(1)).astype(bool)
+
+
+def _pairs(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all pairs of neighbouring words of one text, and the place of their first word."""
+    pairs = ngrams(hashes, 2)
+    inside = np.ones(len(pairs), bool)
+    border = words.offsets[1:-1]
+    inside[border[(border > 0) & (border < len(hashes))] - 1] = False
+    at = np.flatnonzero(inside)
+    return pairs[at], at
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``(item_id, words)``: word hashes in order; equal texts count once, by least id."""
+    texts = benchmark.where("item_id is not null and text is not null").groupBy("text").agg(
+        F.min("item_id").cast("long").alias("item_id"))
+
+    def run(batches):
+        for part in slices(batches):
+            words = split_words(part.column("text"), LETTERS)
+            hashes = words.hashes()
+            yield pa.RecordBatch.from_arrays(
+                [part.column("item_id"), lists([hashes[a:b] for a, b in zip(words.offsets, words.offsets[1:])])],
+                names=["item_id", "words"])
+
+    return texts.mapInArrow(run, "item_id long, words array<long>").where("size(words) > 0")
+
+
+def _words(column: pa.Array, row: int) -> np.ndarray:
+    return column[row].values.to_numpy().view(U)
+
+
+def _grams(items: DataFrame) -> DataFrame:
+    """``(item_id, size, gram)``: a row for every word and pair of an item, as often as it has it."""
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words = _words(batch.column("words"), row)
+                grams = signed(np.concatenate([words, ngrams(words, 2)]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(batch.column("item_id")[row], len(grams)), pa.repeat(pa.scalar(len(words)), len(grams)), pa.array(grams)],
+                    names=["item_id", "size", "gram"])
+
+    return items.mapInArrow(run, "item_id long, size long, gram long")
+
+
+def _counts(documents: DataFrame, wanted) -> DataFrame:
+    """``(gram, times)`` in the corpus of the grams in the bitmap ``wanted`` (and some others); of all words under null."""
+
+    def run(batches):
+        for part in slices(batches):
+            words = split_words(part.column("text"), LETTERS)
+            hashes = words.hashes()
+            total = len(hashes)
+            pairs = _pairs(words, hashes)[0]
+            known = wanted.value
+            grams, times = np.unique(np.concatenate([hashes[known.has(hashes)], pairs[known.has(pairs)]]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([None, *signed(grams).tolist()], pa.int64()),
+                                              pa.array([total, *times.tolist()], pa.int64())], names=["gram", "times"])
+
+    return documents.select("text").mapInArrow(run, "gram long, times long").groupBy("gram").agg(F.sum("times").alias("times"))
+
+
+def _choose(times: np.ndarray, grams: np.ndarray, size: int, total: int, likeness: float) -> tuple[np.ndarray, int, int]:
+    """Seeds of an item, how many of them a place needs, and within how many words."""
+    least = max(1, math.ceil(2 * likeness * size - 1e-9) - 1)  # grams that an alignment matches
+    if least > len(grams):
+        return grams[:0], 1, 1
+    span = math.floor(size + max(0.0, 1 - likeness) * size / COST)  # all words match, the rest are gaps
+    order = np.lexsort((grams, times))
+    grams, times = grams[order], times[order]
+    first = np.concatenate([[True], grams[1:] != grams[:-1]])
+    k = np.arange(1, least + 1)
+    rate = (np.cumsum(times * first) / max(total, 1))[len(grams) - least + k - 1]
+    more, mean = k - 1, np.maximum(rate * span, 1e-300)
+    chance = np.exp(np.where(more > mean, more - mean + more * np.log(mean / np.maximum(more, 1)), 0))
+    needed = int(k[np.argmin(rate * (1 + PLACE * chance))])
+    taken = len(grams) - least + needed
+    return grams[:taken][(first & (times > 0))[:taken]], needed, span
+
+
+def _seeds(grams: DataFrame, counts: DataFrame, total: int, likeness: float) -> DataFrame:
+    """``(gram, item_id, needed, span)`` for all seeds that occur in the corpus."""
+    counted = grams.join(counts, "gram", "left").groupBy("item_id", "size").agg(
+        F.collect_list(F.struct(F.coalesce("times", F.lit(0)).alias("times"), "gram")).alias("grams"))
+
+    def run(batches):
+        for batch in batches:
+            for row in range(batch.num_rows):
+                listed = batch.column("grams")[row].values
+                seeds, needed, span = _choose(listed.field("times").to_numpy(), listed.field("gram").to_numpy(),
+                                              batch.column("size")[row].as_py(), total, likeness)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(seeds), pa.repeat(batch.column("item_id")[row], len(seeds)),
+                     pa.repeat(pa.scalar(needed, pa.int32()), len(seeds)), pa.repeat(pa.scalar(span, pa.int32()), len(seeds))],
+                    names=["gram", "item_id", "needed", "span"])
+
+    return counted.mapInArrow(run, "gram long, item_id long, needed int, span int")
+
+
+def _hits(documents: DataFrame, wanted) -> DataFrame:
+    """``(key, gram, hit)``: where texts hold grams of the bitmap; ``hit`` is twice the word's place, one more for a pair."""
+
+    def run(batches):
+        for part in slices(batches):
+            words = split_words(part.column("text"), LETTERS)
+            hashes = words.hashes()
+            pairs, at = _pairs(words, hashes)
+            known = wanted.value
+            one, two = np.flatnonzero(known.has(hashes)), np.flatnonzero(known.has(pairs))
+            place = np.concatenate([one, at[two]])
+            row = np.searchsorted(words.offsets, place, "right") - 1
+            hit = 2 * (place - words.offsets[row])
+            hit[len(one):] += 1
+            yield pa.RecordBatch.from_arrays(
+                [part.column("key").take(pa.array(row)), pa.array(signed(np.concatenate([hashes[one], pairs[two]]))),
+                 pa.array(hit, pa.int32())], names=["key", "gram", "hit"])
+
+    return documents.select("key", "text").mapInArrow(run, "key binary, gram long, hit int")
+
+
+#: Places where ``needed`` hits in a row lie within the span: those of the first and last word.
+PLACES = """if(size(hits) < needed, array(), filter(
+    transform(sequence(0, size(hits) - needed), i -> struct(int(hits[i] div 2) as a, int(hits[i + needed - 1] div 2) as b)),
+    p -> p.b - p.a < span))"""
+
+
+def _candidates(hits: DataFrame, seeds: DataFrame, items: DataFrame) -> DataFrame:
+    """``(key, found)``: for each text the items that it may copy, with their words and the places."""
+    placed = hits.join(seeds, "gram").groupBy("key", "item_id", "needed", "span").agg(  # copies of a text add nothing to a set
+        F.sort_array(F.collect_set("hit")).alias("hits")).select("key", "item_id", "span", F.expr(PLACES).alias("places"))
+    found = F.struct("item_id", "span", "words", F.col("places.a").alias("a"), F.col("places.b").alias("b"))
+    return placed.where("size(places) > 0").join(items, "item_id").groupBy("key").agg(F.collect_list(found).alias("found"))
 
 
 def align(item: np.ndarray, passage: np.ndarray, anchored: bool = False) -> tuple[float, int, int]:
@@ -123,72 +230,36 @@ def passages(item: np.ndarray, words: np.ndarray, likeness: float) -> Iterator[t
         parts += [(a, a + end - size), (a + end, b)]
 
 
-def _promising(items: _Items, known: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, likeness: float) -> np.ndarray:
-    """Which places could have the score if their words stood in any order, each as often as one likes."""
-    total, first, out = np.concatenate([[0], np.cumsum(high - low + 1)]), 0, [np.zeros(0, np.int64)]
-    least = likeness * np.array([len(items.key[i]) for i in item.tolist()])
-    while first < len(item):
-        last = max(first + 1, int(np.searchsorted(total, total[first] + HELD, "right")) - 1)
-        begin, size = total[first:last] - total[first], high[first:last] - low[first:last] + 1
-        at = np.arange(size.sum()) + np.repeat(low[first:last] - 1 - begin, size)  # one more before each place
-        pair = np.repeat(item[first:last], size) * len(items.keys) + known[at]
-        found = np.minimum(np.searchsorted(items.pairs, pair), len(items.pairs) - 1)
-        gain = np.where((items.pairs[found] == pair) & (known[at] >= 0), 1.0, -COST)
-        gain[begin] = -2.0 * size.max()  # below all that came before: each place starts anew
-        gain = np.cumsum(gain)
-        rise = np.maximum.reduceat(gain - np.minimum.accumulate(gain), begin)
-        out.append(first + np.flatnonzero(rise >= least[first:last]))
-        first = last
-    return np.concatenate(out)
-
-
-def _places(items: _Items, seeds: _Seeds, words, hashes: np.ndarray, likeness: float):
-    """``(text, item, first, last)`` of all places that may reach the likeness; those of a text and item do not overlap."""
-    at, key = items.found(hashes)
-    known = np.full(len(hashes), -1)
-    known[at] = key
-    count = seeds.begin[key + 1] - seeds.begin[key]
-    at, key, count = at[count > 0], key[count > 0], count[count > 0]
-    row = np.searchsorted(words.offsets, at, "right") - 1
-    total = np.concatenate([[0], np.cumsum(count)])
-    first = 0
-    while first < len(at):  # whole texts, as many as give HELD seeds
-        last = int(np.searchsorted(total, total[first] + HELD, "right")) - 1
-        last = max(int(np.searchsorted(row, row[min(last, len(at) - 1)])), int(np.searchsorted(row, row[first], "right"))) \
-            if last < len(at) else last
-        n = count[first:last]
-        spot = np.repeat(seeds.begin[key[first:last]] - (total[first:last] - total[first]), n) + np.arange(n.sum())
-        item = seeds.item[spot]
-        order = np.argsort(item.astype(np.uint16) if len(items.ids) <= 1 << 16 else item, kind="stable")
-        item, place, text = item[order], np.repeat(at[first:last], n)[order], np.repeat(row[first:last], n)[order]
-        end = np.arange(len(item)) + seeds.needed[item] - 1
-        real = np.flatnonzero(end < len(item))
-        end = end[real]
-        real = real[(item[end] == item[real]) & (text[end] == text[real]) & (place[end] - place[real] < seeds.span[item[real]])]
-        if len(real):
-            end, item, text = place[real + seeds.needed[item[real]] - 1], item[real], text[real]
-            low = np.maximum(end - seeds.span[item] + 1, words.offsets[text])
-            high = np.minimum(place[real] + seeds.span[item], words.offsets[text + 1])
-            new = np.flatnonzero(np.concatenate(
-                [[True], (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (low[1:] >= high[:-1])]))
-            text, item, low, high = text[new], item[new], low[new], high[np.append(new[1:], len(high)) - 1]
-            new = _promising(items, known, item, low, high, likeness)
-            yield from zip(text[new].tolist(), item[new].tolist(), low[new].tolist(), high[new].tolist(), strict=True)
-        first = last
-
-
-def _match(items: _Items, seeds: _Seeds, likeness: float):
-    """Rows ``(doc_id, item_id, score, first_word, last_word)`` of a batch."""
+def _windows(a: np.ndarray, b: np.ndarray, span: int, size: int) -> Iterator[tuple[int, int]]:
+    """Stretches of a text around places, joined where they overlap."""
+    low, high = np.maximum(b - span + 1, 0), np.minimum(a + span, size)
+    new = np.flatnonzero(np.concatenate([[True], low[1:] >= high[:-1]]))
+    return zip(low[new].tolist(), high[np.append(new[1:], len(high)) - 1].tolist(), strict=True)
+
+
+def _promising(item: np.ndarray, words: np.ndarray, likeness: float) -> bool:
+    """Could the words have the score if they stood in any order, each as often as one likes?"""
+    gain = np.cumsum(np.concatenate([[0.0], np.where(np.isin(words, item), 1.0, -COST)]))
+    return bool((gain - np.minimum.accumulate(gain)).max() >= likeness * len(item))
+
+
+def _aligned(likeness: float):
+    """Rows ``(doc_id, item_id, score, first_word, last_word)`` of texts with candidates."""
 
     def run(batches):
         for part in slices(batches):
             words = split_words(part.column("text"), LETTERS)
             hashes = words.hashes()
             out = []
-            for r, i, first, last in _places(items, seeds, words, hashes, likeness):
-                start = first - int(words.offsets[r])
-                for score, a, b in passages(items.sequences[i], hashes[first:last], likeness):
-                    out.append((r, int(items.ids[i]), score, start + a, start + b))
+            for row, (first, last) in enumerate(zip(words.offsets, words.offsets[1:], strict=False)):
+                text, listed = hashes[first:last], part.column("found")[row].values
+                a, b, item_words = (listed.field(n) for n in ("a", "b", "words"))
+                for i, (item_id, span) in enumerate(zip(listed.field("item_id").to_pylist(), listed.field("span").to_pylist(), strict=True)):
+                    item = _words(item_words, i)
+                    for low, high in _windows(a[i].values.to_numpy(), b[i].values.to_numpy(), span, len(text)):
+                        if _promising(item, text[low:high], likeness):
+                            out += [(row, item_id, score, low + x, low + y)
+                                    for score, x, y in passages(item, text[low:high], likeness)]
             if out:
                 rows, ids, scores, firsts, lasts = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -199,25 +270,6 @@ def _match(items: _Items, seeds: _Seeds, likeness: float):
     return run
 
 
-def _blocks(benchmark: DataFrame):
-    """Items in blocks of bounded size, read one after another; equal texts count once, by least id."""
-    items = benchmark.where("item_id is not null and text is not null").groupBy("text").agg(
-        F.min("item_id").cast("long").alias("item_id"))
-    ids, sequences, held = [], [], 0
-    for row in items.orderBy("item_id").toLocalIterator():
-        words = split_words(pa.array([row["text"]]), LETTERS).hashes()
-        if not len(words):
-            continue
-        if ids and (held + len(words) > BLOCK_WORDS or len(ids) == BLOCK_ITEMS):
-            yield ids, sequences
-            ids, sequences, held = [], [], 0
-        ids.append(row["item_id"])
-        sequences.append(words)
-        held += len(words)
-    if ids:
-        yield ids, sequences
-
-
 def leaks(documents: DataFrame, benchmark: DataFrame, likeness: float = LIKENESS) -> DataFrame:
     """Rows ``(doc_id, item_id, score, first_word, last_word)``: a document passage (words counted without
     ASCII punctuation, the last exclusive) that aligns with a benchmark item of
@@ -226,34 +278,17 @@ def leaks(documents: DataFrame, benchmark: DataFrame, likeness: float = LIKENESS
     All such passages are found, short items' too, of which a few words suffice. Several passages of a document give
     several rows (the best, then those of the words before and after it), repeated document rows repeat theirs. Null
     texts, items without words or id and empty tables give no rows; of equal item texts the least id speaks.
-    Other columns are not read.
+    Other columns are not read. The corpus is read three times, whatever the size of the benchmark; its texts are shuffled
+    only if those with candidates are too many to broadcast.
     """
-    spark = documents.sparkSession
-    documents = documents.select(F.col("doc_id").cast("long"), "text")
-    out = None
-    for ids, sequences in _blocks(benchmark):
-        items = spark.sparkContext.broadcast(_Items(ids, sequences))  # bounded by BLOCK_WORDS
-
-        def count(batches, items=items):
-            for part in slices(batches):
-                hashes = split_words(part.column("text"), LETTERS).hashes()
-                keys, times = np.unique(items.value.found(hashes)[1], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([-1, *keys], pa.int64()), pa.array([len(hashes), *times], pa.int64())],
-                                                 names=["key", "times"])
-
-        counted = documents.select("text").mapInArrow(count, "key long, times long").groupBy("key").agg(
-            F.sum("times").alias("times")).collect()  # at most one row for each word of the block, and all words as -1
-        times = np.zeros(len(items.value.keys) + 1, np.int64)
-        for row in counted:
-            times[row["key"]] = row["times"]
-        seeds = spark.sparkContext.broadcast(_choose(items.value, times[:-1], int(times[-1]), likeness))
-
-        def match(batches, items=items, seeds=seeds):
-            yield from _match(items.value, seeds.value, likeness)(batches)
-
-        found = documents.mapInArrow(
-            match, "doc_id long, item_id long, score double, first_word long, last_word long")
-        out = found if out is None else out.unionAll(found)
-    if out is None:
-        out = spark.createDataFrame([], "doc_id long, item_id long, score double, first_word long, last_word long")
-    return out
+    context = documents.sparkSession.sparkContext
+    documents = documents.select(F.col("doc_id").cast("long"), "text", F.unhex(F.md5("text")).alias("key"))
+    items = store.saved(_items(benchmark), "items")
+    grams = store.saved(_grams(items), "grams")
+    counts = store.saved(_counts(documents, context.broadcast(_Bitmap.of(grams.select("gram").distinct()))), "counts")
+    total = counts.where("gram is null").agg(F.sum("times")).first()[0] or 0
+    seeds = store.saved(_seeds(grams, counts.where("gram is not null"), total, likeness), "seeds")
+    wanted = context.broadcast(_Bitmap.of(seeds.select("gram").distinct()))
+    found = store.saved(_candidates(_hits(documents, wanted), seeds, items), "candidates")
+    return documents.join(found, "key").select("doc_id", "text", "found").mapInArrow(
+        _aligned(likeness), "doc_id long, item_id long, score double, first_word long, last_word long")
