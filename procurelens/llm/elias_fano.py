@@ -33,6 +33,7 @@ BLOCK_IDS = 1 << 17
 SAMPLE = 64
 HEADER = struct.Struct("<4sBBHIII")  # mark, bytes of an id, l, version, documents, ids, bytes of the high bits
 MARK = b"EFTK"
+BITS_SET = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.int64)  # of each byte
 SCHEMA = "part int, block int, before long, n_ids long, doc_ids array<bigint>, payload binary"
 
 
@@ -64,22 +65,21 @@ class Boundaries(NamedTuple):
             out |= (self.low[bit >> 3] >> (7 - (bit & 7)) & 1).astype(np.int64) << shift
         return out
 
-    def select(self, i: int) -> int:
-        """The i-th number, from the nearest sample on."""
-        place = int(self.samples[i // SAMPLE])
-        missing, byte = i % SAMPLE, place >> 3
-        bits = np.unpackbits(self.high[byte:byte + 1])
-        bits[:place & 7] = 0
-        while (here := int(bits.sum())) <= missing:
-            missing, byte = missing - here, byte + 1
-            bits = np.unpackbits(self.high[byte:byte + 1])
-        place = byte * 8 + int(np.flatnonzero(bits)[missing])
-        return ((place - i) << self.low_bits) | int(self._low(np.array([i]))[0])
-
-    def all(self) -> np.ndarray:
-        places = np.flatnonzero(np.unpackbits(self.high))[:self.count]
-        index = np.arange(self.count)
-        return ((places - index) << self.low_bits) | self._low(index)
+    def select(self, index: np.ndarray) -> np.ndarray:
+        """The numbers at ``index``, each from its nearest sample on, byte by byte."""
+        index = np.asarray(index, np.int64)
+        place = self.samples[index // SAMPLE].astype(np.int64)
+        missing, byte = index % SAMPLE, place >> 3
+        value = self.high[byte] & (0xFF >> (place & 7)).astype(np.uint8)
+        going = np.flatnonzero(BITS_SET[value] <= missing)
+        while len(going):
+            missing[going] -= BITS_SET[value[going]]
+            byte[going] += 1
+            value[going] = self.high[byte[going]]
+            going = going[BITS_SET[value[going]] <= missing[going]]
+        passed = np.cumsum(np.unpackbits(value[:, None], axis=1), axis=1, dtype=np.int64) <= missing[:, None]
+        place = byte * 8 + passed.sum(axis=1)
+        return ((place - index) << self.low_bits) | self._low(index)
 
 
 def pack(ids: np.ndarray, ends: np.ndarray, width: int) -> bytes:
@@ -216,10 +216,19 @@ def write_tokens(documents: DataFrame, path: str, definition: str, end_id: int)
      .mapInArrow(run, SCHEMA).write.parquet(path))
 
 
-def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
+def _places(table: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The blocks that hold ``wanted`` documents, with their places there. Only ids and places are shuffled, and blocks if many."""
+    ids = wanted.select(F.col("doc_id").cast("long")).distinct()
+    places = table.select("part", "block", F.posexplode("doc_ids").alias("place", "doc_id")).join(ids, "doc_id")
+    return table.join(places.groupBy("part", "block").agg(F.sort_array(F.collect_list("place")).alias("places")), ["part", "block"])
+
+
+def read_tokens(spark: SparkSession, path: str, ids: bool = False, wanted: DataFrame | None = None) -> DataFrame:
     """Read blocks: one row ``(doc_id, start, n_tokens, ids_crc32)`` for each document, and its ``ids`` if asked.
 
-    ``start`` counts the ids of all documents before it; the CRC is over little-endian 32-bit ids.
+    ``start`` counts the ids of all documents before it; the CRC is over little-endian 32-bit ids. Where a document
+    starts and ends is selected from its block's boundaries. With ``wanted(doc_id)`` only documents of these ids are
+    read (all rows of a repeated id; null finds none), and boundaries of no others.
     """
     table = spark.read.schema(SCHEMA).parquet(path)
     totals = {r["part"]: r["n"] for r in table.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()}  # a row a task
@@ -227,23 +236,25 @@ def read_tokens(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
     for part in sorted(totals):
         base[part] = so_far
         so_far += totals[part]
+    table = table.withColumn("places", F.lit(None).cast("array<int>")) if wanted is None else _places(table, wanted)
 
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i] for n in ("part", "before", "doc_ids", "payload")}
+                row = {n: batch.column(n)[i] for n in ("part", "before", "doc_ids", "payload", "places")}
                 block, bounds = unpack(row["payload"].as_py())
-                ends = bounds.all()
-                starts = np.concatenate([[0], ends[:-1]])
+                places = row["places"].values.to_numpy() if row["places"].is_valid else np.arange(bounds.count)
+                ends = bounds.select(places)
+                starts = np.zeros(len(places), np.int64)
+                starts[places > 0] = bounds.select(places[places > 0] - 1)
                 first = base[row["part"].as_py()] + row["before"].as_py()
-                wide = block.astype("<u4")
-                raw = memoryview(wide.tobytes())
-                sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                columns = [row["doc_ids"].values, pa.array(first + starts), pa.array(ends - starts),
-                           pa.array(sums, pa.int64())]
+                parts = [block[a:b].astype("<u4") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+                columns = [row["doc_ids"].values.take(pa.array(places)), pa.array(first + starts), pa.array(ends - starts),
+                           pa.array([zlib.crc32(p) for p in parts], pa.int64())]
                 if ids:
-                    columns.append(pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(wide.view(np.int32))))
+                    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+                    flat = np.concatenate([*parts, np.zeros(0, "<u4")])
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(
                     columns, names=["doc_id", "start", "n_tokens", "ids_crc32", *["ids"] * ids])
 

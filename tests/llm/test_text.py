@@ -15,9 +15,11 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from procurelens.llm import (decontaminate, elias_fano, license_scan, mil_quality, one_permutation, queries, sp_viterbi, store)
+from procurelens.llm.wordhash import LETTERS, ngrams, split_words
 
 ODD = st.text(st.sampled_from(list("abcXYZ éÉßÀ'.,!|<>\n\t\r ̣́ΣςİıÅ中文ªº01☃😀\x1c\x1f\x85▁")), max_size=60)
 
@@ -51,8 +53,9 @@ def test_word_encoder_equals_the_tokenizer(definition):
 def test_elias_fano_gives_every_number_back(numbers):
     values = np.sort(np.array(numbers, np.int64))
     held = elias_fano.Boundaries.of(values)
-    assert held.all().tolist() == values.tolist()
-    assert [held.select(i) for i in range(len(values))] == values.tolist()
+    assert held.select(np.arange(len(values))).tolist() == values.tolist()
+    some = np.arange(len(values))[::-3]
+    assert held.select(some).tolist() == values[some].tolist()
 
 
 def test_blocks_are_small_and_round_trip():
@@ -60,7 +63,7 @@ def test_blocks_are_small_and_round_trip():
     raw = elias_fano.pack(ids, ends, 2)
     assert len(raw) < 2 * len(ids) + len(ends) * 9 / 8 + 4 * len(ends) / 64 + 60
     back, bounds = elias_fano.unpack(raw)
-    assert back.tolist() == ids.tolist() and bounds.all().tolist() == ends.tolist()
+    assert back.tolist() == ids.tolist() and bounds.select(np.arange(len(ends))).tolist() == ends.tolist()
 
 
 def test_token_files(spark, documents, definition, monkeypatch):
@@ -77,6 +80,9 @@ def test_token_files(spark, documents, definition, monkeypatch):
         start += len(encoded)
     got = elias_fano.read_tokens(spark, path, ids=True).orderBy("start").collect()
     assert [tuple(r) for r in got] == want
+    some = spark.createDataFrame([(4,), (2,), (2,), (77,), (None,)], "doc_id long")
+    got = elias_fano.read_tokens(spark, path, ids=True, wanted=some).orderBy("start").collect()
+    assert [tuple(r) for r in got] == [w for w in want if w[0] in (2, 4)]
     path = store.new_path(spark, "tokens")
     elias_fano.write_tokens(documents([]), path, definition, 2)
     assert elias_fano.read_tokens(spark, path).collect() == []
@@ -189,8 +195,11 @@ def test_alignment_equals_the_plain_table(a, b):
     assert decontaminate.align(np.array(a), np.array(b))[0] == pytest.approx(plain_align(a, b))
 
 
-def test_leaks_equal_the_alignment_of_every_item_with_every_document(spark, documents, monkeypatch):
-    monkeypatch.setattr(decontaminate, "HELD", 50)
+@pytest.mark.parametrize("bits", [None, 7])
+def test_leaks_equal_the_alignment_of_every_item_with_every_document(spark, documents, monkeypatch, bits):
+    if bits:  # bitmaps so full that nearly all grams go on to the join
+        monkeypatch.setattr(decontaminate, "MIN_BITS", bits)
+        monkeypatch.setattr(decontaminate, "MAX_BITS", bits)
     rng = random.Random(3)
     common, rare = [f"c{i}" for i in range(12)], [f"r{i}" for i in range(300)]
     word = lambda: rng.choice(common if rng.random() < 0.4 else rare)
@@ -219,6 +228,45 @@ def test_leaks_equal_the_alignment_of_every_item_with_every_document(spark, docu
     assert len(got[3, 2]) == len(got[4, 3]) == 2
 
 
+def test_seeds_are_pairs_of_words_joined_to_the_corpus(spark, documents):
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(20)]
+    item = rng.choices(common, k=30)
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    corpus = documents([" ".join(rng.choices(common, k=400)) for _ in range(5)] + [" ".join(item)]).select(
+        "text", F.unhex(F.md5("text")).alias("key"))
+    items = decontaminate._items(benchmark)
+    grams = decontaminate._grams(items)
+    words = split_words(pa.array([" ".join(item)]), LETTERS).hashes()
+    assert grams.count() == 59 and {r["gram"] for r in grams.collect()} >= set(words.view(np.int64).tolist())
+    wanted = spark.sparkContext.broadcast(decontaminate._Bitmap.of(grams))
+    counts = {r["gram"]: r["times"] for r in decontaminate._counts(corpus, wanted).collect()}
+    assert counts[None] == 2030 and sum(counts.get(g, 0) for g in set(words.view(np.int64).tolist())) <= 2030
+    times = spark.createDataFrame([(g, n) for g, n in counts.items() if g is not None], "gram long, times long")
+    seeds = decontaminate._seeds(grams, times, 2030, 0.5).collect()
+    pairs = set(ngrams(words, 2).view(np.int64).tolist())
+    assert sum(r["gram"] in pairs for r in seeds) > len(seeds) / 2  # words are common here, pairs are rare
+    found = decontaminate._candidates(decontaminate._hits(corpus, wanted), spark.createDataFrame(
+        seeds, "gram long, item_id long, needed int, span int"), items).collect()
+    assert any(f["item_id"] == 1 for r in found for f in r["found"])
+
+
+def test_leaks_of_repeated_and_long_texts(spark, documents):
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(3000)}"
+    items = [[word() for _ in range(n)] for n in (1, 2, 30)]
+    benchmark = spark.createDataFrame([(i, " ".join(item), "x") for i, item in enumerate(items)],
+                                      "item_id long, text string, doc_id string")
+    long = [word() for _ in range(60_000)]
+    long[40_000:40_030] = items[2]
+    texts = [" ".join(long), " ".join(items[2]), " ".join(items[2]), items[0][0], "none"]
+    got = decontaminate.leaks(documents(texts, [5, 6, 6, None, 8]), benchmark)
+    rows = Counter((r["doc_id"], r["item_id"]) for r in got.collect())
+    assert rows[6, 2] == 2 and rows[None, 0] == 1 and rows[5, 2] == 1 and not any(d == 8 for d, _ in rows)
+    assert rows[5, 0] == long.count(items[0][0])
+    assert (40_000, 40_030) in [(r["first_word"], r["last_word"]) for r in got.where("doc_id = 5 and item_id = 2").collect()]
+
+
 def set_of(text):
     words = re.split("[\x20\x09-\x0d]+", text.lower().strip(" \t\n\x0b\x0c\r"))
     if words == [""]:
