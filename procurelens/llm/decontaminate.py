@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import store
-from .wordhash import LETTERS, U, Words, lists, ngrams, signed, slices, split_words
+from .wordhash import LETTERS, U, Words, lists, mix, signed, slices, split_words
 
 COST, LIKENESS = 0.5, 0.5
 #: Only for speed: what a place costs next to one seed found in the corpus.
@@ -60,9 +60,14 @@ class _Bitmap(NamedTuple):
         return (self.words[(cell >> U(6)).astype(np.int64)] >> (cell & U(63)) & U(1)).astype(bool)
 
 
+def pair_hashes(hashes: np.ndarray) -> np.ndarray:
+    """A hash of every two words in a row; only places to align hang on it, so that a collision costs time and no result."""
+    return mix(hashes[:-1] * U(0x9E3779B97F4A7C15) + hashes[1:])
+
+
 def _pairs(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all pairs of neighbouring words of one text, and the place of their first word."""
-    pairs = ngrams(hashes, 2)
+    pairs = pair_hashes(hashes)
     inside = np.ones(len(pairs), bool)
     border = words.offsets[1:-1]
     inside[border[(border > 0) & (border < len(hashes))] - 1] = False
@@ -97,7 +102,7 @@ def _grams(items: DataFrame) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 words = _words(batch.column("words"), row)
-                grams = signed(np.concatenate([words, ngrams(words, 2)]))
+                grams = signed(np.concatenate([words, pair_hashes(words)]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.repeat(batch.column("item_id")[row], len(grams)), pa.repeat(pa.scalar(len(words)), len(grams)), pa.array(grams)],
                     names=["item_id", "size", "gram"])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from procurelens.llm import (decontaminate, elias_fano, license_scan, mil_quality, one_permutation, queries, sp_viterbi, store)
-from procurelens.llm.wordhash import LETTERS, ngrams, split_words
+from procurelens.llm.wordhash import LETTERS, split_words
 
 ODD = st.text(st.sampled_from(list("abcXYZ éÉßÀ'.,!|<>\n\t\r ̣́ΣςİıÅ中文ªº01☃😀\x1c\x1f\x85▁")), max_size=60)
 
@@ -244,7 +244,7 @@ def test_seeds_are_pairs_of_words_joined_to_the_corpus(spark, documents):
     assert counts[None] == 2030 and sum(counts.get(g, 0) for g in set(words.view(np.int64).tolist())) <= 2030
     times = spark.createDataFrame([(g, n) for g, n in counts.items() if g is not None], "gram long, times long")
     seeds = decontaminate._seeds(grams, times, 2030, 0.5).collect()
-    pairs = set(ngrams(words, 2).view(np.int64).tolist())
+    pairs = set(decontaminate.pair_hashes(words).view(np.int64).tolist())
     assert sum(r["gram"] in pairs for r in seeds) > len(seeds) / 2  # words are common here, pairs are rare
     found = decontaminate._candidates(decontaminate._hits(corpus, wanted), spark.createDataFrame(
         seeds, "gram long, item_id long, needed int, span int"), items).collect()
