@@ -7,7 +7,7 @@ enough lines per product; elsewhere a product is a part.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from pyspark.sql.types import DateType, DecimalType, IntegerType
 
 from .params import OpportunityParams
 from .plans import (
+    cleaned,
     cleaning,
     delivery,
     forecast,
@@ -31,10 +32,18 @@ from .sources import tables
 from .sources.model import ProcurementModel
 from .sources.schemas import PAIRS_EXPORT
 
-Query = Callable[[SparkSession, str], DataFrame]
+Query = Callable[..., DataFrame]
 EXPECTED, DEPARTMENT = "expected_delivery_date", "department_id"
 OPPORTUNITY = OpportunityParams(as_of=source.REPORT_DATE)
 COMPARED_YEARS = (1999, 2000)
+#: Analytics that are also registered over the cleaned lines, where defects are left to meet.
+ON_CLEANED = (
+    "spend_readiness", "spend_kpis", "spend_yoy", "spend_by_category", "spend_by_department", "spend_reconciliation",
+    "spend_reconciliation_check", "spend_completed_vs_open", "spend_status_lines_by_month",
+    "vendor_spend_ranking", "vendor_top3_by_category", "delivery_readiness", "delivery_overall", "vendor_delivery_scorecard",
+    "open_aging", "open_overdue_by_vendor", "price_coverage", "ppv_overall", "ppv_by_vendor", "price_volume_effect",
+    "opp_summary", "opp_scorecard", "opp_scenarios", "fc_monthly_series", "fc_final",
+)
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -53,7 +62,7 @@ def present(df: DataFrame) -> DataFrame:
 
 def _on_model(plan: Callable[[ProcurementModel], DataFrame], grain: str = "part",
               need: tuple[str, ...] = ()) -> Query:
-    return lambda spark, folder: plan(source.procurement_model(spark, folder, grain, need))
+    return lambda spark, folder, model_of=source.procurement_model: plan(model_of(spark, folder, grain, need))
 
 
 def _on_staging(plan: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
@@ -63,27 +72,28 @@ def _on_staging(plan: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
 
 
 def _on_prices(plan: Callable[..., DataFrame], with_model: bool = False) -> Query:
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        model = source.procurement_model(spark, folder, "brand")
+    def run(spark: SparkSession, folder: str, model_of=source.procurement_model) -> DataFrame:
+        model = model_of(spark, folder, "brand")
         base = pricing.PriceBase.build(model)
         return plan(base, model) if with_model else plan(base)
 
     return run
 
 
-def _opportunity_base(spark: SparkSession, folder: str) -> opportunity.OpportunityBase:
-    model = source.procurement_model(spark, folder, "brand", (EXPECTED,))
+def _opportunity_base(spark: SparkSession, folder: str,
+                      model_of=source.procurement_model) -> opportunity.OpportunityBase:
+    model = model_of(spark, folder, "brand", (EXPECTED,))
     return opportunity.OpportunityBase.build(model, OPPORTUNITY)
 
 
 def _on_opportunity(plan: Callable[[opportunity.OpportunityBase], DataFrame]) -> Query:
-    return lambda spark, folder: plan(_opportunity_base(spark, folder))
+    return lambda spark, folder, *model_of: plan(_opportunity_base(spark, folder, *model_of))
 
 
 def _on_exports(plan: Callable[..., DataFrame]) -> Query:
     """Plans that start from the two exported tables."""
-    def run(spark: SparkSession, folder: str) -> DataFrame:
-        base = _opportunity_base(spark, folder)
+    def run(spark: SparkSession, folder: str, *model_of) -> DataFrame:
+        base = _opportunity_base(spark, folder, *model_of)
         pairs = tables.kept_set(opportunity.export_pairs(base), "export-pairs")
         vendors = tables.kept_set(opportunity.export_scorecard(base), "export-vendors")
         return plan(base, pairs, vendors)
@@ -92,19 +102,30 @@ def _on_exports(plan: Callable[..., DataFrame]) -> Query:
 
 
 def _on_series(plan: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, folder: plan(
-        forecast.monthly_series(source.procurement_model(spark, folder)))
+    return lambda spark, folder, model_of=source.procurement_model: plan(
+        forecast.monthly_series(model_of(spark, folder)))
 
 
 def _on_forecast(plan: Callable[[forecast.ForecastBase], DataFrame]) -> Query:
-    return lambda spark, folder: plan(
-        forecast.ForecastBase.build(source.procurement_model(spark, folder)))
+    return lambda spark, folder, model_of=source.procurement_model: plan(
+        forecast.ForecastBase.build(model_of(spark, folder)))
+
+
+def cleaned_model(spark: SparkSession, folder: str, grain: str = "part",
+                  need: Iterable[str] = ()) -> ProcurementModel:
+    """Staging with its defects, cleaned: the same model as ``source.procurement_model``, whatever is needed of it."""
+    def dimension(name: str):
+        return lambda: _staged_dimensions(spark, folder, grain)[name]
+
+    return cleaned.model_from_staging(
+        fact=lambda: source.staging_lines(spark, folder, grain=grain),
+        **{name: dimension(name) for name in ("vendors", "products", "departments", "calendar")})
 
 
-def _staged_dimensions(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _staged_dimensions(spark: SparkSession, folder: str, grain: str = "part") -> dict[str, DataFrame]:
     return {
         "vendors": source.staging_dimension(source.vendors(spark, folder)),
-        "products": source.staging_dimension(source.products(spark, folder)),
+        "products": source.staging_dimension(source.products(spark, folder, grain)),
         "departments": source.staging_dimension(source.departments(spark, folder)),
         "calendar": source.staging_dimension(source.calendar(spark, folder)),
     }
@@ -367,8 +388,9 @@ def all_queries() -> dict[str, Query]:
         "fc_select_method": _on_forecast(forecast.select_method),
         "fc_band_coverage": _on_forecast(forecast.band_coverage),
     }
-    return {name: _presented(query) for name, query in raw.items()}
+    return {name: _presented(query) for name, query in raw.items()} | {
+        f"cleaned_{name}": _presented(raw[name], cleaned_model) for name in ON_CLEANED}
 
 
-def _presented(query: Query) -> Query:
-    return lambda spark, folder: present(query(spark, folder))
+def _presented(query: Query, *model_of) -> Query:
+    return lambda spark, folder: present(query(spark, folder, *model_of))

@@ -208,7 +208,7 @@ STATUS_VARIANTS = {
 
 
 def staging_lines(spark: SparkSession, folder: str,
-                  columns: Sequence[str] = PURCHASE_ORDERS.names) -> DataFrame:
+                  columns: Sequence[str] = PURCHASE_ORDERS.names, grain: str = "part") -> DataFrame:
     """PO lines as untyped text, with defects at fixed order keys.
 
     The whole table passes through; the arithmetic only decides which lines get
@@ -216,7 +216,7 @@ def staging_lines(spark: SparkSession, folder: str,
     ``columns`` come from are opened.
     """
     joined = {"expected_delivery_date", "department_id"} & set(columns)
-    fact = purchase_orders(spark, folder, "part", ("order_key", *joined),
+    fact = purchase_orders(spark, folder, grain, ("order_key", *joined),
                            header=not set(columns).isdisjoint(HEADER_COLUMNS))
     fact = _all_cores(fact, "po_line_id")
     key = F.col("order_key")
