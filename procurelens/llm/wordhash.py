@@ -7,6 +7,7 @@ word hashes. All functions run inside Arrow batches of Spark tasks.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -153,9 +154,25 @@ def shingle_sets(words: Words, size: int = 5) -> Iterator[np.ndarray]:
             yield np.zeros(0, U)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker goes on to other tasks and stages, or waits beside those that do."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each holds at most ``limit`` bytes of text, or one row."""
+    """Cut batches so that each holds at most ``limit`` bytes of text, or one row. Memory is given back before and after."""
+    give_back()
+    try:
+        yield from _sliced(batches, column, limit)
+    finally:
+        give_back()
+
+
+def _sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         total = np.concatenate([[0], np.cumsum(sizes.astype(np.int64))])
