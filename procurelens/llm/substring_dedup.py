@@ -30,6 +30,8 @@ from .wordhash import EXACT, U, mix, ngrams, signed, slices, split_words
 #: Cells per anchor; bytes of text per word and words per anchor only size the sketch.
 CELLS, BYTES_PER_WORD = 12, 6
 #: Windows that a task settles at a time, and bytes of text for each group of hashes.
+#: Bytes of text that a task takes at a time: two hashes of every window are held for them.
+SLICE = 1 << 19
 SHARE, GROUP_BYTES = 600_000, 32 << 20
 
 
@@ -63,7 +65,7 @@ def _anchors(hashes: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.nda
 
 def _anchor_items(size: int):
     def items(batch):
-        for part in slices([batch]):
+        for part in slices([batch], limit=SLICE):
             words = split_words(part.column("text"), EXACT)
             if len(words.starts) >= size:
                 yield _anchors(words.hashes(), words.offsets, size)[2]
@@ -147,7 +149,7 @@ def _suspects(size: int, bits: int, seen):
 
     def run(batches):
         known, share = seen.value, _Share()
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             words = split_words(part.column("text"), EXACT)
             if len(words.starts) < size:
                 continue
@@ -226,7 +228,7 @@ def _text_keys(words) -> np.ndarray:
 def _keep(size: int):
     """Cut the words that windows at ``found`` cover."""
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE):
             texts, found = part.column("text").to_pylist(), part.column("found").to_pylist()
             totals, removed, kept_texts, digests = [], [], [], []
             for text, starts in zip(texts, found, strict=True):
@@ -254,7 +256,7 @@ def _keep(size: int):
 
 
 def _keys(batches):
-    for part in slices(batches):
+    for part in slices(batches, limit=SLICE):
         keys = signed(_text_keys(split_words(part.column("text"), EXACT)))
         yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys)], names=[*part.schema.names, "text_key"])
 
