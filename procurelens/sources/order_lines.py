@@ -47,14 +47,15 @@ def open_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _all_cores(df: DataFrame, *keys: str) -> DataFrame:
-    """``df``, dealt out by ``keys`` if its scan has fewer tasks than there are cores.
+def _all_cores(df: DataFrame, scan: DataFrame, *keys: str) -> DataFrame:
+    """``df``, dealt out by ``keys`` if ``scan``, which it comes from, has fewer tasks than there are cores.
 
     For work that is heavy per row: a file with one row group is one task however many
-    cores wait. A large table has enough splits and is returned as it is.
+    cores wait. A large table has enough splits and ``df`` is returned as it is. Only the bare scan is
+    asked: to count the partitions of ``df`` itself, adaptive execution would run its joins.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+    return df if scan.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 # Columns of a line that come from its header, directly or through it.
@@ -64,7 +65,7 @@ HEADER_COLUMNS = ("order_date", "expected_delivery_date", "actual_delivery_date"
 
 def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
                     need: Iterable[str] = (), statuses: Sequence[str] = (),
-                    header: bool = True) -> DataFrame:
+                    header: bool = True, by_po: bool = False) -> DataFrame:
     """PO lines. ``grain`` picks the product key: ``part`` or ``brand``.
 
     Without ``header`` the columns of ``HEADER_COLUMNS`` are left out and no header is joined.
@@ -73,7 +74,11 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
 
     ``expected_delivery_date`` (needs the part table), ``department_id`` (needs
     the customer table) and the numeric ``order_key`` exist only when listed in
-    ``need``, so a query that ignores them does not pay for those joins.
+    ``need``, so a query that ignores them does not pay for those joins. Customers are joined
+    to the headers, which are fewer than the lines.
+
+    ``by_po`` is for work that groups whole lines: the header is joined last and by ``po_id`` itself. Where that
+    join exchanges its sides, the lines come out dealt by a column they are grouped by and are not exchanged again.
     """
     need = set(need)
     orders = open_table(spark, folder, "orders").select(
@@ -82,27 +87,32 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
     if statuses:
         codes = [code for code, name in ORDER_STATUS.items() if name in statuses]
         orders, how = orders.where(F.col("o_orderstatus").isin(codes)), "inner"
-    lines = open_table(spark, folder, "lineitem")
-    if header:
+    if "department_id" in need:
+        customer = open_table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
+        orders = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+
+    # whole cents and units, so the price is rounded half up without decimal division
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    units = F.col("l_quantity").cast("long")
+    lines = open_table(spark, folder, "lineitem").withColumns({
+        "_units": units, "_cents": cents, "_shipped": F.col("l_shipdate").cast("date")}).withColumn(
+        "_price", F.expr("(2 * _cents + _units) div nullif(2 * _units, 0)"))
+    if header and not by_po:
         lines = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), how)
     if grain == "brand" or "expected_delivery_date" in need:
         part = open_table(spark, folder, "part").select("p_partkey", "p_brand", "p_size")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    if "department_id" in need:
-        customer = open_table(spark, folder, "customer").select("c_custkey", "c_mktsegment")
-        lines = lines.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
+    lines = lines.withColumn("po_id", F.col("l_orderkey").cast("string"))
+    if header and by_po:
+        named_po = orders.withColumn("_po", F.col("o_orderkey").cast("string"))
+        lines = lines.join(named_po, F.col("po_id") == F.col("_po"), how)
 
     status = F.col("o_orderstatus")
     named = F.when(status == "F", ORDER_STATUS["F"]).when(status == "O", ORDER_STATUS["O"]).when(
         status == "P", ORDER_STATUS["P"])
-    # whole cents and units, so the price is rounded half up without decimal division
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    units = F.col("l_quantity").cast("long")
-    lines = lines.withColumns({"_units": units, "_cents": cents}).withColumn(
-        "_price", F.expr("(2 * _cents + _units) div nullif(2 * _units, 0)"))
     columns = {
         "po_line_id": (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string"),
-        "po_id": F.col("l_orderkey").cast("string"),
+        "po_id": F.col("po_id"),
         "vendor_id": F.col("l_suppkey").cast("string"),
         "product_id": (F.col("p_brand") if grain == "brand"
                        else F.col("l_partkey").cast("string")),
@@ -114,7 +124,7 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
     if header:
         columns |= {
             "order_date": F.col("od"),
-            "actual_delivery_date": F.when(status == "F", F.col("l_shipdate").cast("date")),
+            "actual_delivery_date": F.when(status == "F", F.col("_shipped")),
             "po_status": named}
     if "expected_delivery_date" in need:
         columns["expected_delivery_date"] = F.date_add(
@@ -217,8 +227,8 @@ def staging_lines(spark: SparkSession, folder: str,
     """
     joined = {"expected_delivery_date", "department_id"} & set(columns)
     fact = purchase_orders(spark, folder, grain, ("order_key", *joined),
-                           header=not set(columns).isdisjoint(HEADER_COLUMNS))
-    fact = _all_cores(fact, "po_line_id")
+                           header=not set(columns).isdisjoint(HEADER_COLUMNS), by_po=True)
+    fact = _all_cores(fact, open_table(spark, folder, "lineitem"), "po_line_id")
     key = F.col("order_key")
 
     def hit(divisor: int):
