@@ -15,7 +15,7 @@ from ..sources.model import ProcurementModel
 from ..sources.schemas import PURCHASE_ORDERS
 
 LINE_COLUMNS = tuple(PURCHASE_ORDERS.names)
-LINE_ID = "po_line_id"
+LINE_ID, PO_ID = "po_line_id", "po_id"
 DATE_COLUMNS = ("order_date", "expected_delivery_date", "actual_delivery_date")
 # foreign key -> dimension attribute of the model
 FOREIGN_KEYS = {"vendor_id": "vendors", "product_id": "products",
@@ -72,10 +72,18 @@ def id_collisions(staging: DataFrame, key: str = LINE_ID,
     """Line ids that stand on rows which are not copies of each other.
 
     Blank and NULL count as the same version.
+
+    Rows are grouped by the plain PO id first, as staging is dealt by it; what goes on of a group is its key and its
+    copies. Each group is a version, but groups without a PO id (NULL or blank), which are compared as a whole.
     """
-    version = F.struct(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns if c != key])
-    return (staging.groupBy(key)
-            .agg(_rows("row_count"), F.count_distinct(version).alias("distinct_versions"))
+    blank = {c: F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns if c != key}
+    version = F.struct(*blank.values())
+    own = [c for c in (PO_ID,) if c in blank]
+    groups = staging.groupBy(key, *own, *[v for c, v in blank.items() if c not in own]).agg(_rows("_copies"))
+    unsure = F.coalesce(F.col(PO_ID), F.lit("")) == "" if own else F.lit(False)
+    return (groups.groupBy(key)
+            .agg(F.sum("_copies").alias("row_count"),
+                 (F.count_if(~unsure) + F.count_distinct(F.when(unsure, version))).alias("distinct_versions"))
             .where(F.col("distinct_versions") > 1))
 
 
