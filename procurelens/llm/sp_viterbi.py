@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from .parts import PartMemory
-from .wordhash import mix, slices
+from .wordhash import give_back, mix, slices
 
 MARK = "▁"
 #: Stands for a piece mark that the text itself has; no valid text holds it.
@@ -32,6 +32,10 @@ LITERAL = "\udc81"
 JOIN = "\x1f"
 #: Cost of a byte piece below the worst score of a real piece.
 BYTE_COST = 10.0
+#: Text encoded at a time: ids, their places and the decoded bytes of a slice take about 40 times as much.
+SLICE_BYTES = 512 << 10
+#: Parts a worker remembers, about 150 bytes each.
+PARTS = 200_000
 
 
 class Pieces:
@@ -115,7 +119,7 @@ class Search:
     Substrings are looked up by a 64-bit hash in an open table that is checked, when built, to hold every piece apart.
     """
 
-    WIDTH, SLOT_BITS = 32, 20
+    WIDTH, SLOT_BITS, AT_ONCE = 32, 20, 1 << 13
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
@@ -161,8 +165,8 @@ class Search:
         for i, p in enumerate(parts):
             if i not in done and p:
                 out[i] = [x for part in self.pieces.stream(p) for x in part]
-        for first in range(0, len(short), 1 << 16):
-            chosen = sorted(short[first:first + (1 << 16)], key=lambda i: -len(parts[i]))
+        for first in range(0, len(short), self.AT_ONCE):
+            chosen = sorted(short[first:first + self.AT_ONCE], key=lambda i: -len(parts[i]))
             for i, ids in zip(chosen, self._many([parts[i] for i in chosen]), strict=True):
                 out[i] = ids
         return out
@@ -203,7 +207,7 @@ class Encoder:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.memory = PartMemory(Search(pieces))
+        self.memory = PartMemory(Search(pieces), PARTS)
         self.pairs = pa.array(sorted(p for p in pieces.pairs if p.isprintable()))
         lengths = [len(r) for r in pieces.raw]
         self.raw = np.frombuffer(b"".join(pieces.raw), np.uint8)
@@ -296,7 +300,7 @@ def encode_pieces(documents: DataFrame, pieces: Pieces) -> DataFrame:
 
     def run(batches):
         encoder = _encoder(sent.value)
-        for part in slices(batches):
+        for part in slices(batches, limit=SLICE_BYTES):
             texts = pc.fill_null(part.column("text"), "")
             ids, ends = encoder.encode(texts)
             back = encoder.decode(ids, ends)
@@ -307,6 +311,7 @@ def encode_pieces(documents: DataFrame, pieces: Pieces) -> DataFrame:
                  pa.array(np.diff(offsets), pa.int32()), pa.array(_sums(ids, ends), pa.int64()),
                  pc.equal(back, texts.cast(pa.large_string()))], names=[*names, *new])
         encoder.memory.clear()  # the worker goes on to other work
+        give_back()
 
     kinds = (ArrayType(IntegerType()), IntegerType(), LongType(), BooleanType())
     rest = documents.select([*[f"`{n}`" for n in names], "text"])
