@@ -13,6 +13,9 @@ from ..sources.tables import shared_folder
 
 _shipped: set[str] = set()
 _known: set[str] = set()
+#: Bytes of rows that Spark hands to a Python worker at a time, where the session keeps the default. A batch lies off the heap in
+#: the executor and once more in the worker, and what an executor has taken for one it hardly returns.
+BATCH, BATCH_BYTES, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20, 64 << 20
 
 
 def _folder(spark: SparkSession) -> str:
@@ -57,7 +60,9 @@ def drop_all(spark: SparkSession) -> None:
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this library importable in Python workers: their environment may differ from the driver's."""
+    """Make this library importable in Python workers: their environment may differ from the driver's. Batches become small."""
+    if int(spark.conf.get(BATCH).rstrip("b")) == BATCH_DEFAULT:
+        spark.conf.set(BATCH, BATCH_BYTES)
     root = Path(__file__).resolve().parents[2]
     context = spark.sparkContext
     if context.applicationId in _shipped:
