@@ -18,9 +18,16 @@ def read_staging(spark: SparkSession, path: str, columns: list[str], sep: str =
     return spark.read.schema(all_text(columns)).option("header", True).option("sep", sep).csv(path)
 
 
+# How files are packed. Text repeats itself, and readers unpack both by themselves.
+CSV_PACKED, PARQUET_PACKED = "gzip", "zstd"
+
+
 def write_staging(df: DataFrame, path: str) -> None:
-    """Write a text table as CSV, keeping the blanks that staging data may carry."""
-    (df.write.mode("overwrite").option("header", True)
+    """Write a text table as packed CSV, keeping the blanks that staging data may carry.
+
+    A packed file is read by one task: there are as many files as ``df`` has tasks.
+    """
+    (df.write.mode("overwrite").option("header", True).option("compression", CSV_PACKED)
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
@@ -33,9 +40,9 @@ def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> No
     of tiny files nor one huge task result.
     """
     if partition_by is None:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", PARQUET_PACKED).parquet(path)
     else:
-        (df.hint("rebalance", partition_by).write.mode("overwrite")
+        (df.hint("rebalance", partition_by).write.mode("overwrite").option("compression", PARQUET_PACKED)
          .partitionBy(partition_by).parquet(path))
 
 
@@ -168,5 +175,5 @@ def working_set(df: DataFrame, name: str) -> DataFrame:
 def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = working_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", PARQUET_PACKED).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path

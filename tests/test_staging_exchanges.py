@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from procurelens.plans import cleaning, quality
-from procurelens.sources import order_lines
+from procurelens.sources import order_lines, tables
 from tests.conftest import SMALLEST
 
 LARGE = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1"}
@@ -49,6 +49,19 @@ def test_whole_lines_are_not_exchanged_for_collisions(spark, large):
     assert len(found) == 8 and not any("vendor_id" in k and "po_id" in k.split(", ")[0] for k in found)
 
 
+def test_files_of_staging_and_of_tables_are_packed(spark, tmp_path):
+    staged = spark.createDataFrame([(" a", ""), ("b ", None), (None, "\"x,\""), ("x", " ")], "p string, q string").repartition(2)
+    tables.write_staging(staged, str(tmp_path / "csv"))
+    tables.write_table(staged, str(tmp_path / "plain"))
+    tables.write_table(staged, str(tmp_path / "parts"), "q")
+    written = [f.name for f in tmp_path.rglob("part-*")]
+    assert len(written) >= 4 and all(name.endswith((".csv.gz", ".zstd.parquet")) for name in written)
+    back = tables.read_staging(spark, str(tmp_path / "csv"), staged.columns)
+    assert sorted(map(repr, back.collect())) == sorted(
+        map(repr, staged.replace("", None).collect()))
+    assert all(f.endswith(".zstd.parquet") for f in tables.working_set(staged, "packed").inputFiles())
+
+
 def test_large_and_small_plans_agree(spark):
     small = order_lines.staging_lines(spark, SMALLEST)
     ways = [cleaning.clean_fact, cleaning.deduplicate, quality.exact_duplicates, quality.id_collisions]
