@@ -105,7 +105,9 @@ def purchase_orders(spark: SparkSession, folder: str, grain: str = "part",
     lines = lines.withColumn("po_id", F.col("l_orderkey").cast("string"))
     if header and by_po:
         named_po = orders.withColumn("_po", F.col("o_orderkey").cast("string"))
-        lines = lines.join(named_po, F.col("po_id") == F.col("_po"), how)
+        # the number is read back from the text, so that a line is not exchanged with both
+        lines = lines.drop("l_orderkey").join(named_po, F.col("po_id") == F.col("_po"), how).withColumn(
+            "l_orderkey", F.col("po_id").cast("bigint"))
 
     status = F.col("o_orderstatus")
     named = F.when(status == "F", ORDER_STATUS["F"]).when(status == "O", ORDER_STATUS["O"]).when(

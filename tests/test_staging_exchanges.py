@@ -49,6 +49,18 @@ def test_whole_lines_are_not_exchanged_for_collisions(spark, large):
     assert len(found) == 8 and not any("vendor_id" in k and "po_id" in k.split(", ")[0] for k in found)
 
 
+def nodes(plan, name):
+    below = [n for i in range(plan.children().size()) for n in nodes(plan.children().apply(i), name)]
+    return [plan, *below] if plan.nodeName() == name else below
+
+
+def test_lines_meet_headers_with_one_form_of_the_order_key(spark, large):
+    plan = order_lines.staging_lines(spark, SMALLEST)._jdf.queryExecution().optimizedPlan()
+    by_po = [join for join in nodes(plan, "Join") if "_po#" in join.condition().toString()]
+    carried = by_po[0].left().output().mkString(",")
+    assert len(by_po) == 1 and "po_id#" in carried and "l_orderkey#" not in carried
+
+
 def test_files_of_staging_and_of_tables_are_packed(spark, tmp_path):
     staged = spark.createDataFrame([(" a", ""), ("b ", None), (None, "\"x,\""), ("x", " ")], "p string, q string").repartition(2)
     tables.write_staging(staged, str(tmp_path / "csv"))
