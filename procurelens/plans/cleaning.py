@@ -61,11 +61,11 @@ def resolve_collisions(df: DataFrame, key: str, score: str) -> DataFrame:
     that a Bloom filter of the faulty ids lets pass are exchanged for the exact test.
     """
     sound, faulty = df.where(F.col(score) == 0), df.where(F.col(score) > 0)
-    payload = [c for c in df.columns if c != score]
+    payload = [c for c in df.columns if c not in (score, key)]  # the key is the group's
     own = F.struct(key).alias("_key")  # never null, so rows without an id meet as well
     best = faulty.groupBy(own).agg(F.min(F.struct(score, *payload)).alias("_best"))
     met = may_be_in(sound.select(own), "_key", bloom_filter(faulty.select(own), "_key"))
-    rescued = best.join(met.distinct(), "_key", "left_anti").select("_best.*")
+    rescued = best.join(met.distinct(), "_key", "left_anti").select("_key.*", "_best.*")
     return sound.unionByName(rescued)
 
 

@@ -61,6 +61,12 @@ def test_lines_meet_headers_with_one_form_of_the_order_key(spark, large):
     assert len(by_po) == 1 and "po_id#" in carried and "l_orderkey#" not in carried
 
 
+def test_faulty_lines_are_exchanged_with_one_copy_of_their_id(spark, large):
+    plan = cleaning.clean_fact(order_lines.staging_lines(spark, SMALLEST))._jdf.queryExecution().optimizedPlan().toString()
+    versions = re.findall(r"min\(struct\(badness_score, (.*?)\)\)", plan)
+    assert versions and not any("po_line_id" in version for version in versions)
+
+
 def test_files_of_staging_and_of_tables_are_packed(spark, tmp_path):
     staged = spark.createDataFrame([(" a", ""), ("b ", None), (None, "\"x,\""), ("x", " ")], "p string, q string").repartition(2)
     tables.write_staging(staged, str(tmp_path / "csv"))
