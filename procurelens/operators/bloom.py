@@ -32,12 +32,27 @@ def bloom_filter(df: DataFrame, key: str) -> DataFrame:
         F.bit_or(bits).alias("bits"))
 
 
+def _looked_up(df: DataFrame, key: str, filter_: DataFrame, which: int, how: str) -> tuple[DataFrame, Column]:
+    """``df`` with the word of its key, and whether the key's bit is set there (NULL: no such word)."""
+    word, bit = _place(key, which)
+    known = F.broadcast(filter_.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    return (df.withColumn("_at", word).join(known, F.col("_at") == F.col("_word"), how),
+            F.getbit(F.col("_bits"), bit) == 1)
+
+
 def may_be_in(df: DataFrame, key: str, filter_: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key may be among those of ``bloom_filter``."""
     out = df
     for i in range(HASHES):
-        word, bit = _place(key, i)
-        known = F.broadcast(filter_.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
-        out = out.withColumn("_at", word).join(known, F.col("_at") == F.col("_word")).where(
-            F.getbit(F.col("_bits"), bit) == 1).select(*df.columns)
+        found, is_set = _looked_up(out, key, filter_, i, "inner")
+        out = found.where(is_set).select(*df.columns)
     return out
+
+
+def mark_may_be_in(df: DataFrame, key: str, filter_: DataFrame, out: str) -> DataFrame:
+    """All rows of ``df``, with a column ``out`` that is true where ``may_be_in`` lets a row pass, else false."""
+    marked = df.withColumn(out, F.lit(True))
+    for i in range(HASHES):
+        found, is_set = _looked_up(marked, key, filter_, i, "left")
+        marked = found.withColumn(out, F.col(out) & F.coalesce(is_set, F.lit(False))).select(*df.columns, out)
+    return marked

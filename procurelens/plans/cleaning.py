@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parsing as p
-from ..operators.bloom import bloom_filter, may_be_in
+from ..operators.bloom import bloom_filter, mark_may_be_in, may_be_in
 from ..operators.joins import unique_rows
 from ..sources.schemas import CALENDAR, DEPARTMENTS, PRODUCTS, PURCHASE_ORDERS, VENDORS
 from .quality import LINE_COLUMNS, LINE_ID
@@ -56,17 +56,24 @@ def resolve_collisions(df: DataFrame, key: str, score: str) -> DataFrame:
     them would be a guess, ``id_collisions`` reports them. If a key has faulty
     rows only, the least faulty one stays (ties: smallest column values).
 
-    Only faulty rows are compared, each id being one record per task before
-    anything is exchanged. Sound rows pass through unshuffled; of their ids only those
-    that a Bloom filter of the faulty ids lets pass are exchanged for the exact test.
+    Of faulty rows the ids are exchanged first, of sound rows only ids that a Bloom filter of
+    these lets pass. They tell which ids are contested: several faulty rows, or a sound one as well. Only
+    faulty rows whose id passes a filter of the contested ones are exchanged whole and compared, each id
+    being one record per task before; all other rows pass through unshuffled.
     """
-    sound, faulty = df.where(F.col(score) == 0), df.where(F.col(score) > 0)
     payload = [c for c in df.columns if c not in (score, key)]  # the key is the group's
-    own = F.struct(key).alias("_key")  # never null, so rows without an id meet as well
-    best = faulty.groupBy(own).agg(F.min(F.struct(score, *payload)).alias("_best"))
-    met = may_be_in(sound.select(own), "_key", bloom_filter(faulty.select(own), "_key"))
-    rescued = best.join(met.distinct(), "_key", "left_anti").select("_key.*", "_best.*")
-    return sound.unionByName(rescued)
+    keyed = df.withColumn("_key", F.struct(key))  # never null, so rows without an id meet as well
+    is_sound, is_faulty = F.col(score) == 0, F.col(score) > 0
+    ids = keyed.where(is_faulty).groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"))
+    any_ = bloom_filter(ids.where("_rows > 0"), "_key")  # with the count, so that both readers of the ids share one exchange
+    met = may_be_in(keyed.where(is_sound).select("_key"), "_key", any_).distinct()
+    contested = ids.join(met.withColumn("_met", F.lit(True)), "_key", "left").where("_rows > 1 or _met")
+    marked = mark_may_be_in(keyed, "_key", bloom_filter(contested, "_key"), "_suspect")
+    settled = marked.where(is_sound | (is_faulty & ~F.col("_suspect"))).select(*df.columns)
+    best = marked.where(is_faulty & F.col("_suspect")).groupBy("_key").agg(
+        F.min(F.struct(score, *payload)).alias("_best"))
+    rescued = best.join(met, "_key", "left_anti").select("_key.*", "_best.*")
+    return settled.unionByName(rescued)
 
 
 def typed_lines(staging: DataFrame) -> DataFrame:

@@ -104,3 +104,37 @@ def test_collisions_without_a_po_id(spark):
     old = staging.fillna("", ["po_id", "vendor_id"]).groupBy("po_line_id").agg(
         F.count(F.lit(1)), F.count_distinct("po_id", "vendor_id").alias("v")).where("v > 1")
     assert {tuple(r) for r in old.collect()} == {tuple(r) for r in found.collect()}
+
+
+SCORED = [("alone", 2, "a"), ("sound", 0, "a"), ("sound", 0, "b"), ("sound", 1, "c"), ("faulty", 2, "a"), ("faulty", 1, "c"),
+          ("faulty", 1, "b"), (None, 1, "a"), (None, 0, "b"), ("", 3, "a"), ("good", 0, None), ("nulls", 1, None), ("nulls", 1, "a")]
+
+
+def test_only_faulty_lines_of_contested_ids_are_exchanged_whole(spark, tmp_path):
+    rows = SCORED + [(f"f{i}", 1, "x" * 50) for i in range(500)] + [(f"s{i}", 0, "y") for i in range(500)]
+    spark.createDataFrame(rows, "k string, score int, v string").repartition(4).write.parquet(str(tmp_path / "scored"))
+    left = cleaning.resolve_collisions(spark.read.parquet(str(tmp_path / "scored")), "k", "score")
+    expected = [("alone", 2, "a"), ("sound", 0, "a"), ("sound", 0, "b"), ("faulty", 1, "b"), (None, 0, "b"), ("", 3, "a"),
+                ("good", 0, None), ("nulls", 1, None), *rows[len(SCORED):]]
+    assert sorted(map(repr, (tuple(r) for r in left.collect()))) == sorted(map(repr, expected))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        left = cleaning.resolve_collisions(spark.read.parquet(str(tmp_path / "scored")), "k", "score")
+        plan = left._jdf.queryExecution().executedPlan()
+        left._jdf.queryExecution().toRdd().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    whole = [n for n in nodes(plan, "Exchange") if "min#" in n.output().mkString(",")]
+    sent = [n.metrics().apply("shuffleRecordsWritten").value() for n in whole]
+    assert len(sent) == 1 and sent[0] < 50, sent  # the 500 faulty lines alone with their id are not among them
+
+
+def test_ids_of_faulty_lines_are_exchanged_once(spark):
+    rows = spark.createDataFrame(SCORED, "k string, score int, v string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = cleaning.resolve_collisions(rows, "k", "score")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    own = [text for text in plan.splitlines() if "Exchange hashpartitioning(_key" in text and "ReusedExchange" not in text]
+    assert len(own) == 3, plan  # faulty ids, sound ids, rows of contested ids
