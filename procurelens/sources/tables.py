@@ -35,15 +35,12 @@ def write_staging(df: DataFrame, path: str) -> None:
 def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace a parquet table (safe to repeat).
 
-    With ``partition_by`` the rows are rebalanced on that column first: adaptive
-    execution merges small partitions and splits a hot one, so neither thousands
-    of tiny files nor one huge task result.
+    With ``partition_by`` every task writes its own rows, ordered by that column, a file for each of its values: rows are
+    not exchanged once more, and a hot value is spread over the tasks as ``df`` is. There are at most as many files as tasks
+    times values, so partition by a column of few values.
     """
-    if partition_by is None:
-        df.write.mode("overwrite").option("compression", PARQUET_PACKED).parquet(path)
-    else:
-        (df.hint("rebalance", partition_by).write.mode("overwrite").option("compression", PARQUET_PACKED)
-         .partitionBy(partition_by).parquet(path))
+    writer = df.write.mode("overwrite").option("compression", PARQUET_PACKED)
+    (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -138,3 +138,19 @@ def test_ids_of_faulty_lines_are_exchanged_once(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     own = [text for text in plan.splitlines() if "Exchange hashpartitioning(_key" in text and "ReusedExchange" not in text]
     assert len(own) == 3, plan  # faulty ids, sound ids, rows of contested ids
+
+
+def test_a_partitioned_table_is_written_without_an_exchange(spark, tmp_path):
+    table = spark.range(0, 400, 1, 4).selectExpr("id", "id % 3 as part")
+    context = spark.sparkContext
+    context.setJobGroup("partitioned", "")
+    try:
+        tables.write_table(table, str(tmp_path / "parts"), "part")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    jobs = context.statusTracker().getJobIdsForGroup("partitioned")
+    assert [len(context.statusTracker().getJobInfo(j).stageIds) for j in jobs] == [1]
+    files = [f.parent.name for f in (tmp_path / "parts").rglob("part-*.parquet")]
+    assert sorted(set(files)) == ["part=0", "part=1", "part=2"] and len(files) <= 12
+    back = tables.read_table(spark, str(tmp_path / "parts"), table.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
