@@ -10,6 +10,10 @@ permutations so give all coordinates, each of which is equal for two sets with t
    that hang together are a *region*; a small one is confirmed in one task. In a large one, a few hubs meet
    all others part by part, which joins most copies; pairs that are still apart are then confirmed
    in blocks: those that are joined with the most others meet only those outside of them.
+
+Tables of a row for each document, class or link are joined by merging at any size (``hint("merge")``): a broadcast passes
+through the driver, and its size is guessed from packed files, in which sets of near copies are far smaller than in memory.
+Only tables of a row for each large region may be broadcast.
 """
 
 from __future__ import annotations
@@ -203,22 +207,22 @@ def _large_links(sets: DataFrame, percent: int) -> DataFrame:
     # the least hub that a class, or a hub of it, is linked to: classes of one label are surely in one component
     near = links.groupBy("a").agg(F.min("b").alias("m"))
     of_hub = near.select(F.col("a").alias("b"), F.least("a", "m").alias("m2"))
-    label = links.join(of_hub, "b", "left").groupBy(F.col("a").alias("cid")).agg(F.min(F.least("b", "m2")).alias("hub"))
-    named = rows.select("region", "cid", "n").join(label, "cid", "left").select(
+    label = links.join(of_hub.hint("merge"), "b", "left").groupBy(F.col("a").alias("cid")).agg(F.min(F.least("b", "m2")).alias("hub"))
+    named = rows.select("region", "cid", "n").join(label.hint("merge"), "cid", "left").select(
         "region", "cid", "n", F.coalesce("hub", "cid").alias("label"))
     top = (named.groupBy("region", "label").count().groupBy("region")
            .agg(F.max(F.struct("count", "label"))["label"].alias("top")))
-    named = saved(named.join(top, "region").withColumn("outside", F.col("label") != F.col("top")), "circulant-labels")
+    named = saved(named.join(top.hint("merge"), "region").withColumn("outside", F.col("label") != F.col("top")), "circulant-labels")
 
     bounds = named.groupBy("region").agg(
         _blocks("count_if(outside)", "coalesce(sum(n) filter (where outside), 0)").alias("out"),
         _blocks("count_if(not outside)", "coalesce(sum(n) filter (where not outside), 0)").alias("ins")).where("out > 0")
-    dealt = (named.join(bounds, "region")
+    dealt = (named.join(bounds.hint("merge"), "region")
              .withColumn("block", F.expr("if(outside, pmod(xxhash64(cid), out), out + pmod(xxhash64(cid), ins))"))
              .withColumn("other", F.explode(F.expr("sequence(0L, if(outside, out + ins, out) - 1)")))
              .select("region", "cid", "label", "block", F.least("block", "other").alias("low"),
                      F.greatest("block", "other").alias("high")))
-    blocks = dealt.join(rows.select("cid", "shingles", "buckets"), "cid")
+    blocks = dealt.join(rows.select("cid", "shingles", "buckets").hint("merge"), "cid")
     return links.unionByName(blocks.groupBy("region", "low", "high").applyInArrow(_in_blocks(percent), LINKS))
 
 
@@ -244,28 +248,27 @@ def circulant_links(documents: DataFrame, percent: int = 80, size: int = 2) -> L
                     .where("many > 1").select("bucket", "cid", "first"), "circulant-buckets")
     stars = buckets.select(F.col("cid").alias("a"), F.col("first").alias("b"))
     region = components(stars, "circulant-region").select(F.col("id").alias("cid"), F.col("component").alias("region"))
-    region = saved(region.join(classes.select("cid", "rep", "d1", "d2", "n"), "cid"), "circulant-regions")
+    region = saved(region.join(classes.select("cid", "rep", "d1", "d2", "n").hint("merge"), "cid"), "circulant-regions")
     large = (region.groupBy("region").agg(F.count("*").alias("many"), F.sum("n").alias("words"))
              .where((F.col("many") > TASK_CLASSES) | (F.col("words") > TASK_SHINGLES)).select("region"))
     large = saved(large, "circulant-large-regions")
 
-    # merged and not broadcast at any size: the ids are a part of all documents
     needed = region.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
     texts = documents.join(needed, "doc_id", "left_semi")
     sets = texts.mapInArrow(_set_rows(size), "doc_id long, n long, d1 long, d2 long, shingles array<bigint>")
-    sets = (sets.join(region.withColumnRenamed("rep", "doc_id"), ["doc_id", "d1", "d2", "n"])
+    sets = (sets.join(region.withColumnRenamed("rep", "doc_id").hint("merge"), ["doc_id", "d1", "d2", "n"])
             .groupBy("cid").agg(F.first("n").alias("n"), F.first("region").alias("region"), F.first("shingles").alias("shingles")))
     keys = buckets.groupBy("cid").agg(F.collect_list("bucket").alias("buckets"))  # BANDS at most
-    sets = saved(sets.join(keys, "cid"), "circulant-sets")
+    sets = saved(sets.join(keys.hint("merge"), "cid"), "circulant-sets")
     small = sets.join(large, "region", "left_anti")
     links = small.groupBy("region").applyInArrow(_in_region(percent), LINKS)
     if not large.isEmpty():
         links = links.unionByName(_large_links(sets.join(large, "region"), percent))
     joined = saved(components(links, "circulant-joined"), "circulant-components")
-    least = (joined.join(classes.select(F.col("cid").alias("id"), "rep"), "id")
+    least = (joined.join(classes.select(F.col("cid").alias("id"), "rep").hint("merge"), "id")
              .groupBy("component").agg(F.min("rep").alias("least")))
-    named = joined.join(least, "component").select(F.col("id").alias("cid"), "least")
-    classes = (classes.select("d1", "d2", "n", "cid", "rep", "copies").join(named, "cid", "left")
+    named = joined.join(least.hint("merge"), "component").select(F.col("id").alias("cid"), "least")
+    classes = (classes.select("d1", "d2", "n", "cid", "rep", "copies").join(named.hint("merge"), "cid", "left")
                .withColumn("component", F.coalesce("least", "rep")).drop("least"))
     return Links(rows, classes)
 
@@ -281,7 +284,7 @@ def near_duplicates(documents: DataFrame, percent: int = 80, size: int = 2) -> D
     """
     found = circulant_links(documents, percent, size)
     several = found.classes.where("copies > 1 or component <> rep").select("d1", "d2", "n", "component")
-    joined = found.rows.select("doc_id", "n", "d1", "d2").join(several, ["d1", "d2", "n"], "left")
+    joined = found.rows.select("doc_id", "n", "d1", "d2").join(several.hint("merge"), ["d1", "d2", "n"], "left")
     component = F.coalesce("component", "doc_id")
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -14,8 +14,8 @@ def components(links: DataFrame, name: str, rounds: int = 60) -> DataFrame:
 
     Alternates two star contractions until all links are stars round their smallest node: first every larger
     neighbour of a node is linked to the node's smallest neighbour, then every smaller one.
-    Only sums and joins by node are used; a node with very many links is a skewed
-    join key, which adaptive execution splits.
+    Only sums and joins by node are used, merged at any size: links are as many as the input, and a broadcast passes
+    through the driver. A node with very many links is a skewed join key, which adaptive execution splits.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = saved(edges, f"{name}-links")
@@ -28,7 +28,7 @@ def components(links: DataFrame, name: str, rounds: int = 60) -> DataFrame:
                 both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
             least = both.groupBy("u").agg(F.min("v").alias("m")).select(
                 F.col("u").alias("w"), F.least("u", "m").alias("m"))
-            met = both.join(least, both.u == least.w)
+            met = both.join(least.hint("merge"), both.u == least.w)
             if larger:
                 edges = met.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
             else:

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 
 from procurelens.llm import circulant_minhash as cm
-from procurelens.llm import queries
+from procurelens.llm import components, queries
+from procurelens.llm.store import saved
 from tests.compare import connect, difference
 
 from .test_joins import SPACE
@@ -78,6 +79,34 @@ def test_a_very_long_text_and_its_copy(documents):
     assert found(documents(texts)) == plain(list(enumerate(texts)))
 
 
+def test_only_tables_of_large_regions_are_broadcast(spark, documents, monkeypatch):
+    """A broadcast passes through the driver: tables that grow with the input are merged, whatever the threshold."""
+    plans = []
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return saved(df, name)
+
+    monkeypatch.setattr(cm, "saved", noted)
+    monkeypatch.setattr(components, "saved", noted)
+    monkeypatch.setattr(cm, "TASK_CLASSES", 4)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1g")
+    try:
+        texts = corpus(9, groups=3, copies=20, edits=(0, 2, 4, 6, 8))
+        result = cm.near_duplicates(documents(texts))
+        rows = sorted(map(tuple, result.collect()))
+        plans.append(result._jdf.queryExecution().executedPlan().toString())
+    finally:
+        spark.conf.set(limit, before)
+    assert rows == plain(list(enumerate(texts)))
+    merged, sent = (set().union(*(re.findall(rf"{kind} \[(\w+?)#\d+L?.*?\], \w+(?:, (Build\w+))?", p) for p in plans))
+                    for kind in ("SortMergeJoin(?:\\(skew=true\\))?", "Broadcast\\w+Join"))
+    assert {key for key, _ in merged} >= {"u", "cid", "b", "id", "component", "doc_id", "d1"}
+    assert sent <= {("region", "BuildRight")}
+
+
 def test_repeated_ids_and_missing_ids(documents):
     a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
     near_a, near_b = a.replace("a7 ", "x "), b.replace("b7 ", "x ")
